@@ -1,0 +1,84 @@
+"""Projection, NULLs, trim, reasons."""
+
+from conftest import GOOD, record_line
+
+from regline.layout import EMPRESAS
+from regline.operators.records import accepted, classify, quarantine, reason_counts
+from regline.sources.text import read_lines
+
+
+def classify_bytes(spark, write_files, data: bytes, **kw):
+    return classify(read_lines(spark, write_files({"Empresas0.csv": data})), **kw)
+
+
+def test_reference_record(spark, write_files):
+    fields = ["12345678", "0001", "95", "20200101", "Empresa Teste", "6201501", "", "49", "", "", "N", "", "", "N", "02", "20200101"]
+    c = classify_bytes(spark, write_files, ";".join(fields).encode() + b"\r\n")
+    r = accepted(c).first().asDict()
+    assert r["cnpj"] == "12345678000195"
+    assert r["razao_social"] == "Empresa Teste"
+    assert r["cnae_fiscal"] == "6201501"
+    assert r["situacao_cadastral"] == "02"
+    assert r["data_abertura"] == "20200101"  # position 3, as the layout says
+    assert r["uf"] is None and r["capital_social"] is None  # past the end
+    assert r["porte_empresa"] is None
+    assert list(r) == EMPRESAS.names
+
+
+def test_two_fields_rejected(spark, write_files):
+    c = classify_bytes(spark, write_files, b"a;b\n")
+    assert [(r.reason, r.n_fields) for r in quarantine(c).collect()] == [("too_few_fields", 2)]
+
+
+def test_field_counts(spark, write_files):
+    data = b"".join(record_line(GOOD, n) + b"\r\n" for n in (15, 16, 36, 37, 40))
+    c = classify_bytes(spark, write_files, data)
+    got = sorted((r.n_fields, r.reason) for r in c.collect())
+    assert got == [(15, "too_few_fields"), (16, None), (36, None), (37, None), (40, None)]
+
+
+def test_id_widths(spark, write_files):
+    bad = [{**GOOD, 0: "1234567"}, {**GOOD, 1: "001"}, {**GOOD, 2: "9"}]
+    c = classify_bytes(spark, write_files, b"".join(record_line(f) + b"\n" for f in bad))
+    assert [r.reason for r in c.collect()] == ["bad_cnpj_width"] * 3
+
+
+def test_too_few_fields_wins(spark, write_files):
+    c = classify_bytes(spark, write_files, b"1234567;0001;95;x\n")
+    assert c.first().reason == "too_few_fields"
+
+
+def test_line_of_spaces_rejected(spark, write_files):
+    c = classify_bytes(spark, write_files, b"  \r\n")
+    assert (c.first().reason, c.first().n_fields) == ("too_few_fields", 1)
+
+
+def test_overwide_quarantined_with_column(spark, write_files):
+    c = classify_bytes(spark, write_files, record_line({**GOOD, 29: "123456789"}) + b"\n")
+    q = quarantine(c).first()
+    assert (q.reason, q.detail) == ("overwide", "cep")
+    assert accepted(c).count() == 0
+
+
+def test_empty_to_null_space_kept(spark, write_files):
+    r = accepted(classify_bytes(spark, write_files, record_line({**GOOD, 5: " ", 32: ""}) + b"\n")).first()
+    assert r.cnae_fiscal == " " and r.uf is None
+
+
+def test_trim_option(spark, write_files):
+    data = b"".join(record_line({**GOOD, 4: v}) + b"\n" for v in ("  hello  ", "no_trim", "   ", "\tx\t"))
+    trimmed = sorted(str(r.razao_social) for r in accepted(classify_bytes(spark, write_files, data, trim=True)).collect())
+    assert trimmed == ["None", "hello", "no_trim", "x"]
+    raw = sorted(str(r.razao_social) for r in accepted(classify_bytes(spark, write_files, data)).collect())
+    assert "  hello  " in raw
+
+
+def test_alphanumeric_id_accepted(spark, write_files):
+    r = accepted(classify_bytes(spark, write_files, record_line({**GOOD, 0: "12ABC678", 2: "AB"}) + b"\n")).first()
+    assert r.cnpj == "12ABC6780001AB"
+
+
+def test_counts_add_up(spark, write_files):
+    data = record_line(GOOD) + b"\n" + b"x\n" + record_line({**GOOD, 0: "1"}) + b"\n\n"
+    counts = {r.reason: r.lines for r in reason_counts(classify_bytes(spark, write_files, data)).collect()}
+    assert counts == {"accepted": 1, "too_few_fields": 1, "bad_cnpj_width": 1}
