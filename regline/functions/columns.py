@@ -33,6 +33,10 @@ def is_blank(line: Column | str) -> Column:
 
 
 def java_literal_regex(sep: str) -> str:
+    """A regex matching ``sep`` literally. A single plain character is kept
+    as is, which lets the split take its single-byte fast path."""
+    if len(sep) == 1 and sep not in ".$|()[]{}^?*+\\":
+        return sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from regline.functions.checks import cast_errors, check_digit_status, typed_value
 from regline.layout import EMPRESAS, Layout
+from regline.session import shared_dir
 
 
 def duplicate_report(records: DataFrame, key: str = "cnpj") -> DataFrame:
@@ -23,20 +24,53 @@ def duplicate_report(records: DataFrame, key: str = "cnpj") -> DataFrame:
     )
 
 
-def dedupe(records: DataFrame, layout: Layout = EMPRESAS, order: tuple[str, ...] = ("file_path", "line")) -> DataFrame:
-    """V5: keep one record per key, always the same one.
+# Duplicated keys are broadcast only when a bounded count proves there are at
+# most this many; beyond it both sides are hash-partitioned instead.
+MAX_BROADCAST_KEYS = 2_000_000
 
-    The winner is the smallest (file path, line text); text rows carry no
-    position, so nothing depends on task order. Copies of one identical line
-    are interchangeable. Expressed as ``min(struct)`` per key: an aggregate
-    with partial aggregation, so a hot key is reduced map-side rather than
-    buffered whole in one task as a window partition would be.
-    """
+
+def _winners(records: DataFrame, layout: Layout, order: tuple[str, ...]) -> DataFrame:
     rest = [c for c in layout.names if c != layout.key]
     winner = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("w")
-    return records.groupBy(layout.key).agg(winner).select(layout.key, *[F.col(f"w.{c}").alias(c) for c in rest]).select(
-        *layout.names
-    )
+    return records.groupBy(layout.key).agg(winner).select(layout.key, *[F.col(f"w.{c}").alias(c) for c in rest])
+
+
+def dedupe(
+    records: DataFrame,
+    layout: Layout = EMPRESAS,
+    order: tuple[str, ...] = ("file_path", "line"),
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+) -> DataFrame:
+    """V5: keep one record per key, always the same one.
+
+    The winner is the smallest (file path, line text, record); text rows carry
+    no position, so nothing depends on task order, and copies that tie on all
+    of these are identical.
+
+    Hash first: a key-only hash aggregate (with map-side partial counts) finds
+    the keys held more than once. Records of all other keys pass through with
+    no shuffle (anti join against the broadcast key list); only the rows of
+    duplicated keys go through ``min(struct)``, whose partial aggregation
+    reduces a hot key (say, a third of all rows) to one row per task before
+    the shuffle. Nothing buffers a whole key group in one task.
+    """
+    from regline.operators.analytics import bounded_broadcast
+
+    key = layout.key
+    shared_dir(records.sparkSession)  # checkpoints go to the shared folder
+    # Computed once and written to the checkpoint folder (reliable, survives
+    # lost executors); the size check and both joins then read that copy.
+    dup_keys = (
+        records.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
+    ).checkpoint(eager=True)
+    keys = bounded_broadcast(dup_keys, max_broadcast_keys)
+    if keys is dup_keys:
+        # Too many duplicated keys to broadcast: one min(struct) aggregate over
+        # everything (a single shuffle) beats two shuffle joins.
+        return _winners(records, layout, order).select(*layout.names)
+    unique = records.join(keys, key, "left_anti").select(*layout.names)
+    repeated = records.join(keys, key, "left_semi")
+    return unique.unionByName(_winners(repeated, layout, order).select(*layout.names))
 
 
 def against_stored(records: DataFrame, stored: DataFrame, key: str = "cnpj") -> DataFrame:

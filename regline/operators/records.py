@@ -47,7 +47,11 @@ def classify(
     Reasons, first match wins: too_few_fields (V1), bad_cnpj_width (V2),
     overwide (V4, detail = offending columns).
     """
-    parsed = lines.select(*LINEAGE, split_fields("line", layout.delimiter).alias("fields"))
+    # The split runs once per line. Emitting it through a one-element explode
+    # (a Generate node) keeps later filters (reason IS NULL, ...) from being
+    # pushed below it: pushed through a plain projection, every reference to a
+    # field would be rewritten into its own split of the whole line.
+    parsed = lines.select(*LINEAGE, F.explode(F.array(split_fields("line", layout.delimiter))).alias("fields"))
     n = F.size("fields")
     bad_key = F.lit(False)
     for pos, width in layout.key_parts:

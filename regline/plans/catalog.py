@@ -17,7 +17,7 @@ from regline.layout import EMPRESAS, code_table_layout
 from regline.operators import analytics, quality, records, releases, stats
 from regline.plans.fixtures import NOT_A_ZIP, registry_release
 from regline.plans.ingest import ingest
-from regline.session import fresh_dir
+from regline.session import fresh_dir, shared_dir
 from regline.sinks import export, tables
 from regline.sources import archives, files, text
 from regline.streaming import incremental
@@ -42,8 +42,15 @@ def _accepted(spark: SparkSession, sf: str, lineage: bool = False) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf: str, variant: str = "plain") -> DataFrame:
-    """Accepted records, one per key."""
-    return quality.dedupe(records.accepted(_classified(spark, sf, variant=variant), lineage=True))
+    """Accepted records, one per key.
+
+    As in the full load, the parsed records are materialized first (here with
+    a reliable checkpoint in the shared folder) so that the key joins of the
+    de-duplication read stored columns rather than re-parsing the text.
+    """
+    shared_dir(spark)
+    parsed = records.accepted(_classified(spark, sf, variant=variant), lineage=True).checkpoint(eager=True)
+    return quality.dedupe(parsed)
 
 
 # ---- scans and sources ---------------------------------------------------

@@ -13,6 +13,7 @@ columnar data instead of re-parsing text.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,7 +33,7 @@ from regline.sources.text import dataset_files, read_lines
 class Inputs:
     kind: str  # "text" | "zip" | "none"
     paths: list[str]
-    listing: DataFrame
+    files: list  # (path, file_name, length) of the chosen files
 
 
 def resolve_inputs(
@@ -43,19 +44,35 @@ def resolve_inputs(
     ledger: DataFrame | None = None,
 ) -> Inputs:
     """S3 + S4 rule + S8: selected plain ``.csv`` files if there are any,
-    otherwise the selected ``.zip`` archives; minus files already ingested."""
+    otherwise the selected ``.zip`` archives; minus files already ingested.
+
+    Only file metadata is handled here (as Spark's own file listing does).
+    """
     listing = dataset_files(spark, root, families=families, names=names).where("selected")
     if ledger is not None:
         listing = not_yet_ingested(listing, ledger)
-    listing = listing.cache()
-    files = listing.select("path", "file_name").collect()  # file metadata only
-    csv = sorted(r.path for r in files if r.file_name.endswith(".csv"))
-    if csv:
-        return Inputs("text", csv, listing.where(F.col("file_name").endswith(".csv")))
-    zips = sorted(r.path for r in files if r.file_name.endswith(".zip"))
-    if zips:
-        return Inputs("zip", zips, listing.where(F.col("file_name").endswith(".zip")))
-    return Inputs("none", [], listing)
+    files = listing.select("path", "file_name", "length").collect()
+    for suffix, kind in ((".csv", "text"), (".zip", "zip")):
+        chosen = sorted((r.path, r.file_name, r.length) for r in files if r.file_name.endswith(suffix))
+        if chosen:
+            return Inputs(kind, [p for p, _, _ in chosen], chosen)
+    return Inputs("none", [], [])
+
+
+@contextmanager
+def sql_conf(spark: SparkSession, **settings):
+    """Set SQL settings for one step and restore them afterwards."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def read_release(spark: SparkSession, inputs: Inputs, encoding: str = "ISO-8859-1") -> DataFrame:
@@ -67,7 +84,8 @@ def read_release(spark: SparkSession, inputs: Inputs, encoding: str = "ISO-8859-
 
 
 def staged_frame(classified: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
-    """Accepted rows keep only their record (+ file); rejected rows only lineage."""
+    """Accepted rows drop their raw line (the record holds it); rejected rows
+    keep it. Readers of either side select only their own columns."""
     ok = F.col("reason").isNull()
     return classified.select(
         F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
@@ -77,7 +95,7 @@ def staged_frame(classified: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
         "n_fields",
         "reason",
         "detail",
-        *[F.when(ok, F.col(c)).alias(c) for c in layout.names],
+        *layout.names,
     )
 
 
@@ -114,31 +132,37 @@ def ingest(
     """Load one release folder into ``target`` (table/ and _staging/ below it)."""
     started = time.perf_counter()
     inputs = resolve_inputs(spark, root, families, names, ledger)
-    files = inputs.listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
     classified = classify(read_release(spark, inputs), layout, trim=trim)
-    obs = Observation("ingest")
+
+    # Pass 1: the only read of the raw text. Accepted and rejected rows land in
+    # one partitioned write; with concurrent writers no task sorts its rows.
+    staged_obs = Observation("staged")
     staging = f"{target}/_staging"
-    staged_frame(classified.observe(obs, *counter_columns()), layout).write.partitionBy("outcome").parquet(staging)
-    counters = obs.get
+    staged = staged_frame(classified.observe(staged_obs, *counter_columns()), layout)
+    with sql_conf(spark, **{"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+        staged.write.partitionBy("outcome").parquet(staging)
+    counters = staged_obs.get
 
-    try:
+    # Pass 2: columnar staging -> one record per key -> table layout.
+    if int(counters.get("records_processed", 0)) > 0:
         accepted = spark.read.parquet(f"{staging}/outcome=accepted")
-    except Exception:  # nothing accepted
+    else:
         accepted = spark.createDataFrame([], "file_path string, " + ", ".join(f"{c} string" for c in layout.names))
     if record_filter:
         accepted = accepted.where(F.expr(record_filter))
     records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
+    written_obs = Observation("written")
     table_path = f"{target}/table"
-    write_partitioned(records, table_path, layout, max_records_per_file)
-    written = read_partitioned(spark, table_path, layout).count()
+    write_partitioned(records, table_path, layout, max_records_per_file, observation=written_obs)
+    written = int(written_obs.get["n"])
     elapsed = time.perf_counter() - started
 
     values = dict(counters)
     values.update(
         records_written=written,
         duplicates_dropped=(int(counters["records_processed"]) - written) if deduplicate and not record_filter else 0,
-        files_read=int(files["n"] or 0),
-        bytes_read=int(files["b"] or 0),
+        files_read=len(inputs.files),
+        bytes_read=sum(length for _, _, length in inputs.files),
         batches_sent=batches_for(written, batch_size),
     )
     return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, staging, elapsed)

@@ -59,9 +59,18 @@ def write_partitioned(
     layout: Layout = EMPRESAS,
     max_records_per_file: int | None = None,
     mode: str = "errorifexists",
+    observation=None,
 ) -> None:
-    """S12 + S13: partitioned Parquet at a path, at most n rows per file."""
-    writer = laid_out(records.select(*layout.names), layout).write.mode(mode)
+    """S12 + S13: partitioned Parquet at a path, at most n rows per file.
+
+    ``observation`` (a pyspark Observation) receives the written row count.
+    It is attached after the last shuffle, in the writing stage itself, whose
+    task results Spark applies once even when a lost executor forces a retry.
+    """
+    out = laid_out(records.select(*layout.names), layout)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("n"))
+    writer = out.write.mode(mode)
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     if max_records_per_file:
