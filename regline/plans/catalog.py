@@ -59,6 +59,16 @@ def q_raw_line_scan(spark, sf):
     return _lines(spark, sf).select("file_name", "line")
 
 
+def q_drop_blank_lines(spark, sf):
+    raw = text.read_lines(spark, _root(spark, sf), keep_blank=True)
+    blank = F.col("line") == ""
+    return raw.agg(
+        F.count_if(blank).cast("bigint").alias("blank_lines"),
+        F.count_if(~blank).cast("bigint").alias("kept_lines"),
+        F.count_if(F.col("line").rlike("^ +$")).cast("bigint").alias("space_lines"),
+    )
+
+
 def q_multi_file_scan(spark, sf):
     lines, status = text.read_file_list(spark, _root(spark, sf), ["Empresas0.csv", "Empresas1.csv", "Empresas9.csv"])
     per_file = lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))

@@ -188,6 +188,9 @@ def oracle_sql() -> dict[str, str]:
 
     q["raw_line_scan"] = B + "\nSELECT file_name, line FROM lines"
     q["zip_archive_scan"] = q["raw_line_scan"]
+    q["drop_blank_lines"] = B + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM g WHERE k % 23 = 0) AS blank_lines,
+       CAST(count(*) AS BIGINT) AS kept_lines, CAST(0 AS BIGINT) AS space_lines FROM lines"""
     q["multi_file_scan"] = B + """
 SELECT file_name, 'ok' AS status, CAST(count(*) AS BIGINT) AS lines FROM lines
 WHERE file_name IN ('Empresas0.csv', 'Empresas1.csv') GROUP BY file_name
