@@ -105,6 +105,7 @@ class IngestResult:
     table_path: str
     staging_path: str
     elapsed_secs: float
+    steps: dict | None = None  # seconds per step: resolve, stage, dedupe_keys, publish
 
     def table(self, spark: SparkSession, layout: Layout = EMPRESAS) -> DataFrame:
         return read_partitioned(spark, self.table_path, layout)
@@ -131,7 +132,9 @@ def ingest(
 ) -> IngestResult:
     """Load one release folder into ``target`` (table/ and _staging/ below it)."""
     started = time.perf_counter()
+    steps: dict[str, float] = {}
     inputs = resolve_inputs(spark, root, families, names, ledger)
+    steps["resolve"] = time.perf_counter() - started
     classified = classify(read_release(spark, inputs), layout, trim=trim)
 
     # Pass 1: the only read of the raw text. Accepted and rejected rows land in
@@ -142,6 +145,7 @@ def ingest(
     with sql_conf(spark, **{"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         staged.write.partitionBy("outcome").parquet(staging)
     counters = staged_obs.get
+    steps["stage"] = time.perf_counter() - started - steps["resolve"]
 
     # Pass 2: columnar staging -> one record per key -> table layout.
     if int(counters.get("records_processed", 0)) > 0:
@@ -150,11 +154,15 @@ def ingest(
         accepted = spark.createDataFrame([], "file_path string, " + ", ".join(f"{c} string" for c in layout.names))
     if record_filter:
         accepted = accepted.where(F.expr(record_filter))
+    t = time.perf_counter()
     records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
+    steps["dedupe_keys"] = time.perf_counter() - t
+    t = time.perf_counter()
     written_obs = Observation("written")
     table_path = f"{target}/table"
     write_partitioned(records, table_path, layout, max_records_per_file, observation=written_obs)
     written = int(written_obs.get["n"])
+    steps["publish"] = time.perf_counter() - t
     elapsed = time.perf_counter() - started
 
     values = dict(counters)
@@ -165,4 +173,4 @@ def ingest(
         bytes_read=sum(length for _, _, length in inputs.files),
         batches_sent=batches_for(written, batch_size),
     )
-    return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, staging, elapsed)
+    return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, staging, elapsed, steps)

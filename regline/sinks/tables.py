@@ -78,9 +78,14 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def table_schema(layout: Layout = EMPRESAS) -> str:
+    return ", ".join(f"`{f.name}` string" for f in layout.fields)
+
+
 def read_partitioned(spark: SparkSession, path: str, layout: Layout = EMPRESAS) -> DataFrame:
-    """Read back with the partition column kept as a string (no type inference)."""
-    return spark.read.option("basePath", path).parquet(path).select(*layout.names)
+    """Read back with an explicit all-string schema, so a partition value such
+    as uf=01 stays text whatever the session's type-inference setting."""
+    return spark.read.schema(table_schema(layout)).option("basePath", path).parquet(path).select(*layout.names)
 
 
 def analyze(spark: SparkSession, name: str, columns: tuple[str, ...] = ("uf", "cnae_fiscal", "situacao_cadastral")) -> None:

@@ -24,7 +24,7 @@ def stream_lines(
     source_dir: str,
     glob: str = "*.csv",
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     encoding: str = "ISO-8859-1",
 ) -> DataFrame:
     reader = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
@@ -63,7 +63,7 @@ def incremental_ingest(
     checkpoint: str,
     layout: Layout = EMPRESAS,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     deduplicate: bool = True,
     timeout_secs: int = 600,
 ) -> int:

@@ -67,6 +67,17 @@ def test_incremental_ingest_takes_only_new_files(spark, tmp_path):
     assert got == ["00000001", "00000002", "00000003", "00000004"]
 
 
+def test_bytes_per_trigger_bounds_intake(spark, tmp_path):
+    watched, target, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(watched)
+    for f in range(3):
+        with open(os.path.join(watched, f"Empresas{f}.csv"), "wb") as out:
+            out.write(record_line({**GOOD, 0: f"{f + 1:08d}"}) + b"\r\n")
+    # Each file is larger than the budget, so every micro-batch takes one file.
+    assert incremental_ingest(spark, watched, target, ckpt, max_bytes_per_trigger=10) == 3
+    assert read_ingested(spark, target).count() == 3
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
