@@ -37,13 +37,29 @@ def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("change").agg(F.count(F.lit(1)).alias("records"))
 
 
-def apply_diff(stored: DataFrame, diff: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
-    """Stored snapshot + diff -> new snapshot (kept ∪ inserted ∪ updated).
+def changes(diff: DataFrame) -> DataFrame:
+    """D8 -> D9: only the rows that change the snapshot (what a monthly
+    difference file holds)."""
+    return diff.where(F.col("change") != "unchanged")
 
+
+def apply_diff(
+    stored: DataFrame,
+    changed: DataFrame,
+    layout: Layout = EMPRESAS,
+    max_broadcast_keys: int = 2_000_000,
+) -> DataFrame:
+    """Stored snapshot + change rows -> new snapshot (kept ∪ inserted ∪ updated).
+
+    The keys to drop (deleted and updated) are broadcast when a bounded count
+    shows the change set is small, so the stored snapshot streams through an
+    anti join with no shuffle; a large change set uses a shuffle join.
     Write the result to a NEW folder; never overwrite the one being read.
     """
+    from regline.operators.analytics import bounded_broadcast
+
     key = layout.key
-    gone = diff.where(F.col("change").isin("deleted", "updated")).select(key)
+    gone = bounded_broadcast(changed.where(F.col("change").isin("deleted", "updated")).select(key), max_broadcast_keys)
     kept = stored.select(*layout.names).join(gone, key, "left_anti")
-    fresh = diff.where(F.col("change").isin("inserted", "updated")).select(*layout.names)
+    fresh = changed.where(F.col("change").isin("inserted", "updated")).select(*layout.names)
     return kept.unionByName(fresh)

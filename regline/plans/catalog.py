@@ -338,16 +338,21 @@ def q_multi_sink_fanout(spark, sf):
 
 
 def q_release_diff(spark, sf):
-    old, new = _clean(spark, sf, "releaseA"), _clean(spark, sf, "releaseB")
-    return releases.release_diff(old, new).select("cnpj", "change")
+    # Both releases stored as snapshots bucketed by cnpj: the diff's full
+    # outer join then runs bucket by bucket without shuffling either side.
+    snaps = []
+    for variant in ("releaseA", "releaseB"):
+        name, location = _new_table(spark)
+        snaps.append(tables.write_snapshot(_clean(spark, sf, variant), name, location, buckets=8))
+    return releases.release_diff(*snaps).select("cnpj", "change")
 
 
 def q_apply_diff(spark, sf):
     old, new = _clean(spark, sf, "releaseA"), _clean(spark, sf, "releaseB")
-    stored = fresh_dir(spark, "snapshot-a")
+    stored, changes_dir, out = fresh_dir(spark, "snapshot-a"), fresh_dir(spark, "changes"), fresh_dir(spark, "snapshot-b")
     old.write.parquet(stored)
-    snapshot = releases.apply_diff(spark.read.parquet(stored), releases.release_diff(spark.read.parquet(stored), new))
-    out = fresh_dir(spark, "snapshot-b")
+    releases.changes(releases.release_diff(spark.read.parquet(stored), new)).write.parquet(changes_dir)
+    snapshot = releases.apply_diff(spark.read.parquet(stored), spark.read.parquet(changes_dir))
     snapshot.write.parquet(out)
     return spark.read.parquet(out).select("cnpj", "razao_social", "uf")
 

@@ -88,6 +88,29 @@ def read_partitioned(spark: SparkSession, path: str, layout: Layout = EMPRESAS)
     return spark.read.schema(table_schema(layout)).option("basePath", path).parquet(path).select(*layout.names)
 
 
+def write_snapshot(
+    records: DataFrame,
+    name: str,
+    location: str,
+    buckets: int,
+    layout: Layout = EMPRESAS,
+) -> DataFrame:
+    """A release snapshot bucketed and sorted by key (D8, D5 at scale).
+
+    Two snapshots with the same bucket count join on the key with no shuffle
+    at all (the full outer join of a release diff reads both sides bucket by
+    bucket), and key lookups prune to one bucket.
+    """
+    (
+        records.select(*layout.names)
+        .write.bucketBy(buckets, layout.key)
+        .sortBy(layout.key)
+        .option("path", location)
+        .saveAsTable(name)
+    )
+    return records.sparkSession.table(name)
+
+
 def analyze(spark: SparkSession, name: str, columns: tuple[str, ...] = ("uf", "cnae_fiscal", "situacao_cadastral")) -> None:
     """Table and column statistics for the cost-based optimizer."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
