@@ -230,9 +230,9 @@ def registry_release(
     variant: plain | zip | releaseA | releaseB | codes
     """
     root = fixture_root(spark, sf_dir, f"{table}-{variant}-{n_files}")
+    ship_package(spark)
     if fs.exists(f"{root}/_READY"):
         return root
-    ship_package(spark)
     if variant == "codes":
         lines = code_table_lines(spark, sf_dir)
     else:

@@ -34,6 +34,7 @@ class Inputs:
     kind: str  # "text" | "zip" | "none"
     paths: list[str]
     files: list  # (path, file_name, length) of the chosen files
+    missing: tuple[str, ...] = ()  # wanted names that are not there (S2)
 
 
 def resolve_inputs(
@@ -52,11 +53,13 @@ def resolve_inputs(
     if ledger is not None:
         listing = not_yet_ingested(listing, ledger)
     files = listing.select("path", "file_name", "length").collect()
+    present = {r.file_name for r in files}
+    missing = tuple(sorted(n for n in (names or ()) if n not in present))
     for suffix, kind in ((".csv", "text"), (".zip", "zip")):
         chosen = sorted((r.path, r.file_name, r.length) for r in files if r.file_name.endswith(suffix))
         if chosen:
-            return Inputs(kind, [p for p, _, _ in chosen], chosen)
-    return Inputs("none", [], [])
+            return Inputs(kind, [p for p, _, _ in chosen], chosen, missing)
+    return Inputs("none", [], [], missing)
 
 
 @contextmanager
@@ -170,6 +173,7 @@ def ingest(
         records_written=written,
         duplicates_dropped=(int(counters["records_processed"]) - written) if deduplicate and not record_filter else 0,
         files_read=len(inputs.files),
+        files_failed=len(inputs.missing),
         bytes_read=sum(length for _, _, length in inputs.files),
         batches_sent=batches_for(written, batch_size),
     )

@@ -97,3 +97,10 @@ def test_ingest_end_to_end(spark, write_files, tmp_path):
     assert sorted(r.cnpj for r in res.table(spark).collect()) == ["12345678000195", "87654321000195"]
     q = {r.reason for r in res.quarantine(spark).collect()}
     assert q == {"too_few_fields", "overwide"}
+
+
+def test_missing_named_file_counts_as_failed(spark, write_files, tmp_path):
+    root = write_files({"Empresas0.csv": record_line(GOOD) + b"\n"})
+    res = ingest(spark, root, str(tmp_path / "t"), names=["Empresas0.csv", "Empresas7.csv"])
+    s = res.stats.first()
+    assert (s.files_read, s.files_failed, s.records_written, s.errors) == (1, 1, 1, 1)
