@@ -27,6 +27,9 @@ class Layout:
     min_fields: int = 1
     delimiter: str = ";"
     partition_by: tuple[str, ...] = field(default_factory=tuple)
+    # Sort order inside each written file (after the partition columns), so
+    # Parquet min/max statistics prune lookups on these columns.
+    sort_by: tuple[str, ...] = field(default_factory=tuple)
 
     @property
     def names(self) -> list[str]:
@@ -71,6 +74,7 @@ EMPRESAS = Layout(
     min_fields=16,
     delimiter=";",
     partition_by=("uf",),
+    sort_by=("cnae_fiscal", "cnpj"),
 )
 
 EMPRESAS_COLUMNS = EMPRESAS.names
@@ -82,4 +86,5 @@ def code_table_layout(code_width: int | None = None) -> Layout:
         fields=(Field("code", 0, code_width), Field("description", 1, None)),
         key="code",
         min_fields=2,
+        sort_by=("code",),
     )

@@ -25,7 +25,7 @@ def ensure_table(spark: SparkSession, name: str, layout: Layout = EMPRESAS, loca
     spark.sql(table_ddl(name, layout, location))
 
 
-def laid_out(records: DataFrame, layout: Layout = EMPRESAS, sort_by: tuple[str, ...] = ("cnae_fiscal", "cnpj")) -> DataFrame:
+def laid_out(records: DataFrame, layout: Layout = EMPRESAS, sort_by: tuple[str, ...] | None = None) -> DataFrame:
     """Rows grouped by the partition column and sorted inside each file.
 
     ``rebalance`` lets AQE cut a hot partition value (a third of all rows in
@@ -34,8 +34,9 @@ def laid_out(records: DataFrame, layout: Layout = EMPRESAS, sort_by: tuple[str,
     lookups on cnae and cnpj.
     """
     parts = list(layout.partition_by)
-    out = records.hint("rebalance", *parts) if parts else records
-    return out.sortWithinPartitions(*parts, *sort_by)
+    order = [*parts, *(layout.sort_by if sort_by is None else sort_by)]
+    out = records.hint("rebalance", *parts) if parts else records.hint("rebalance")
+    return out.sortWithinPartitions(*order) if order else out
 
 
 def append(

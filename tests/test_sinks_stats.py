@@ -104,3 +104,15 @@ def test_missing_named_file_counts_as_failed(spark, write_files, tmp_path):
     res = ingest(spark, root, str(tmp_path / "t"), names=["Empresas0.csv", "Empresas7.csv"])
     s = res.stats.first()
     assert (s.files_read, s.files_failed, s.records_written, s.errors) == (1, 1, 1, 1)
+
+
+def test_ingest_code_table_with_caller_layout(spark, write_files, tmp_path):
+    from regline.layout import code_table_layout
+
+    data = "0001;Agricultura\r\n0002;Pesca\r\n0001;Agricultura\r\nsem código\r\n".encode("latin-1")
+    root = write_files({"Cnaes.csv": data})
+    res = ingest(spark, root, str(tmp_path / "t"), layout=code_table_layout(), families=("Cnaes",))
+    got = sorted(tuple(r) for r in res.table(spark, code_table_layout()).collect())
+    assert got == [("0001", "Agricultura"), ("0002", "Pesca")]
+    s = res.stats.first()
+    assert (s.lines_read, s.rejected_too_few_fields, s.duplicates_dropped) == (4, 1, 1)
