@@ -59,7 +59,7 @@ def test_incremental_ingest_takes_only_new_files(spark, tmp_path):
 
     put("Empresas0.csv", [1, 2, 2])
     assert incremental_ingest(spark, watched, target, ckpt) == 1
-    put("Empresas1.csv", [3])
+    put("Empresas1.csv", [3, 1])  # id 1 was stored by the first run
     put("Empresas2.csv", [4])
     assert incremental_ingest(spark, watched, target, ckpt, max_files_per_trigger=1) == 2
     assert incremental_ingest(spark, watched, target, ckpt) == 0
