@@ -36,12 +36,12 @@ SECOND_DIGIT_WEIGHTS = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
 CHECKABLE_ID = r"^[0-9A-Z]{12}[0-9]{2}$"
 
 
-def _char_value(c: Column, pos: int) -> Column:
+def char_value(c: Column, pos: int) -> Column:
     # Character value is its code minus 48: digits 0-9, letters A=17 ... Z=42.
     return F.ascii(F.substring(c, pos, 1)) - F.lit(48)
 
 
-def _check_digit(total: Column) -> Column:
+def check_digit(total: Column) -> Column:
     r = total % F.lit(11)
     return F.when(r < 2, F.lit(0)).otherwise(F.lit(11) - r)
 
@@ -49,12 +49,12 @@ def _check_digit(total: Column) -> Column:
 def check_digit_status(cnpj: Column | str) -> Column:
     """D1: 'ok', 'bad' or 'not_checkable'; NULL id gives NULL. Never a reject."""
     c = _c(cnpj)
-    body = [_char_value(c, i + 1) for i in range(12)]
-    first = _check_digit(sum((v * w for v, w in zip(body, FIRST_DIGIT_WEIGHTS)), F.lit(0)))
-    second = _check_digit(
+    body = [char_value(c, i + 1) for i in range(12)]
+    first = check_digit(sum((v * w for v, w in zip(body, FIRST_DIGIT_WEIGHTS)), F.lit(0)))
+    second = check_digit(
         sum((v * w for v, w in zip(body, SECOND_DIGIT_WEIGHTS[:12])), F.lit(0)) + first * SECOND_DIGIT_WEIGHTS[12]
     )
-    matches = (first == _char_value(c, 13)) & (second == _char_value(c, 14))
+    matches = (first == char_value(c, 13)) & (second == char_value(c, 14))
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(~c.rlike(CHECKABLE_ID), F.lit("not_checkable"))

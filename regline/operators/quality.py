@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regline.functions.checks import cast_errors, check_digit_status, typed_value
+from regline.functions.checks import names_where, typed_value
 from regline.layout import EMPRESAS, Layout
 from regline.session import shared_dir
 
@@ -79,13 +79,49 @@ def against_stored(records: DataFrame, stored: DataFrame, key: str = "cnpj") ->
 
 
 def with_check_digit(records: DataFrame, key: str = "cnpj") -> DataFrame:
-    """Add ``dv_status``; a bad digit is flagged, never rejected."""
-    return records.withColumn("dv_status", check_digit_status(key))
+    """Add ``dv_status``; a bad digit is flagged, never rejected.
+
+    Staged projections: the 14 character values are computed once, then the
+    two weighted sums, then the verdict, instead of one expression that
+    repeats the first digit's sum inside the second.
+    """
+    from regline.functions.checks import (
+        CHECKABLE_ID,
+        FIRST_DIGIT_WEIGHTS,
+        SECOND_DIGIT_WEIGHTS,
+        char_value,
+        check_digit,
+    )
+
+    c = F.col(key)
+    vals = records.select("*", *[char_value(c, i + 1).alias(f"_v{i}") for i in range(14)])
+    v = [F.col(f"_v{i}") for i in range(14)]
+    first = vals.select("*", check_digit(sum((v[i] * w for i, w in enumerate(FIRST_DIGIT_WEIGHTS)), F.lit(0))).alias("_d1"))
+    second = first.select(
+        "*",
+        check_digit(
+            sum((v[i] * w for i, w in enumerate(SECOND_DIGIT_WEIGHTS[:12])), F.lit(0)) + F.col("_d1") * SECOND_DIGIT_WEIGHTS[12]
+        ).alias("_d2"),
+    )
+    status = (
+        F.when(c.isNull(), F.lit(None).cast("string"))
+        .when(~c.rlike(CHECKABLE_ID), F.lit("not_checkable"))
+        .when((F.col("_d1") == v[12]) & (F.col("_d2") == v[13]), F.lit("ok"))
+        .otherwise(F.lit("bad"))
+    )
+    return second.select(*records.columns, status.alias("dv_status"))
 
 
 def typed_view(records: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
-    """Dates, S/N flags and the capital as typed values + ``cast_errors``."""
-    return records.select(
-        *[typed_value(f.name, f.kind).alias(f.name) for f in layout.fields],
-        cast_errors(layout).alias("cast_errors"),
+    """Dates, S/N flags and the capital as typed values + ``cast_errors``.
+
+    Each value is parsed once; ``cast_errors`` compares the parsed column with
+    its text in a second projection.
+    """
+    typed = [f for f in layout.fields if f.kind != "string"]
+    parsed = records.select(*layout.names, *[typed_value(f.name, f.kind).alias(f"_t_{f.name}") for f in typed])
+    errors = names_where([(f.name, F.col(f.name).isNotNull() & F.col(f"_t_{f.name}").isNull()) for f in typed])
+    return parsed.select(
+        *[F.col(f"_t_{f.name}").alias(f.name) if f.kind != "string" else F.col(f.name) for f in layout.fields],
+        errors.alias("cast_errors"),
     )
