@@ -132,10 +132,19 @@ def ingest(
     batch_size: int = 100_000,
     max_records_per_file: int | None = None,
     record_filter: str | None = None,
+    ledger_path: str | None = None,
 ) -> IngestResult:
-    """Load one release folder into ``target`` (table/ and _staging/ below it)."""
+    """Load one release folder into ``target`` (table/ and _staging/ below it).
+
+    ``ledger_path``: a Parquet table of files already taken (file_name,
+    length, sha256). Files in it are skipped (S8), and the files of this load
+    are appended to it once the load has succeeded, so repeated runs over a
+    growing folder (plain or ZIP) take only new files (R1 in batch form).
+    """
     started = time.perf_counter()
     steps: dict[str, float] = {}
+    if ledger_path is not None and ledger is None:
+        ledger = read_ledger(spark, ledger_path)
     inputs = resolve_inputs(spark, root, families, names, ledger)
     steps["resolve"] = time.perf_counter() - started
     classified = classify(read_release(spark, inputs), layout, trim=trim)
@@ -177,4 +186,21 @@ def ingest(
         bytes_read=sum(length for _, _, length in inputs.files),
         batches_sent=batches_for(written, batch_size),
     )
+    if ledger_path is not None and inputs.files:
+        spark.createDataFrame(
+            [(name, length, None, target) for _, name, length in inputs.files],
+            LEDGER_SCHEMA,
+        ).write.mode("append").parquet(ledger_path)
     return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, staging, elapsed, steps)
+
+
+LEDGER_SCHEMA = "file_name string, length bigint, sha256 string, loaded_into string"
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Files already ingested; empty when the ledger does not exist yet."""
+    from regline.sources import fs
+
+    if not fs.exists(ledger_path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)

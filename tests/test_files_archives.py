@@ -88,3 +88,19 @@ def test_skip_already_ingested(spark, write_files):
     listing = text.list_files(spark, d).select("file_name", "length")
     ledger = spark.createDataFrame([("a.csv", 1, None), ("b.csv", 5, None)], "file_name string, length bigint, sha256 string")
     assert sorted(r.file_name for r in files.not_yet_ingested(listing, ledger).collect()) == ["b.csv", "c.csv"]
+
+
+def test_ledger_takes_only_new_archives(spark, write_files, tmp_path):
+    from conftest import GOOD, record_line
+
+    from regline.plans.ingest import ingest
+
+    d = write_files({"Empresas0.zip": zip_bytes({"Empresas0.csv": record_line(GOOD) + b"\r\n"})})
+    ledger = str(tmp_path / "ledger")
+    first = ingest(spark, d, str(tmp_path / "t1"), ledger_path=ledger).stats.first()
+    assert (first.files_read, first.records_written) == (1, 1)
+    again = ingest(spark, d, str(tmp_path / "t2"), ledger_path=ledger).stats.first()
+    assert (again.files_read, again.lines_read) == (0, 0)
+    (tmp_path / "in" / "Empresas1.zip").write_bytes(zip_bytes({"Empresas1.csv": record_line({**GOOD, 0: "87654321"}) + b"\n"}))
+    third = ingest(spark, d, str(tmp_path / "t3"), ledger_path=ledger).stats.first()
+    assert (third.files_read, third.records_written) == (1, 1)
