@@ -155,7 +155,7 @@ def ingest(
     staging = f"{target}/_staging"
     staged = staged_frame(classified.observe(staged_obs, *counter_columns()), layout)
     with sql_conf(spark, **{"spark.sql.maxConcurrentOutputFileWriters": "4"}):
-        staged.write.partitionBy("outcome").parquet(staging)
+        staged.write.options(**layout.parquet_options(extra=("line",))).partitionBy("outcome").parquet(staging)
     counters = staged_obs.get
     steps["stage"] = time.perf_counter() - started - steps["resolve"]
 

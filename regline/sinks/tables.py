@@ -47,6 +47,7 @@ def append(
 ) -> None:
     """Append by column name into the partitioned table, in layout order."""
     writer = laid_out(records.select(*layout.names), layout).write.mode("append").format("parquet")
+    writer = writer.options(**layout.parquet_options())
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     if max_records_per_file:
@@ -71,7 +72,7 @@ def write_partitioned(
     out = laid_out(records.select(*layout.names), layout)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("n"))
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).options(**layout.parquet_options())
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     if max_records_per_file:
@@ -104,7 +105,8 @@ def write_snapshot(
     """
     (
         records.select(*layout.names)
-        .write.bucketBy(buckets, layout.key)
+        .write.options(**layout.parquet_options())
+        .bucketBy(buckets, layout.key)
         .sortBy(layout.key)
         .option("path", location)
         .saveAsTable(name)
