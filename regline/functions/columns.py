@@ -27,11 +27,6 @@ def strip_line_end(line: Column | str) -> Column:
     return F.regexp_replace(_c(line), "\r\\z", "")
 
 
-def is_blank(line: Column | str) -> Column:
-    """Only a zero-length line is blank; a line of spaces is data."""
-    return _c(line) == F.lit("")
-
-
 def java_literal_regex(sep: str) -> str:
     """A regex matching ``sep`` literally. A single plain character is kept
     as is, which lets the split take its single-byte fast path."""
@@ -76,7 +71,3 @@ def escape_copy_text(c: Column | str) -> Column:
 def copy_text_line(cols: list[str]) -> Column:
     """One tab-separated line, ``\\N`` for NULL."""
     return F.concat_ws("\t", *[F.coalesce(escape_copy_text(c), F.lit("\\N")) for c in cols])
-
-
-def file_name_of(path: Column | str) -> Column:
-    return F.regexp_extract(_c(path), r"([^/]+)$", 1)

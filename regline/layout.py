@@ -42,9 +42,6 @@ class Layout:
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
-    def width_of(self, name: str) -> int | None:
-        return next(f.width for f in self.fields if f.name == name)
-
 
 # Fixed values (must equal the registry layout of the "Empresas" files):
 # column name, source position, VARCHAR width and typed kind, in table order.
@@ -85,8 +82,6 @@ EMPRESAS = Layout(
     high_cardinality=("cnpj", "razao_social", "cep", "capital_social", "data_abertura", "ddd_telefone_1", "ddd_telefone_2"),
 )
 
-EMPRESAS_COLUMNS = EMPRESAS.names
-
 
 def code_table_layout(code_width: int | None = None) -> Layout:
     """Two-column (code;description) layout of the registry's code tables."""

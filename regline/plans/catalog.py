@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, code_table_layout
 from regline.operators import analytics, quality, records, releases, stats
-from regline.plans.fixtures import NOT_A_ZIP, registry_release
+from regline.plans.fixtures import registry_release
 from regline.plans.ingest import ingest
 from regline.session import fresh_dir, shared_dir
 from regline.sinks import export, tables

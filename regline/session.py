@@ -62,19 +62,6 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs accept the path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def is_local(uri: str) -> bool:
-    return uri.startswith("file:") or "://" not in uri and os.path.isabs(uri)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.functions.columns import decode_text, file_name_of, strip_line_end
+from regline.functions.columns import decode_text, strip_line_end
 
 
 def lines_from_raw(raw: DataFrame, encoding: str = "ISO-8859-1", keep_blank: bool = False) -> DataFrame:
