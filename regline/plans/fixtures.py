@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,8 +232,16 @@ def registry_release(
     """
     root = fixture_root(spark, sf_dir, f"{table}-{variant}-{n_files}")
     ship_package(spark)
-    if fs.exists(f"{root}/_READY"):
-        return root
+    with _RENDER_LOCK:  # callers on several threads render each release once
+        if not fs.exists(f"{root}/_READY"):
+            _render(spark, sf_dir, variant, table, n_files, root)
+    return root
+
+
+_RENDER_LOCK = threading.Lock()
+
+
+def _render(spark: SparkSession, sf_dir: str, variant: str, table: str, n_files: int, root: str) -> None:
     if variant == "codes":
         lines = code_table_lines(spark, sf_dir)
     else:
@@ -254,4 +263,3 @@ def registry_release(
         else:
             fs.write_bytes(f"{root}/{empty}.csv", b"")
     fs.write_bytes(f"{root}/_READY", b"")
-    return root

@@ -23,6 +23,7 @@ from regline.layout import EMPRESAS, Layout
 from regline.operators.quality import dedupe
 from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
+from regline.plans.sizing import scan_conf, shuffle_conf
 from regline.sinks.tables import read_partitioned, write_partitioned
 from regline.sources.archives import read_zip_lines
 from regline.sources.files import not_yet_ingested
@@ -154,7 +155,10 @@ def ingest(
     staged_obs = Observation("staged")
     staging = f"{target}/_staging"
     staged = staged_frame(classified.observe(staged_obs, *counter_columns()), layout)
-    with sql_conf(spark, **{"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+    input_bytes = sum(length for _, _, length in inputs.files)
+    cores = spark.sparkContext.defaultParallelism
+    stage_conf = {"spark.sql.maxConcurrentOutputFileWriters": "4", **scan_conf(input_bytes, cores)}
+    with sql_conf(spark, **stage_conf):  # read when the write plans its scan
         staged.write.options(**layout.parquet_options(extra=("line",))).partitionBy("outcome").parquet(staging)
     counters = staged_obs.get
     steps["stage"] = time.perf_counter() - started - steps["resolve"]
@@ -166,13 +170,16 @@ def ingest(
         accepted = spark.createDataFrame([], "file_path string, " + ", ".join(f"{c} string" for c in layout.names))
     if record_filter:
         accepted = accepted.where(F.expr(record_filter))
+    publish_conf = shuffle_conf(input_bytes, cores)
     t = time.perf_counter()
-    records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
+    with sql_conf(spark, **publish_conf):
+        records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
     steps["dedupe_keys"] = time.perf_counter() - t
     t = time.perf_counter()
     written_obs = Observation("written")
     table_path = f"{target}/table"
-    write_partitioned(records, table_path, layout, max_records_per_file, observation=written_obs)
+    with sql_conf(spark, **publish_conf):
+        write_partitioned(records, table_path, layout, max_records_per_file, observation=written_obs)
     written = int(written_obs.get["n"])
     steps["publish"] = time.perf_counter() - t
     elapsed = time.perf_counter() - started
@@ -183,7 +190,7 @@ def ingest(
         duplicates_dropped=(int(counters["records_processed"]) - written) if deduplicate and not record_filter else 0,
         files_read=len(inputs.files),
         files_failed=len(inputs.missing),
-        bytes_read=sum(length for _, _, length in inputs.files),
+        bytes_read=input_bytes,
         batches_sent=batches_for(written, batch_size),
     )
     if ledger_path is not None and inputs.files:
