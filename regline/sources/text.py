@@ -87,7 +87,7 @@ def read_file_list(
 
     Returns (lines, status). Only the small file listing reaches the driver.
     """
-    status = file_status(spark, root, list(names)).cache()
+    status = file_status(spark, root, list(names))  # built from the driver-side listing; cheap to recompute
     present = [r.path for r in status.where("status = 'ok'").select("path").collect()]
     if present:
         lines = read_lines(spark, present, encoding)
