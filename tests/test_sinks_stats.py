@@ -116,3 +116,18 @@ def test_ingest_code_table_with_caller_layout(spark, write_files, tmp_path):
     assert got == [("0001", "Agricultura"), ("0002", "Pesca")]
     s = res.stats.first()
     assert (s.lines_read, s.rejected_too_few_fields, s.duplicates_dropped) == (4, 1, 1)
+
+
+def test_command_line(spark, write_files, tmp_path, capsys):
+    import json
+
+    from regline.__main__ import main
+
+    root = write_files({"Empresas0.csv": record_line(GOOD) + b"\r\n" + b"x\r\n"})
+    assert main(["ingest", root, str(tmp_path / "t"), "--batch-size", "10"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["records_written"], stats["rejected_too_few_fields"], stats["batches_sent"]) == (1, 1, 1)
+    assert main(["export", str(tmp_path / "t" / "table"), str(tmp_path / "copy"), "--format", "copy"]) == 0
+    assert spark.read.text(str(tmp_path / "copy")).first().value.startswith("12345678000195\t")
+    assert main(["status", root]) == 0
+    assert "0 archive(s)" in capsys.readouterr().out
