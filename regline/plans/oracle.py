@@ -192,8 +192,8 @@ def oracle_sql() -> dict[str, str]:
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM g WHERE k % 23 = 0) AS blank_lines,
        CAST(count(*) AS BIGINT) AS kept_lines, CAST(0 AS BIGINT) AS space_lines FROM lines"""
     q["multi_file_scan"] = B + """
-SELECT file_name, 'ok' AS status, CAST(count(*) AS BIGINT) AS lines FROM lines
-WHERE file_name IN ('Empresas0.csv', 'Empresas1.csv') GROUP BY file_name
+SELECT file_name, 'ok' AS status, CAST(count(*) AS BIGINT) AS lines FROM lines GROUP BY file_name
+UNION ALL SELECT 'Empresas4.csv', 'ok', CAST(0 AS BIGINT)
 UNION ALL SELECT 'Empresas9.csv', 'missing', CAST(0 AS BIGINT)"""
     q["dataset_file_selection"] = B + """
 SELECT file_name, 'Empresas' AS dataset, CAST(substr(file_name, 9, 1) AS INTEGER) AS part_no,
@@ -289,7 +289,7 @@ SELECT situacao_cadastral, CAST(count(*) AS BIGINT) AS total FROM recd GROUP BY
     q["lookup_by_cnpj"] = B + """,
 ids AS (
   SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '0001' || lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') AS cnpj
-  FROM orders WHERE o_orderpriority = '1-URGENT'
+  FROM orders
 )
 SELECT ids.cnpj, recd.cnpj IS NOT NULL AS found, recd.razao_social, recd.uf
 FROM ids LEFT JOIN recd ON ids.cnpj = recd.cnpj"""
