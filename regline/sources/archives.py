@@ -55,6 +55,7 @@ class ZipLinesReader(DataSourceReader):
         self.paths = json.loads(options["paths"])
         self.max_total = int(options.get("maxTotalBytes", MAX_TOTAL_BYTES))
         self.suffix = options.get("memberSuffix", MEMBER_SUFFIX)
+        self.chunk = int(options.get("chunkBytes", CHUNK_BYTES))
 
     def partitions(self):
         parts = []
@@ -84,7 +85,7 @@ class ZipLinesReader(DataSourceReader):
         with fs.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as src:
             rest = b""
             while True:
-                chunk = src.read(CHUNK_BYTES)
+                chunk = src.read(self.chunk)
                 if not chunk:
                     break
                 data = rest + chunk
@@ -126,6 +127,7 @@ def read_zip_raw(
     archives: Sequence[str],
     max_total_bytes: int = MAX_TOTAL_BYTES,
     member_suffix: str = MEMBER_SUFFIX,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     _register(spark)
     return (
@@ -133,6 +135,7 @@ def read_zip_raw(
         .option("paths", json.dumps(list(archives)))
         .option("maxTotalBytes", str(max_total_bytes))
         .option("memberSuffix", member_suffix)
+        .option("chunkBytes", str(chunk_bytes))
         .load()
     )
 
