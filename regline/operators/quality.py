@@ -73,9 +73,25 @@ def dedupe(
     return unique.unionByName(_winners(repeated, layout, order).select(*layout.names))
 
 
-def against_stored(records: DataFrame, stored: DataFrame, key: str = "cnpj") -> DataFrame:
-    """V5 across loads: records whose key is not yet stored."""
-    return records.join(stored.select(key), key, "left_anti")
+def against_stored(
+    records: DataFrame, stored: DataFrame, key: str = "cnpj", max_broadcast_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """V5 across loads: records whose key is not yet stored.
+
+    A new load (or micro-batch) is usually far smaller than the stored table.
+    When a bounded count shows its keys are few, they are broadcast and the
+    stored key column is only scanned (semi join, no shuffle of the table);
+    the few keys found are then removed from the new records. Otherwise a
+    plain anti join shuffles both sides.
+    """
+    from regline.operators.analytics import bounded_broadcast
+
+    new_keys = records.select(key).distinct()
+    keys = bounded_broadcast(new_keys, max_broadcast_keys)
+    if keys is new_keys:
+        return records.join(stored.select(key), key, "left_anti")
+    found = stored.select(key).join(keys, key, "left_semi").distinct()
+    return records.join(found, key, "left_anti")
 
 
 def with_check_digit(records: DataFrame, key: str = "cnpj") -> DataFrame:

@@ -52,3 +52,12 @@ def test_typed_view(spark):
     assert got["2"].cast_errors == "data_abertura,capital_social"
     assert got["3"].data_abertura == dt.date(1999, 2, 15) and got["3"].opcao_mei is False
     assert got["3"].cast_errors is None
+
+
+def test_against_stored_both_paths(spark):
+    from regline.operators.quality import against_stored
+
+    new = records_df(spark, [{"cnpj": "1"}, {"cnpj": "2"}, {"cnpj": "2"}, {"cnpj": "3"}])
+    stored = records_df(spark, [{"cnpj": "2"}, {"cnpj": "9"}])
+    for bound in (10, 0):  # broadcast path, then the plain anti join
+        assert sorted(r.cnpj for r in against_stored(new, stored, max_broadcast_keys=bound).collect()) == ["1", "3"]
