@@ -23,12 +23,19 @@ from regline.sources.text import lines_from_raw, list_files
 MAX_TOTAL_BYTES = 10 * 1024**3
 MEMBER_SUFFIX = ".csv"
 CHUNK_BYTES = 8 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024  # uncompressed members above this are read by several tasks
+SPREAD_BYTES = 256 * 1024 * 1024  # a compressed member above this has its lines spread after inflating
 
 RAW_SCHEMA = "file_path string, file_name string, value binary"
 
 
-def inspect_archive(uri: str) -> tuple[bool, list[tuple[str, int]]]:
-    """(is_zip, [(member, uncompressed size)]) from the central directory only."""
+def inspect_archive(uri: str, detail: bool = False) -> tuple[bool, list]:
+    """(is_zip, [(member, uncompressed size)]) from the central directory only.
+
+    With ``detail``, members are (name, size, stored, data_offset): whether
+    the member is uncompressed and where its bytes start in the archive.
+    """
+    import struct
     import zipfile
 
     from regline.sources import fs
@@ -38,16 +45,81 @@ def inspect_archive(uri: str) -> tuple[bool, list[tuple[str, int]]]:
             return False, []
         try:
             with zipfile.ZipFile(handle) as zf:
-                return True, [(i.filename, i.file_size) for i in zf.infolist() if not i.is_dir()]
+                infos = [i for i in zf.infolist() if not i.is_dir()]
+                if not detail:
+                    return True, [(i.filename, i.file_size) for i in infos]
+                out = []
+                for i in infos:
+                    stored = i.compress_type == zipfile.ZIP_STORED and not i.flag_bits & 0x1
+                    offset = -1
+                    if stored:
+                        handle.seek(i.header_offset)
+                        head = handle.read(30)
+                        name_len, extra_len = struct.unpack("<HH", head[26:30])
+                        offset = i.header_offset + 30 + name_len + extra_len
+                    out.append((i.filename, i.file_size, stored, offset))
+                return True, out
         except zipfile.BadZipFile:
             return False, []
 
 
 class MemberPartition(InputPartition):
-    def __init__(self, archive: str, member: str):
-        super().__init__((archive, member))
+    """A whole member, or for an uncompressed member the lines that begin in
+    the byte range [start, end) of its content."""
+
+    def __init__(self, archive: str, member: str, start: int = 0, end: int = -1, offset: int = -1, size: int = 0):
+        super().__init__((archive, member, start, end))
         self.archive = archive
         self.member = member
+        self.start = start
+        self.end = end
+        self.offset = offset
+        self.size = size
+
+
+def lines_in_range(read_at, start: int, end: int, chunk: int):
+    """Batches of lines whose first byte lies in [start, end) of a byte stream.
+
+    ``read_at(pos, n)`` returns up to n bytes at pos. A line that begins before
+    ``start`` belongs to the previous range, as in Hadoop's line splits.
+    """
+    pos = 0
+    if start > 0:  # the first line of this range starts after the first LF at or after start - 1
+        pos = start - 1
+        while True:
+            buf = read_at(pos, chunk)
+            if not buf:
+                return
+            i = buf.find(b"\n")
+            if i >= 0:
+                pos += i + 1
+                break
+            pos += len(buf)
+    rest, rest_start, off = b"", pos, pos
+    while rest_start < end:
+        buf = read_at(off, chunk)
+        if not buf:
+            if rest:
+                yield [rest]
+            return
+        off += len(buf)
+        data = rest + buf
+        cut = data.rfind(b"\n")
+        if cut < 0:
+            rest = data
+            continue
+        lines = data[:cut].split(b"\n")
+        if rest_start + cut + 1 > end:  # the range ends inside this chunk
+            keep, p = [], rest_start
+            for line in lines:
+                if p >= end:
+                    break
+                keep.append(line)
+                p += len(line) + 1
+            yield keep
+            return
+        yield lines
+        rest, rest_start = data[cut + 1:], rest_start + cut + 1
 
 
 class ZipLinesReader(DataSourceReader):
@@ -56,14 +128,25 @@ class ZipLinesReader(DataSourceReader):
         self.max_total = int(options.get("maxTotalBytes", MAX_TOTAL_BYTES))
         self.suffix = options.get("memberSuffix", MEMBER_SUFFIX)
         self.chunk = int(options.get("chunkBytes", CHUNK_BYTES))
+        self.split = int(options.get("splitBytes", SPLIT_BYTES))
 
     def partitions(self):
         parts = []
         for archive in self.paths:
-            is_zip, members = inspect_archive(archive)
-            if not is_zip or sum(size for _, size in members) > self.max_total:
+            is_zip, members = inspect_archive(archive, detail=True)
+            if not is_zip or sum(m[1] for m in members) > self.max_total:
                 continue
-            parts.extend(MemberPartition(archive, m) for m, _ in members if m.endswith(self.suffix))
+            for name, size, stored, offset in members:
+                if not name.endswith(self.suffix):
+                    continue
+                if stored and size > self.split:
+                    # Uncompressed bytes can be read at any offset: split like a text file.
+                    parts.extend(
+                        MemberPartition(archive, name, s, min(s + self.split, size), offset, size)
+                        for s in range(0, size, self.split)
+                    )
+                else:
+                    parts.append(MemberPartition(archive, name))
         return parts
 
     def read(self, partition: MemberPartition):
@@ -82,6 +165,19 @@ class ZipLinesReader(DataSourceReader):
                 names=["file_path", "file_name", "value"],
             )
 
+        if partition.end >= 0:  # a byte range of an uncompressed member
+            with fs.open_input(partition.archive) as handle:
+
+                def read_at(pos, n):
+                    if pos >= partition.size:
+                        return b""
+                    handle.seek(partition.offset + pos)
+                    return handle.read(min(n, partition.size - pos))
+
+                for lines in lines_in_range(read_at, partition.start, partition.end, self.chunk):
+                    yield batch(lines)
+            return
+
         with fs.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as src:
             rest = b""
             while True:
@@ -128,6 +224,7 @@ def read_zip_raw(
     max_total_bytes: int = MAX_TOTAL_BYTES,
     member_suffix: str = MEMBER_SUFFIX,
     chunk_bytes: int = CHUNK_BYTES,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     _register(spark)
     return (
@@ -136,25 +233,52 @@ def read_zip_raw(
         .option("maxTotalBytes", str(max_total_bytes))
         .option("memberSuffix", member_suffix)
         .option("chunkBytes", str(chunk_bytes))
+        .option("splitBytes", str(split_bytes))
         .load()
     )
 
 
+def spread_for(archives: Sequence[str], cores: int, spread_bytes: int = SPREAD_BYTES) -> int | None:
+    """How many partitions to spread the lines over, or None.
+
+    Inflating a member is sequential, but it is far cheaper per byte than
+    parsing and writing the lines. When one compressed member is large (a
+    single member may hold a third of a release), its task only inflates and
+    the lines are spread round-robin so the work after it runs on every core.
+    Uncompressed members are split by byte range instead and need no spread.
+    """
+    largest, total = 0, 0
+    for archive in archives:
+        is_zip, members = inspect_archive(archive, detail=True)
+        for _, size, stored, _ in members if is_zip else []:
+            total += size
+            if not stored:
+                largest = max(largest, size)
+    if largest <= spread_bytes:
+        return None
+    return max(2 * cores, -(-total // SPLIT_BYTES))
+
+
 def read_zip_lines(
     spark: SparkSession,
     archives: Sequence[str],
     encoding: str = "ISO-8859-1",
     max_total_bytes: int = MAX_TOTAL_BYTES,
-    spread: int | None = None,
+    spread: int | str | None = "auto",
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Lines of every accepted member of the given archives.
 
-    Parallelism equals the number of members. ``spread`` round-robins the
-    lines over that many partitions; it costs a full shuffle, so it is off by
-    default (decompression, not parsing, bounds a member's task).
+    One task per compressed member; uncompressed members above
+    ``split_bytes`` are read by several tasks (byte ranges). ``spread``:
+    "auto" (see ``spread_for``), a partition count, or None.
     """
-    lines = lines_from_raw(read_zip_raw(spark, archives, max_total_bytes), encoding)
-    return lines.repartition(spread) if spread else lines
+    raw = read_zip_raw(spark, archives, max_total_bytes, split_bytes=split_bytes)
+    if spread == "auto":
+        spread = spread_for(archives, spark.sparkContext.defaultParallelism)
+    if spread:
+        raw = raw.repartition(spread)  # raw bytes move once; decoding runs after the spread
+    return lines_from_raw(raw, encoding)
 
 
 def _audit_batches(batches):

@@ -104,3 +104,19 @@ def test_ledger_takes_only_new_archives(spark, write_files, tmp_path):
     (tmp_path / "in" / "Empresas1.zip").write_bytes(zip_bytes({"Empresas1.csv": record_line({**GOOD, 0: "87654321"}) + b"\n"}))
     third = ingest(spark, d, str(tmp_path / "t3"), ledger_path=ledger).stats.first()
     assert (third.files_read, third.records_written) == (1, 1)
+
+
+def test_large_compressed_member_is_spread(spark, write_files):
+    import zipfile as z
+
+    buf = io.BytesIO()
+    with z.ZipFile(buf, "w", compression=z.ZIP_DEFLATED) as zf:
+        zf.writestr("Empresas0.csv", b"".join(b"line %d\r\n" % i for i in range(500)))
+    d = write_files({"Empresas0.zip": buf.getvalue()})
+    paths = [r.path for r in text.list_files(spark, d).collect()]
+    assert archives.spread_for(paths, cores=4) is None  # small member: no shuffle
+    n = archives.spread_for(paths, cores=4, spread_bytes=100)
+    assert n is not None and n >= 8
+    lines = archives.read_zip_lines(spark, paths, spread=n)
+    assert lines.rdd.getNumPartitions() == n
+    assert sorted(r.line for r in lines.collect()) == sorted(f"line {i}" for i in range(500))
