@@ -51,6 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if not current:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder every executor can reach (e.g. on the cluster's shared "
+                "storage); a driver-local folder would be invisible to executors"
+            )
         base = configured or tempfile.mkdtemp(prefix="regline-ckpt-")
         sc.setCheckpointDir(base)
         current = sc.getCheckpointDir()
