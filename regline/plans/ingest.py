@@ -25,7 +25,7 @@ from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
 from regline.plans.sizing import scan_conf, shuffle_conf
 from regline.sinks.tables import read_partitioned, write_partitioned
-from regline.sources.archives import read_zip_lines
+from regline.sources.archives import archive_verdict, read_zip_lines
 from regline.sources.files import not_yet_ingested
 from regline.sources.text import dataset_files, read_lines
 
@@ -147,6 +147,9 @@ def ingest(
     if ledger_path is not None and ledger is None:
         ledger = read_ledger(spark, ledger_path)
     inputs = resolve_inputs(spark, root, families, names, ledger)
+    # An archive that is not a ZIP or is over the size limit is skipped by the
+    # scan and counted as a failed file (central directories only).
+    unreadable = [p for p in inputs.paths if archive_verdict(p) != "ok"] if inputs.kind == "zip" else []
     steps["resolve"] = time.perf_counter() - started
     classified = classify(read_release(spark, inputs), layout, trim=trim)
 
@@ -188,9 +191,9 @@ def ingest(
     values.update(
         records_written=written,
         duplicates_dropped=(int(counters["records_processed"]) - written) if deduplicate and not record_filter else 0,
-        files_read=len(inputs.files),
-        files_failed=len(inputs.missing),
-        bytes_read=input_bytes,
+        files_read=len(inputs.files) - len(unreadable),
+        files_failed=len(inputs.missing) + len(unreadable),
+        bytes_read=sum(length for path, _, length in inputs.files if path not in unreadable),
         batches_sent=batches_for(written, batch_size),
     )
     if ledger_path is not None and inputs.files:

@@ -238,6 +238,14 @@ def read_zip_raw(
     )
 
 
+def archive_verdict(uri: str, max_total_bytes: int = MAX_TOTAL_BYTES) -> str:
+    """S5 for one archive from its central directory: ok | not_zip | oversize."""
+    is_zip, members = inspect_archive(uri)
+    if not is_zip:
+        return "not_zip"
+    return "oversize" if sum(size for _, size in members) > max_total_bytes else "ok"
+
+
 def spread_for(archives: Sequence[str], cores: int, spread_bytes: int = SPREAD_BYTES) -> int | None:
     """How many partitions to spread the lines over, or None.
 

@@ -120,3 +120,16 @@ def test_large_compressed_member_is_spread(spark, write_files):
     lines = archives.read_zip_lines(spark, paths, spread=n)
     assert lines.rdd.getNumPartitions() == n
     assert sorted(r.line for r in lines.collect()) == sorted(f"line {i}" for i in range(500))
+
+
+def test_unreadable_archive_counts_as_failed_file(spark, write_files, tmp_path):
+    from conftest import GOOD, record_line
+
+    from regline.plans.ingest import ingest
+
+    d = write_files({
+        "Empresas0.zip": zip_bytes({"Empresas0.csv": record_line(GOOD) + b"\r\n"}),
+        "Empresas1.zip": b"this is not an archive",
+    })
+    s = ingest(spark, d, str(tmp_path / "t")).stats.first()
+    assert (s.files_read, s.files_failed, s.records_written, s.errors) == (1, 1, 1, 1)
