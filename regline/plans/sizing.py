@@ -24,9 +24,10 @@ def scan_conf(input_bytes: int, cores: int) -> dict[str, str]:
 
 
 def shuffle_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Publish step: its scan of the staged Parquet and its shuffles."""
     staged = int(input_bytes * STAGED_FRACTION)
     partitions = max(2 * cores, -(-staged // SHUFFLE_TARGET))
-    conf = {"spark.sql.shuffle.partitions": str(partitions)}
+    conf = {"spark.sql.shuffle.partitions": str(partitions), **scan_conf(staged, cores)}
     if staged > 64 * SHUFFLE_TARGET:
         conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(SHUFFLE_TARGET)
     return conf

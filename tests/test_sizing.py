@@ -13,9 +13,10 @@ def test_hundred_terabytes_on_a_thousand_executors():
     parts = int(conf["spark.sql.shuffle.partitions"])
     assert 100_000 < parts < 200_000  # ~256 MiB of staged records each
     assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * MIB)
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == MAX_SPLIT  # 35 TB staged / 16k > 512 MiB
 
 
 def test_small_input_keeps_every_core_busy():
     assert int(scan_conf(80 * MIB, 8)["spark.sql.files.maxPartitionBytes"]) == MIN_SPLIT
     conf = shuffle_conf(80 * MIB, 8)
-    assert conf == {"spark.sql.shuffle.partitions": "16"}
+    assert conf == {"spark.sql.shuffle.partitions": "16", "spark.sql.files.maxPartitionBytes": str(MIN_SPLIT)}
