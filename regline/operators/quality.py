@@ -54,8 +54,6 @@ def dedupe(
     reduces a hot key (say, a third of all rows) to one row per task before
     the shuffle. Nothing buffers a whole key group in one task.
     """
-    from regline.operators.analytics import bounded_broadcast
-
     key = layout.key
     shared_dir(records.sparkSession)  # checkpoints go to the shared folder
     # Computed once and written to the checkpoint folder (reliable, survives
@@ -63,11 +61,14 @@ def dedupe(
     dup_keys = (
         records.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
     ).checkpoint(eager=True)
-    keys = bounded_broadcast(dup_keys, max_broadcast_keys)
-    if keys is dup_keys:
+    n_dup = dup_keys.limit(max_broadcast_keys + 1).count()
+    if n_dup == 0:  # the usual case for a clean release: nothing to join
+        return records.select(*layout.names)
+    if n_dup > max_broadcast_keys:
         # Too many duplicated keys to broadcast: one min(struct) aggregate over
         # everything (a single shuffle) beats two shuffle joins.
         return _winners(records, layout, order).select(*layout.names)
+    keys = F.broadcast(dup_keys)  # size proven above
     unique = records.join(keys, key, "left_anti").select(*layout.names)
     repeated = records.join(keys, key, "left_semi")
     return unique.unionByName(_winners(repeated, layout, order).select(*layout.names))

@@ -61,3 +61,11 @@ def test_against_stored_both_paths(spark):
     stored = records_df(spark, [{"cnpj": "2"}, {"cnpj": "9"}])
     for bound in (10, 0):  # broadcast path, then the plain anti join
         assert sorted(r.cnpj for r in against_stored(new, stored, max_broadcast_keys=bound).collect()) == ["1", "3"]
+
+
+def test_dedupe_without_duplicates_is_a_plain_projection(spark):
+    df = records_df(spark, [{"file_path": "a", "cnpj": str(i)} for i in range(5)])
+    out = dedupe(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted(r.cnpj for r in out.collect()) == [str(i) for i in range(5)]
