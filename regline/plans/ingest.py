@@ -25,7 +25,7 @@ from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
 from regline.plans.sizing import scan_conf, shuffle_conf
 from regline.sinks.tables import read_partitioned, write_partitioned
-from regline.sources.archives import archive_verdict, read_zip_lines
+from regline.sources.archives import plan_archives, read_planned, read_zip_lines
 from regline.sources.files import not_yet_ingested
 from regline.sources.text import dataset_files, read_lines
 
@@ -147,11 +147,18 @@ def ingest(
     if ledger_path is not None and ledger is None:
         ledger = read_ledger(spark, ledger_path)
     inputs = resolve_inputs(spark, root, families, names, ledger)
-    # An archive that is not a ZIP or is over the size limit is skipped by the
-    # scan and counted as a failed file (central directories only).
-    unreadable = [p for p in inputs.paths if archive_verdict(p) != "ok"] if inputs.kind == "zip" else []
+    unreadable: list[str] = []
+    if inputs.kind == "zip":
+        # One executor-side pass over the central directories: what to read,
+        # and which archives are not ZIPs or over the size limit (skipped and
+        # counted as failed files).
+        zip_plan = plan_archives(spark, inputs.paths)
+        unreadable = [a for a, v in zip_plan.verdicts.items() if v != "ok"]
+        lines = read_planned(spark, zip_plan)
+    else:
+        lines = read_release(spark, inputs)
     steps["resolve"] = time.perf_counter() - started
-    classified = classify(read_release(spark, inputs), layout, trim=trim)
+    classified = classify(lines, layout, trim=trim)
 
     # Pass 1: the only read of the raw text. Accepted and rejected rows land in
     # one partitioned write; with concurrent writers no task sorts its rows.

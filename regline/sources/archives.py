@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,13 +125,16 @@ def lines_in_range(read_at, start: int, end: int, chunk: int):
 
 class ZipLinesReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = json.loads(options["paths"])
+        self.plan = options.get("plan")
+        self.paths = json.loads(options.get("paths", "[]"))
         self.max_total = int(options.get("maxTotalBytes", MAX_TOTAL_BYTES))
         self.suffix = options.get("memberSuffix", MEMBER_SUFFIX)
         self.chunk = int(options.get("chunkBytes", CHUNK_BYTES))
         self.split = int(options.get("splitBytes", SPLIT_BYTES))
 
     def partitions(self):
+        if self.plan is not None:  # computed by plan_archives on executors
+            return [MemberPartition(*p) for p in json.loads(self.plan)]
         parts = []
         for archive in self.paths:
             is_zip, members = inspect_archive(archive, detail=True)
@@ -238,6 +242,89 @@ def read_zip_raw(
     )
 
 
+MEMBER_SCHEMA = "archive string, is_zip boolean, member string, size bigint, stored boolean, data_offset bigint"
+
+
+def _member_rows(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:
+            is_zip, members = inspect_archive(path, detail=True)
+            rows.extend((path, True, m, size, stored, off) for m, size, stored, off in members)
+            if not members:
+                rows.append((path, is_zip, None, 0, False, -1))
+        yield pd.DataFrame(rows, columns=["archive", "is_zip", "member", "size", "stored", "data_offset"]).astype(
+            {"size": "int64", "data_offset": "int64"}
+        )
+
+
+@dataclass
+class ZipPlan:
+    """What a ZIP load will read, from one executor-side pass over the
+    central directories (metadata only reaches the driver)."""
+
+    partitions: list  # (archive, member, start, end, offset, size)
+    verdicts: dict  # archive -> ok | not_zip | oversize
+    spread: int | None  # partitions to spread lines over, or None
+    member_bytes: int
+
+
+def plan_archives(
+    spark: SparkSession,
+    archives: Sequence[str],
+    max_total_bytes: int = MAX_TOTAL_BYTES,
+    member_suffix: str = MEMBER_SUFFIX,
+    split_bytes: int = SPLIT_BYTES,
+    spread_bytes: int = SPREAD_BYTES,
+) -> ZipPlan:
+    ship_package(spark)
+    paths = spark.createDataFrame([(a,) for a in archives], "path string")
+    n = max(1, min(len(archives), spark.sparkContext.defaultParallelism * 4))
+    rows = paths.repartition(n, "path").mapInPandas(_member_rows, MEMBER_SCHEMA).collect()
+    by_archive: dict = {}
+    for r in rows:
+        by_archive.setdefault(r.archive, []).append(r)
+    partitions, verdicts, largest, total = [], {}, 0, 0
+    for archive in archives:
+        members = [r for r in by_archive.get(archive, []) if r.member is not None]
+        if not any(r.is_zip for r in by_archive.get(archive, [])):
+            verdicts[archive] = "not_zip"
+            continue
+        if sum(r.size for r in members) > max_total_bytes:
+            verdicts[archive] = "oversize"
+            continue
+        verdicts[archive] = "ok"
+        for r in members:
+            if not r.member.endswith(member_suffix):
+                continue
+            total += r.size
+            if r.stored and r.size > split_bytes:
+                partitions.extend(
+                    (archive, r.member, s0, min(s0 + split_bytes, r.size), r.data_offset, r.size)
+                    for s0 in range(0, r.size, split_bytes)
+                )
+            else:
+                partitions.append((archive, r.member, 0, -1, -1, 0))
+                if not r.stored:
+                    largest = max(largest, r.size)
+    cores = spark.sparkContext.defaultParallelism
+    spread = max(2 * cores, -(-total // SPLIT_BYTES)) if largest > spread_bytes else None
+    return ZipPlan(partitions, verdicts, spread, total)
+
+
+def read_planned(spark: SparkSession, plan: ZipPlan, encoding: str = "ISO-8859-1") -> DataFrame:
+    """S4 from a plan: no central directory is read again while planning."""
+    _register(spark)
+    if not plan.partitions:
+        return spark.createDataFrame([], "file_path string, file_name string, line string")
+    raw = spark.read.format("registry_zip").option("plan", json.dumps(plan.partitions)).load()
+    if plan.spread:
+        raw = raw.repartition(plan.spread)
+    return lines_from_raw(raw, encoding)
+
+
 def archive_verdict(uri: str, max_total_bytes: int = MAX_TOTAL_BYTES) -> str:
     """S5 for one archive from its central directory: ok | not_zip | oversize."""
     is_zip, members = inspect_archive(uri)
