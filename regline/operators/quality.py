@@ -68,9 +68,11 @@ def dedupe(
         # Too many duplicated keys to broadcast: one min(struct) aggregate over
         # everything (a single shuffle) beats two shuffle joins.
         return _winners(records, layout, order).select(*layout.names)
-    keys = F.broadcast(dup_keys)  # size proven above
-    unique = records.join(keys, key, "left_anti").select(*layout.names)
-    repeated = records.join(keys, key, "left_semi")
+    keys = F.broadcast(dup_keys.withColumnRenamed(key, "_dup_key"))  # size proven above
+    # Null-safe, so a NULL key is one group here too, as in the aggregate path.
+    same = F.col(key).eqNullSafe(F.col("_dup_key"))
+    unique = records.join(keys, same, "left_anti").select(*layout.names)
+    repeated = records.join(keys, same, "left_semi")
     return unique.unionByName(_winners(repeated, layout, order).select(*layout.names))
 
 
