@@ -18,13 +18,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from regline.layout import code_table_layout  # noqa: E402
-from regline.operators import analytics, quality, records, releases  # noqa: E402
+from regline.operators import analytics, quality, releases  # noqa: E402
 from regline.plans.fixtures import registry_release  # noqa: E402
 from regline.plans.ingest import ingest  # noqa: E402
 from regline.session import fresh_dir, get_session  # noqa: E402
 from regline.sinks import tables  # noqa: E402
-from regline.sources import text  # noqa: E402
 
 
 def timed(results: dict, name: str, fn):
@@ -72,10 +70,8 @@ def main() -> None:
     timed(q, "check_digits", lambda: quality.with_check_digit(table).groupBy("dv_status").count().collect())
     timed(q, "typed_view", lambda: quality.typed_view(table).where("cast_errors IS NOT NULL").count())
 
-    mun = records.parse_records(text.read_lines(spark, f"{codes}/Municipios.csv"), code_table_layout())
-    nat = records.parse_records(text.read_lines(spark, f"{codes}/Naturezas.csv"), code_table_layout())
-    dims = {"codigo_municipio": (mun, "municipio"), "natureza_juridica": (nat, "natureza")}
-    timed(q, "enrich", lambda: analytics.enrich(table, dims).where("natureza IS NULL").count())
+    dims = analytics.load_code_tables(spark, codes)
+    timed(q, "enrich", lambda: analytics.enrich(table, dims).where("natureza_descricao IS NULL").count())
 
     ids = table.select("cnpj").where(F.col("cnpj").endswith("7"))
     timed(q, "lookup_batch", lambda: analytics.lookup(table, ids).where("found").count())

@@ -46,6 +46,36 @@ def enrich(
     return out
 
 
+# The registry's code-table file families and the record column
+# each one describes (countries and reasons describe no column of this layout).
+CODE_TABLE_FAMILIES = {
+    "Cnaes": ("cnae_fiscal", "cnae_descricao"),
+    "Naturezas": ("natureza_juridica", "natureza_descricao"),
+    "Municipios": ("codigo_municipio", "municipio"),
+    "Qualificacoes": ("qualificacao_representante_legal", "qualificacao_descricao"),
+}
+
+
+def load_code_tables(spark, root: str, families: Mapping[str, tuple[str, str]] = CODE_TABLE_FAMILIES) -> dict:
+    """D3: the code tables present in a release folder, ready for ``enrich``.
+
+    Each family present (plain .csv, else .zip) is read with the same scan and
+    checks as the records, through the two-column (code;description) layout.
+    Returns {record column: (table, description column name)}.
+    """
+    from regline.layout import code_table_layout
+    from regline.operators.records import parse_records
+    from regline.plans.ingest import read_release, resolve_inputs
+
+    out = {}
+    for family, (column, described_as) in families.items():
+        inputs = resolve_inputs(spark, root, families=(family,))
+        if inputs.kind == "none":
+            continue
+        out[column] = (parse_records(read_release(spark, inputs), code_table_layout()), described_as)
+    return out
+
+
 def unknown_codes(
     records: DataFrame,
     code_tables: Mapping[str, tuple[DataFrame, str]],

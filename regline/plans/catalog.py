@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.layout import EMPRESAS, code_table_layout
+from regline.layout import EMPRESAS
 from regline.operators import analytics, quality, records, releases, stats
 from regline.plans.fixtures import registry_release
 from regline.plans.ingest import ingest
@@ -266,11 +266,12 @@ def q_record_filter(spark, sf):
 
 
 def _code_tables(spark, sf):
-    root = _root(spark, sf, "codes")
-    layout = code_table_layout()
-    mun = records.parse_records(text.read_lines(spark, f"{root}/Municipios.csv"), layout)
-    nat = records.parse_records(text.read_lines(spark, f"{root}/Naturezas.csv"), layout)
-    return {"codigo_municipio": (mun, "municipio"), "natureza_juridica": (nat, "natureza")}
+    # The fixture folder holds Municipios.csv and Naturezas.csv.
+    tables_ = analytics.load_code_tables(spark, _root(spark, sf, "codes"))
+    return {
+        "codigo_municipio": (tables_["codigo_municipio"][0], "municipio"),
+        "natureza_juridica": (tables_["natureza_juridica"][0], "natureza"),
+    }
 
 
 def q_code_table_enrichment(spark, sf):

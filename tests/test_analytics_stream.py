@@ -28,6 +28,23 @@ def test_enrich_and_unknown(spark):
     assert unk == [("9999", 1)]
 
 
+def test_load_code_tables_plain_and_zip(spark, write_files):
+    import io
+    import zipfile
+
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("Cnaes.csv", "6201501;Desenvolvimento de programas\r\n".encode("latin-1"))
+    root = write_files({"Naturezas.csv": "2062;Sociedade Empresária Limitada\r\n".encode("latin-1"),
+                        "Cnaes.zip": buf.getvalue()})
+    tables_ = analytics.load_code_tables(spark, root)
+    assert set(tables_) == {"natureza_juridica", "cnae_fiscal"}
+    df = recs(spark, [{"cnpj": "1", "natureza_juridica": "2062", "cnae_fiscal": "6201501"}])
+    r = analytics.enrich(df, tables_).first()
+    assert r.natureza_descricao == "Sociedade Empresária Limitada"
+    assert r.cnae_descricao == "Desenvolvimento de programas"
+
+
 def test_lookup_and_search(spark):
     df = recs(spark, [{"cnpj": f"{i:014d}", "razao_social": f"Acme {i}", "uf": "SP" if i % 2 else "RJ"} for i in range(10)])
     ids = spark.createDataFrame([("00000000000003",), ("00000000000003",), ("99",)], "cnpj string")
