@@ -131,3 +131,15 @@ def test_command_line(spark, write_files, tmp_path, capsys):
     assert spark.read.text(str(tmp_path / "copy")).first().value.startswith("12345678000195\t")
     assert main(["status", root]) == 0
     assert "0 archive(s)" in capsys.readouterr().out
+
+
+def test_ingest_with_filter_and_trim(spark, write_files, tmp_path):
+    data = b"".join(
+        record_line({**GOOD, 0: f"{i:08d}", 4: f"  Nome {i}\t", 14: "02" if i % 2 else "08"}) + b"\r\n" for i in range(6)
+    )
+    root = write_files({"Empresas0.csv": data})
+    res = ingest(spark, root, str(tmp_path / "t"), trim=True, record_filter="situacao_cadastral = '02'")
+    rows = sorted((r.cnpj[:8], r.razao_social) for r in res.table(spark).collect())
+    assert rows == [("00000001", "Nome 1"), ("00000003", "Nome 3"), ("00000005", "Nome 5")]
+    s = res.stats.first()
+    assert (s.records_processed, s.records_written) == (6, 3)
