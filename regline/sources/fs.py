@@ -7,9 +7,20 @@ Paths are the URIs Spark itself reports (``file:/...``, ``hdfs://...``,
 from __future__ import annotations
 
 
+def arrow_uri(uri: str) -> str:
+    """Spark/Hadoop scheme -> the scheme Arrow's filesystems understand."""
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if uri.startswith(hadoop):
+            return arrow + uri[len(hadoop):]
+    if uri.startswith("dbfs:/"):  # the workspace file system is mounted locally
+        return "/dbfs/" + uri[len("dbfs:/"):].lstrip("/")
+    return uri
+
+
 def resolve(uri: str):
     from pyarrow import fs
 
+    uri = arrow_uri(uri)
     if uri.startswith("file:"):
         path = uri[len("file:"):]
         while path.startswith("//"):

@@ -133,3 +133,11 @@ def test_unreadable_archive_counts_as_failed_file(spark, write_files, tmp_path):
     })
     s = ingest(spark, d, str(tmp_path / "t")).stats.first()
     assert (s.files_read, s.files_failed, s.records_written, s.errors) == (1, 1, 1, 1)
+
+
+def test_hadoop_schemes_map_to_arrow():
+    from regline.sources.fs import arrow_uri
+
+    assert arrow_uri("s3a://bucket/rel/Empresas0.zip") == "s3://bucket/rel/Empresas0.zip"
+    assert arrow_uri("dbfs:/mnt/rel/a.csv") == "/dbfs/mnt/rel/a.csv"
+    assert arrow_uri("file:/tmp/a.csv") == "file:/tmp/a.csv"
