@@ -3,6 +3,7 @@
     python -m regline ingest ROOT TARGET [--files NAME ...] [--batch-size N]
                              [--trim] [--keep-duplicates] [--ledger PATH]
     python -m regline status DIR
+    python -m regline audit DIR [--manifest SHA256SUMS]
     python -m regline export TABLE_DIR OUT --format parquet|csv|json|copy
 """
 
@@ -27,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
     p_in.add_argument("--ledger", help="table of files already taken; only new files are loaded")
     p_st = sub.add_parser("status", help="archives in a folder, by name, with size in MiB")
     p_st.add_argument("dir")
+    p_au = sub.add_parser("audit", help="archive checks (ZIP, size limit) and optional SHA-256 manifest")
+    p_au.add_argument("dir")
+    p_au.add_argument("--manifest", help="text file of '<sha256>  <file name>' lines")
     p_ex = sub.add_parser("export", help="write a stored table as files")
     p_ex.add_argument("table_dir")
     p_ex.add_argument("out")
@@ -61,6 +65,24 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{r.file_name}\t{r.size_mib:.1f} MiB")
         print(f"{len(rows)} archive(s)")
         return 0
+    if args.command == "audit":
+        from regline.sources.archives import archive_audit
+        from regline.sources.files import verify_checksums
+
+        for r in archive_audit(spark, args.dir).orderBy("archive").collect():
+            print(f"{r.archive}\t{r.verdict}\tmembers={r.members}\tcsv={r.csv_members}\tbytes={r.total_bytes}")
+        if args.manifest:
+            # Manifest lines "<hex digest>  <file name>" (sha256sum format), read as a table.
+            from pyspark.sql import functions as F
+
+            lines = spark.read.text(args.manifest).where(F.trim("value") != "")
+            manifest = lines.select(
+                F.lower(F.regexp_extract("value", r"^([0-9A-Fa-f]{64})", 1)).alias("expected_sha256"),
+                F.regexp_extract("value", r"^[0-9A-Fa-f]{64}\s+\*?(.+)$", 1).alias("file_name"),
+            )
+            for r in verify_checksums(spark, args.dir, manifest).orderBy("file_name").collect():
+                print(f"{r.file_name}\t{r.status}")
+        return 0
     from regline.sinks import export, tables
 
     records = tables.read_partitioned(spark, args.table_dir)

@@ -143,3 +143,17 @@ def test_ingest_with_filter_and_trim(spark, write_files, tmp_path):
     assert rows == [("00000001", "Nome 1"), ("00000003", "Nome 3"), ("00000005", "Nome 5")]
     s = res.stats.first()
     assert (s.records_processed, s.records_written) == (6, 3)
+
+
+def test_command_line_audit(spark, write_files, tmp_path, capsys):
+    import hashlib
+
+    from regline.__main__ import main
+
+    root = write_files({"Empresas0.zip": b"not a zip", "Empresas0.csv": b"abc"})
+    manifest = tmp_path / "SHA256SUMS"
+    manifest.write_text(f"{hashlib.sha256(b'abc').hexdigest()}  Empresas0.csv\n{'0' * 64}  Empresas0.zip\n")
+    assert main(["audit", root, "--manifest", str(manifest)]) == 0
+    out = capsys.readouterr().out
+    assert "Empresas0.zip\tnot_zip" in out
+    assert "Empresas0.csv\tok" in out and "Empresas0.zip\tmismatch" in out
