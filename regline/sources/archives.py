@@ -79,7 +79,8 @@ class MemberPartition(InputPartition):
 
 
 def lines_in_range(read_at, start: int, end: int, chunk: int):
-    """Batches of lines whose first byte lies in [start, end) of a byte stream.
+    """Lines whose first byte lies in [start, end) of a byte stream, as lists
+    of lines or as blocks (bytes) of complete lines joined by LF.
 
     ``read_at(pos, n)`` returns up to n bytes at pos. A line that begins before
     ``start`` belongs to the previous range, as in Hadoop's line splits.
@@ -109,17 +110,16 @@ def lines_in_range(read_at, start: int, end: int, chunk: int):
         if cut < 0:
             rest = data
             continue
-        lines = data[:cut].split(b"\n")
         if rest_start + cut + 1 > end:  # the range ends inside this chunk
             keep, p = [], rest_start
-            for line in lines:
+            for line in data[:cut].split(b"\n"):
                 if p >= end:
                     break
                 keep.append(line)
                 p += len(line) + 1
             yield keep
             return
-        yield lines
+        yield data[:cut]  # every line here starts inside the range: one block
         rest, rest_start = data[cut + 1:], rest_start + cut + 1
 
 
@@ -190,8 +190,8 @@ class ZipLinesReader(DataSourceReader):
                     handle.seek(partition.offset + pos)
                     return handle.read(min(n, partition.size - pos))
 
-                for lines in lines_in_range(read_at, partition.start, partition.end, self.chunk):
-                    yield batch(lines)
+                for part in lines_in_range(read_at, partition.start, partition.end, self.chunk):
+                    yield block_batch(part) if isinstance(part, bytes) else batch(part)
             return
 
         with fs.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as src:
