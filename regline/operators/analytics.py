@@ -113,14 +113,19 @@ def count_by_code(records: DataFrame, column: str) -> DataFrame:
     )
 
 
-def lookup(records: DataFrame, ids: DataFrame, key: str = "cnpj") -> DataFrame:
+def lookup(records: DataFrame, ids: DataFrame, key: str = "cnpj", max_broadcast_ids: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A batch of ids -> their records plus ``found``; unknown ids stay.
 
-    The id list is de-duplicated; the planner (with AQE's runtime sizes)
-    picks a broadcast only when the id list turns out small.
+    A lookup batch is usually tiny next to the table. When a bounded count
+    shows so, the ids are broadcast and the table is only scanned (semi join,
+    no shuffle of the table); the few hits are then matched to the ids.
+    A huge id list falls back to the planner's shuffle join.
     """
     wanted = ids.select(key).distinct()
     hit = records.withColumn("_hit", F.lit(True))
+    small = bounded_broadcast(wanted, max_broadcast_ids)
+    if small is not wanted:
+        hit = hit.join(small, key, "left_semi")
     return wanted.join(hit, key, "left").select(
         key, F.coalesce(F.col("_hit"), F.lit(False)).alias("found"), *[c for c in records.columns if c != key]
     )

@@ -48,8 +48,9 @@ def test_load_code_tables_plain_and_zip(spark, write_files):
 def test_lookup_and_search(spark):
     df = recs(spark, [{"cnpj": f"{i:014d}", "razao_social": f"Acme {i}", "uf": "SP" if i % 2 else "RJ"} for i in range(10)])
     ids = spark.createDataFrame([("00000000000003",), ("00000000000003",), ("99",)], "cnpj string")
-    got = sorted((r.cnpj, r.found) for r in analytics.lookup(df, ids).collect())
-    assert got == [("00000000000003", True), ("99", False)]
+    for bound in (10, 0):  # broadcast ids + scan, then the shuffle-join fallback
+        got = sorted((r.cnpj, r.found) for r in analytics.lookup(df, ids, max_broadcast_ids=bound).collect())
+        assert got == [("00000000000003", True), ("99", False)]
     page1 = [r.cnpj for r in analytics.search_page(df, "ACME", {"uf": "SP"}, size=2).collect()]
     page2 = [r.cnpj for r in analytics.search_page(df, "acme", {"uf": "SP"}, after=page1[-1], size=2).collect()]
     assert page1 == ["00000000000001", "00000000000003"] and page2 == ["00000000000005", "00000000000007"]
