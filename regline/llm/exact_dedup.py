@@ -111,7 +111,7 @@ def keep_first_copies(docs: DataFrame, index: str, id_col: str = "doc_id", text_
     key = free_name(docs, "digest_and_id")
 
     def row_key(of: Column, ident: Column) -> Column:
-        return F.concat(of, F.coalesce(ident.cast("bigint").cast("binary"), F.lit(bytearray())))
+        return F.concat(of, F.coalesce(ident.cast("bigint").cast("string").cast("binary"), F.lit(bytearray())))
 
     kept = dedup_batch(docs, index, id_col, text_col).where("kept").select(row_key(F.col("digest"), F.col("id")).alias(key))
     rows = docs.withColumn(key, row_key(digest(F.col(text_col)), F.col(id_col)))
