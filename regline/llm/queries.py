@@ -11,13 +11,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import exact_dedup
+from regline.llm import bpe, exact_dedup, quality_classifier
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quality_classifier(spark, sf):
+    docs, labels = _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "labels")
+    model = quality_classifier.fit(docs, labels, usable=~quality_classifier.held_out(F.col("doc_id")))
+    scored = docs.select("doc_id", quality_classifier.score(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def public_tokenizer(spark: SparkSession) -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_byte_bpe(spark, sf):
+    tokenizer = public_tokenizer(spark)
+    encoded = _table(spark, sf, "documents").select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
+    return decoded.select(
+        "doc_id",
+        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_exact_dedup(spark, sf):
     index = exact_dedup.open_index(spark)
     judged = exact_dedup.dedup_batch(_table(spark, sf, "documents").select("doc_id", "text"), index)
