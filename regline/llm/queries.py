@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import bpe, exact_dedup, quality_classifier
+from regline.llm import bpe, exact_dedup, quality_classifier, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,6 +48,13 @@ def op2_byte_bpe(spark, sf):
     )
 
 
+def op4_simhash_near_dedup(spark, sf):
+    found = simhash.near_duplicates(_table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op10_exact_dedup(spark, sf):
     index = exact_dedup.open_index(spark)
     judged = exact_dedup.dedup_batch(_table(spark, sf, "documents").select("doc_id", "text"), index)
