@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import bpe, exact_dedup, quality_classifier, simhash
+from regline.llm import bpe, exact_dedup, mixing, quality_classifier, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op4_simhash_near_dedup(spark, sf):
     )
 
 
+def op6_source_mixing(spark, sf):
+    mixed = mixing.mixed_counts(_table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return mixed.withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark, sf):
     index = exact_dedup.open_index(spark)
     judged = exact_dedup.dedup_batch(_table(spark, sf, "documents").select("doc_id", "text"), index)
