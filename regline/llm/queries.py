@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import bpe, chat, exact_dedup, mixing, quality_classifier, simhash
+from regline.llm import bpe, chat, exact_dedup, mixing, quality_classifier, simhash, warc
+
+from regline.llm.common import written
+from regline.session import fresh_dir
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,6 +51,34 @@ def op2_byte_bpe(spark, sf):
     )
 
 
+def op3_warc(spark, sf):
+    folder = fresh_dir(spark, "archives")
+    warc.write(_table(spark, sf, "pages").select("page_id", "url", "html"), folder)
+    read = warc.read(spark, folder)
+    page = F.nullif(F.split_part("record_id", F.lit(":"), F.lit(3)), F.lit("")).cast("bigint")
+    records = written(
+        read.select(
+            page.alias("page_id"),
+            "record_id",
+            "record_type",
+            "refers_to",
+            F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+            warc.sha1_base32(F.col("payload")).alias("payload_digest"),
+        ),
+        "records",
+    )
+    # A revisit has no payload of its own: its length and digest are those of the record it refers to.
+    full = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type")
+    first = records.where("record_type = 'response'").select(
+        F.col("record_id").alias("first_id"), F.col("page_id").alias("first_page"), "payload_bytes", "payload_digest"
+    )
+    revisits = records.where("record_type = 'revisit'").select("page_id", "refers_to", "record_type")
+    resolved = revisits.join(first, F.col("refers_to") == F.col("first_id")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("first_page").alias("refers_to")
+    )
+    return full.withColumn("refers_to", F.lit(None).cast("bigint")).unionByName(resolved)
+
+
 def op4_simhash_near_dedup(spark, sf):
     found = simhash.near_duplicates(_table(spark, sf, "documents").select("doc_id", "text"))
     return found.select(
@@ -98,7 +129,26 @@ def _escaped_length(column: str) -> str:
     return f"length({column}) + " + " + ".join(extra)
 
 
+def _base32(digest: str) -> str:
+    """SQL: base32 of a hexadecimal digest of 160 bits."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    digits = [
+        f"substr('{alphabet}', ((('0x' || substr({digest}, {1 + 10 * i}, 10))::BIGINT >> {35 - 5 * j}) & 31)::INT + 1, 1)"
+        for i in range(4)
+        for j in range(8)
+    ]
+    return " || ".join(digits)
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": f"""
+        WITH digested AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS digest FROM pages),
+             judged AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS first_page FROM digested)
+        SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_base32("digest")} AS payload_digest,
+               CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+        FROM judged
+    """,
     "op5_chat_formatting": f"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
