@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import bpe, chat, exact_dedup, mixing, quality_classifier, simhash, warc
+from regline.llm import bpe, chat, compression, exact_dedup, mixing, quality_classifier, sentence_spans, simhash, warc, wordpiece
 
 from regline.llm.common import written
-from regline.session import fresh_dir
+from regline.session import fresh_dir, ship_package
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -115,6 +115,25 @@ def op6_source_mixing(spark, sf):
     return mixed.withColumnRenamed("id", "doc_id")
 
 
+def op7_token_counts(spark, sf):
+    import public_tokenizers
+
+    docs = _table(spark, sf, "documents")
+    counter = wordpiece.TokenCounter(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.select("doc_id", counter.count(F.col("text")).alias("counts")).select("doc_id", "counts.*")
+
+
+def op8_compression_rules(spark, sf):
+    docs = _table(spark, sf, "documents")
+    ship_package(spark)
+    judged = docs.select("doc_id", compression.judge(F.col("text")).alias("judged"))
+    return judged.select("doc_id", "judged.*")
+
+
+def op9_sentence_spans(spark, sf):
+    return sentence_spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op10_exact_dedup(spark, sf):
     index = exact_dedup.open_index(spark)
     judged = exact_dedup.dedup_batch(_table(spark, sf, "documents").select("doc_id", "text"), index)
