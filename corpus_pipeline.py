@@ -37,15 +37,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` and digests of the ids and of the bytes they decode to."""
     tokenizer = public_tokenizer(spark)
-    encoded = docs.select("doc_id", "source", tokenizer.encode(F.col("text")).alias("ids"))
-    decoded = encoded.withColumn("decoded", tokenizer.decode(F.col("ids")))
-    return decoded.select(
+    coded = docs.select("doc_id", "source", tokenizer.round_trip(F.col("text")).alias("coded"))
+    return coded.select(
         "doc_id",
         "source",
-        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
-        "ids",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.n_tokens(F.col("coded.ids")).alias("n_tokens"),
+        "coded.ids",
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
