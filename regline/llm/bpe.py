@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -22,7 +23,9 @@ from regline.llm.common import text_or_empty
 from regline.session import ship_package
 
 #: Encoded matches that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Matches merged together, and characters of text cut at a time; both bound memory.
+MERGED, CHARACTERS = 4_000, 1_000_000
 
 
 def parse_ranks(file: bytes) -> dict[bytes, int]:
@@ -90,36 +93,119 @@ def merge_pieces(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class _Remembered(dict):
-    """Packed ids by match; fills itself."""
+class Merger:
+    """``merge_pieces`` for many short matches at once: one segment tree per row of an array.
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    In every round each unfinished row makes its next merge, so the rounds
+    number as many as the longest match's merges.
+    """
+
+    NONE = np.iinfo(np.int64).max
 
-    def __missing__(self, match: str) -> bytes:
-        ids = merge_pieces(match.encode(), self.ranks)
-        packed = self[match] = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
+    def __init__(self, ranks: dict[bytes, int]):
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        pairs = {
+            ranks[token[:i]] << 32 | ranks[token[i:]]: rank
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
+        }
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.merged = np.array([pairs[k] for k in self.pairs.tolist()], np.int64)
+
+    def _keys(self, left: np.ndarray, right: np.ndarray, position: np.ndarray, bits: int) -> np.ndarray:
+        """Rank of each pair of tokens and its position in one number; NONE if it isn't a token."""
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.merged[at] << bits | position, self.NONE)
+
+    def merge(self, pieces: list[bytes], bits: int) -> list[bytes]:
+        """Packed ids of matches of at most ``1 << bits`` bytes."""
+        n, w = len(pieces), 1 << bits
+        lengths = np.fromiter(map(len, pieces), np.int64, n)
+        places = np.arange(w)
+        live = places < lengths[:, None]
+        token = np.zeros((n, w + 1), np.int64)  # one place more, for what lies past the end
+        token[:, :w][live] = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        after = np.tile(np.arange(1, w + 2), (n, 1))
+        before = np.tile(np.arange(-1, w), (n, 1))
+        tree = np.full((n, 2 * w), self.NONE)
+        paired = places < lengths[:, None] - 1
+        row, place = np.nonzero(paired)
+        tree[:, w:][paired] = self._keys(token[row, place], token[row, place + 1], place, bits)
+        for level in range(bits - 1, -1, -1):
+            size = 1 << level
+            tree[:, size : 2 * size] = np.minimum(tree[:, 2 * size : 4 * size : 2], tree[:, 2 * size + 1 : 4 * size : 2])
+        rows = np.flatnonzero(tree[:, 1] < self.NONE)
+        while len(rows):
+            least = tree[rows, 1]
+            i = least & (w - 1)
+            token[rows, i] = least >> bits
+            j = after[rows, i]
+            stop = after[rows, j]
+            live[rows, j] = False
+            after[rows, i] = stop
+            before[rows, stop.clip(max=w)] = i
+            left = before[rows, i]
+            ahead = np.where(stop < lengths[rows], self._keys(token[rows, i], token[rows, stop.clip(max=w)], i, bits), self.NONE)
+            behind = np.where(left >= 0, self._keys(token[rows, left], token[rows, i], left, bits), self.NONE)
+            nodes = [j + w, i + w, np.where(left >= 0, left, j) + w]  # without a left neighbour, the dead place again
+            for node, key in zip(nodes, (self.NONE, ahead, behind), strict=True):
+                tree[rows, node] = key
+            for _ in range(bits):
+                nodes = [node >> 1 for node in nodes]
+                for node in nodes:
+                    tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+            rows = rows[tree[rows, 1] < self.NONE]
+        packed = token[:, :w][live].astype("<u4").tobytes()
+        ends = np.cumsum(live.sum(axis=1) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Codec:
     """Encodes texts to packed little-endian unsigned 32-bit ids, and back."""
 
+    #: Matches of at most so many bytes (as powers of two) are merged together; longer ones one by one.
+    TOGETHER = (3, 4, 5, 6)
+
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.ranks = ranks
         self.matches = regex.compile(pattern).findall
-        self.known = _Remembered(ranks)
+        self.merger = Merger(ranks)
+        self.known: dict[str, bytes] = {}
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
 
-    def encode(self, text: str) -> bytes:
-        packed = b"".join(map(self.known.__getitem__, self.matches(text)))
+    def _learn(self, matches: list[str]) -> None:
+        """Encode matches not met before and remember them."""
+        by_size: dict[int, list[str]] = {}
+        for match in matches:
+            piece = match.encode()
+            if (whole := self.ranks.get(piece)) is not None:
+                self.known[match] = struct.pack("<I", whole)
+            else:
+                by_size.setdefault(next((b for b in self.TOGETHER if len(piece) <= 1 << b), 0), []).append(match)
+        for match in by_size.pop(0, []):
+            ids = merge_pieces(match.encode(), self.ranks)
+            self.known[match] = struct.pack(f"<{len(ids)}I", *ids)
+        for bits, some in by_size.items():
+            for at in range(0, len(some), MERGED):
+                part = some[at : at + MERGED]
+                self.known.update(zip(part, self.merger.merge([m.encode() for m in part], bits), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        return packed
+        found = [self.matches(text) for text in texts]
+        self._learn([m for m in set().union(*found) if m not in self.known])
+        get = self.known.__getitem__
+        return [b"".join(map(get, matches)) for matches in found]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -145,7 +231,7 @@ class Tokenizer:
 
         def encoded(texts: pa.Array) -> pa.Array:
             codec = _codec(vocabulary.value, pattern)
-            return pa.array([codec.encode(t.as_py()) for t in texts], pa.binary())
+            return pa.concat_arrays([pa.array(codec.encode_all(part), pa.binary()) for part in _parts(texts)])
 
         return F.arrow_udf(encoded, "binary")(text_or_empty(text))
 
@@ -159,6 +245,33 @@ class Tokenizer:
 
         return F.arrow_udf(decoded, "binary")(F.coalesce(ids, F.lit(bytearray())))
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of ``ids`` as by ``encode`` and ``decoded``, the bytes that ``decode`` gives for them, in one pass."""
+        vocabulary, pattern = self.vocabulary, self.pattern
+
+        def both(texts: pa.Array) -> pa.Array:
+            codec = _codec(vocabulary.value, pattern)
+            done = []
+            for part in _parts(texts):
+                ids = pa.array(codec.encode_all(part), pa.binary())
+                decoded = pa.array([codec.decode(p.as_py()) for p in ids], pa.binary())
+                done.append(pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"]))
+            return pa.concat_arrays(done)
+
+        return F.arrow_udf(both, "ids binary, decoded binary")(text_or_empty(text))
+
+
+def _parts(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, about CHARACTERS at a time; one list at least."""
+    part, size = [], 0
+    for value in texts:
+        part.append(value.as_py())
+        size += len(part[-1])
+        if size >= CHARACTERS:
+            yield part
+            part, size = [], 0
+    yield part
+
 
 def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("bigint")

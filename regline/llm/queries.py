@@ -41,13 +41,12 @@ def public_tokenizer(spark: SparkSession) -> bpe.Tokenizer:
 
 def op2_byte_bpe(spark, sf):
     tokenizer = public_tokenizer(spark)
-    encoded = _table(spark, sf, "documents").select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
-    return decoded.select(
+    coded = _table(spark, sf, "documents").select("doc_id", tokenizer.round_trip(F.col("text")).alias("coded"))
+    return coded.select(
         "doc_id",
-        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.n_tokens(F.col("coded.ids")).alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
