@@ -61,28 +61,39 @@ def records_to_write(
         payload.alias("payload"),
         F.octet_length(payload).alias("size"),
         sha1_base32(payload.cast("binary")).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
     )
-    # Written: small beside the payloads if copies are few, and then broadcast by the planner.
+    # Both tables are written: small beside the payloads if copies are few, and then broadcast by the planner.
     copied = written(
         rows.where(F.col("size") >= min_bytes)
         .groupBy("digest")
-        .agg(F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select(F.col("digest").alias("c_digest"), F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row")),
+        .select(F.col("digest").alias("c_digest"), "keep_id"),
         "copied-payloads",
     )
-    # An id repeated with its payload is told apart by the row; else the id decides.
-    same_id = rows.where(F.col("size") >= min_bytes).groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = written(same_id.select(F.col("digest").alias("r_digest"), F.col("id").alias("r_id")), "repeated-pages")
-    judged = rows.join(copied, (F.col("digest") == F.col("c_digest")) & (F.col("size") >= min_bytes), "left").join(
-        repeated, (F.col("digest") == F.col("r_digest")) & F.col("id").eqNullSafe(F.col("r_id")), "left"
+    repeated = written(
+        rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+            F.col("digest").alias("r_digest"), F.col("id").alias("r_id")
+        ),
+        "repeated-pages",
     )
-    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("r_digest").isNull() | (F.col("row") == F.col("keep_row")))
-    revisit = F.col("c_digest").isNotNull() & ~kept
-    own = F.concat(F.lit("urn:x-page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("digest"))
-    record_id = F.when(F.col("c_digest").isNull() | revisit, F.concat(own, F.lit(":"), F.col("row"))).otherwise(own)
-    first = F.concat(F.lit("urn:x-page:"), F.coalesce(F.col("keep_id").cast("string"), F.lit("")), F.lit(":"), F.col("digest"))
+    is_repeated = (F.col("digest") == F.col("r_digest")) & F.col("id").eqNullSafe(F.col("r_id"))
+    # Pages with the same id and payload are told apart by numbers that writing them fixes.
+    again = written(rows.join(repeated, is_repeated, "left_semi").withColumn("row", F.monotonically_increasing_id()), "repeated-rows")
+    leading = written(again.groupBy("digest", "id").agg(F.min("row").alias("first_row")), "leading-rows").select(
+        F.col("digest").alias("r_digest"), F.col("id").alias("r_id"), "first_row"
+    )
+    numbered = rows.join(repeated, is_repeated, "left_anti").withColumn("copy", F.lit(None).cast("bigint")).unionByName(
+        again.join(leading, is_repeated).select(*rows.columns, F.when(F.col("row") != F.col("first_row"), F.col("row")).alias("copy"))
+    )
+    judged = numbered.join(copied, (F.col("digest") == F.col("c_digest")) & (F.col("size") >= min_bytes), "left")
+    revisit = F.col("c_digest").isNotNull() & ~(F.col("id").eqNullSafe(F.col("keep_id")) & F.col("copy").isNull())
+
+    def urn(ident: Column) -> Column:
+        return F.concat(F.lit("urn:x-page:"), F.coalesce(ident.cast("string"), F.lit("")), F.lit(":"), F.col("digest"))
+
+    first = urn(F.col("keep_id"))
+    record_id = F.concat(urn(F.col("id")), F.coalesce(F.concat(F.lit(":"), F.col("copy")), F.lit("")))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size"), F.lit("\r\n\r\n")
     )
