@@ -17,7 +17,7 @@ import sys
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="regline")
     sub = parser.add_subparsers(dest="command", required=True)
-    p_in = sub.add_parser("ingest", help="load a release folder (plain .csv files, else .zip archives)")
+    p_in = sub.add_parser("ingest", help="load a release folder (plain .csv files and .zip archives)")
     p_in.add_argument("root")
     p_in.add_argument("target")
     p_in.add_argument("--files", nargs="*", help="only these file names")

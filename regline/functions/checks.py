@@ -46,23 +46,6 @@ def check_digit(total: Column) -> Column:
     return F.when(r < 2, F.lit(0)).otherwise(F.lit(11) - r)
 
 
-def check_digit_status(cnpj: Column | str) -> Column:
-    """D1: 'ok', 'bad' or 'not_checkable'; NULL id gives NULL. Never a reject."""
-    c = _c(cnpj)
-    body = [char_value(c, i + 1) for i in range(12)]
-    first = check_digit(sum((v * w for v, w in zip(body, FIRST_DIGIT_WEIGHTS)), F.lit(0)))
-    second = check_digit(
-        sum((v * w for v, w in zip(body, SECOND_DIGIT_WEIGHTS[:12])), F.lit(0)) + first * SECOND_DIGIT_WEIGHTS[12]
-    )
-    matches = (first == char_value(c, 13)) & (second == char_value(c, 14))
-    return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(~c.rlike(CHECKABLE_ID), F.lit("not_checkable"))
-        .when(matches, F.lit("ok"))
-        .otherwise(F.lit("bad"))
-    )
-
-
 def typed_value(c: Column | str, kind: str) -> Column:
     """Text -> typed value; anything unparseable becomes NULL."""
     c = _c(c)
@@ -73,14 +56,3 @@ def typed_value(c: Column | str, kind: str) -> Column:
     if kind == "decimal":
         return F.replace(c, F.lit(","), F.lit(".")).try_cast("decimal(15,2)")
     return c
-
-
-def cast_errors(layout: Layout) -> Column:
-    """Names of columns whose non-NULL text did not parse."""
-    return names_where(
-        [
-            (f.name, F.col(f.name).isNotNull() & typed_value(f.name, f.kind).isNull())
-            for f in layout.fields
-            if f.kind != "string"
-        ]
-    )

@@ -22,9 +22,10 @@ def decode_text(raw: Column | str, encoding: str = "ISO-8859-1") -> Column:
 def strip_line_end(line: Column | str) -> Column:
     """Remove exactly one carriage return at the very end.
 
-    ``\\z`` (not ``$``) so that ``dbl\\r\\r`` keeps its first CR.
+    ``dbl\\r\\r`` keeps its first CR. No regex: it cost more than the scan.
     """
-    return F.regexp_replace(_c(line), "\r\\z", "")
+    c = _c(line)
+    return F.when(F.endswith(c, F.lit("\r")), F.left(c, F.length(c) - 1)).otherwise(c)
 
 
 def java_literal_regex(sep: str) -> str:

@@ -8,40 +8,28 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A code table is broadcast only when it is proven to hold at most this many
-# rows; beyond that the planner's shuffle join (and AQE) takes over.
-MAX_BROADCAST_ROWS = 1_000_000
-
+from regline.session import staged
 
 def record_filter(records: DataFrame, predicate: str | Column) -> DataFrame:
     """Caller-given predicate on record columns, before the sink."""
     return records.where(F.expr(predicate) if isinstance(predicate, str) else predicate)
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if a bounded count shows it is small.
-
-    ``limit(max_rows + 1).count()`` stops reading after max_rows + 1 rows, so
-    the check itself is cheap even on a big table.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def enrich(
     records: DataFrame,
     code_tables: Mapping[str, tuple[DataFrame, str]],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """D3: for each code column, add its description from a (code, description) table.
 
     ``code_tables``: code column -> (table, name of the description column).
     Left joins: an unknown code keeps its row with a NULL description.
-    Code tables are de-duplicated on code so a join never multiplies rows.
+    Code tables are de-duplicated on code so a join never multiplies rows, and
+    staged, so the planner broadcasts those that are small in bytes.
     """
     out = records
     for column, (table, described_as) in code_tables.items():
         dim = table.groupBy("code").agg(F.min("description").alias(described_as))
-        dim = bounded_broadcast(dim.withColumnRenamed("code", column), max_broadcast_rows)
+        dim = staged(dim.withColumnRenamed("code", column), "code-table")
         out = out.join(dim, column, "left")
     return out
 
@@ -49,7 +37,7 @@ def enrich(
 # The registry's code-table file families and the record column
 # each one describes (countries and reasons describe no column of this layout).
 CODE_TABLE_FAMILIES = {
-    "Cnaes": ("cnae_fiscal", "cnae_descricao"),
+    "CNAEs": ("cnae_fiscal", "cnae_descricao"),
     "Naturezas": ("natureza_juridica", "natureza_descricao"),
     "Municipios": ("codigo_municipio", "municipio"),
     "Qualificacoes": ("qualificacao_representante_legal", "qualificacao_descricao"),
@@ -59,9 +47,10 @@ CODE_TABLE_FAMILIES = {
 def load_code_tables(spark, root: str, families: Mapping[str, tuple[str, str]] = CODE_TABLE_FAMILIES) -> dict:
     """D3: the code tables present in a release folder, ready for ``enrich``.
 
-    Each family present (plain .csv, else .zip) is read with the same scan and
+    Each family present (plain .csv and .zip) is read with the same scan and
     checks as the records, through the two-column (code;description) layout.
-    Returns {record column: (table, description column name)}.
+    Returns {record column: (table, description column name)}; the families
+    not found are those whose column is missing from it.
     """
     from regline.layout import code_table_layout
     from regline.operators.records import parse_records
@@ -70,7 +59,7 @@ def load_code_tables(spark, root: str, families: Mapping[str, tuple[str, str]] =
     out = {}
     for family, (column, described_as) in families.items():
         inputs = resolve_inputs(spark, root, families=(family,))
-        if inputs.kind == "none":
+        if not inputs.files:
             continue
         out[column] = (parse_records(read_release(spark, inputs), code_table_layout()), described_as)
     return out
@@ -79,7 +68,6 @@ def load_code_tables(spark, root: str, families: Mapping[str, tuple[str, str]] =
 def unknown_codes(
     records: DataFrame,
     code_tables: Mapping[str, tuple[DataFrame, str]],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """D3 companion: (code_column, code, records) for codes missing from their table.
 
@@ -91,7 +79,7 @@ def unknown_codes(
         counted = records.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("code")).agg(
             F.count(F.lit(1)).alias("records")
         )
-        known = bounded_broadcast(table.select("code").distinct(), max_broadcast_rows)
+        known = table.select("code").distinct()
         parts.append(
             counted.join(known, "code", "left_anti").select(
                 F.lit(column).alias("code_column"), "code", F.col("records").cast("bigint").alias("records")
@@ -113,19 +101,16 @@ def count_by_code(records: DataFrame, column: str) -> DataFrame:
     )
 
 
-def lookup(records: DataFrame, ids: DataFrame, key: str = "cnpj", max_broadcast_ids: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(records: DataFrame, ids: DataFrame, key: str = "cnpj") -> DataFrame:
     """A batch of ids -> their records plus ``found``; unknown ids stay.
 
-    A lookup batch is usually tiny next to the table. When a bounded count
-    shows so, the ids are broadcast and the table is only scanned (semi join,
-    no shuffle of the table); the few hits are then matched to the ids.
-    A huge id list falls back to the planner's shuffle join.
+    A lookup batch is usually tiny next to the table. The ids are staged, so
+    the planner knows their bytes: a small batch is broadcast and the table is
+    only scanned (semi join, no shuffle of the table), and the few hits are
+    then matched to the ids. For a huge one it shuffles.
     """
-    wanted = ids.select(key).distinct()
-    hit = records.withColumn("_hit", F.lit(True))
-    small = bounded_broadcast(wanted, max_broadcast_ids)
-    if small is not wanted:
-        hit = hit.join(small, key, "left_semi")
+    wanted = staged(ids.select(key).distinct(), "lookup-ids")
+    hit = records.withColumn("_hit", F.lit(True)).join(wanted, key, "left_semi")
     return wanted.join(hit, key, "left").select(
         key, F.coalesce(F.col("_hit"), F.lit(False)).alias("found"), *[c for c in records.columns if c != key]
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regline.functions.checks import names_where, typed_value
 from regline.layout import EMPRESAS, Layout
-from regline.session import shared_dir
+from regline.session import staged
 
 
 def duplicate_report(records: DataFrame, key: str = "cnpj") -> DataFrame:
@@ -24,8 +24,8 @@ def duplicate_report(records: DataFrame, key: str = "cnpj") -> DataFrame:
     )
 
 
-# Duplicated keys are broadcast only when a bounded count proves there are at
-# most this many; beyond it both sides are hash-partitioned instead.
+# With more duplicated keys than this, one aggregate over all records replaces
+# the two joins with the key list.
 MAX_BROADCAST_KEYS = 2_000_000
 
 
@@ -49,26 +49,26 @@ def dedupe(
 
     Hash first: a key-only hash aggregate (with map-side partial counts) finds
     the keys held more than once. Records of all other keys pass through with
-    no shuffle (anti join against the broadcast key list); only the rows of
+    no shuffle where the key list is small enough to broadcast; only the rows of
     duplicated keys go through ``min(struct)``, whose partial aggregation
     reduces a hot key (say, a third of all rows) to one row per task before
     the shuffle. Nothing buffers a whole key group in one task.
     """
     key = layout.key
-    shared_dir(records.sparkSession)  # checkpoints go to the shared folder
-    # Computed once and written to the checkpoint folder (reliable, survives
-    # lost executors); the size check and both joins then read that copy.
-    dup_keys = (
-        records.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
-    ).checkpoint(eager=True)
-    n_dup = dup_keys.limit(max_broadcast_keys + 1).count()
+    # Computed once and written to the shared folder (survives lost
+    # executors); the count and both joins then read that copy, and the
+    # planner knows its bytes and broadcasts it only below its threshold.
+    dup_keys = staged(
+        records.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key), "duplicated-keys"
+    )
+    n_dup = dup_keys.count()
     if n_dup == 0:  # the usual case for a clean release: nothing to join
         return records.select(*layout.names)
     if n_dup > max_broadcast_keys:
-        # Too many duplicated keys to broadcast: one min(struct) aggregate over
-        # everything (a single shuffle) beats two shuffle joins.
+        # One min(struct) aggregate over everything (a single shuffle) beats
+        # two shuffle joins with a long key list.
         return _winners(records, layout, order).select(*layout.names)
-    keys = F.broadcast(dup_keys.withColumnRenamed(key, "_dup_key"))  # size proven above
+    keys = dup_keys.withColumnRenamed(key, "_dup_key")
     # Null-safe, so a NULL key is one group here too, as in the aggregate path.
     same = F.col(key).eqNullSafe(F.col("_dup_key"))
     unique = records.join(keys, same, "left_anti").select(*layout.names)
@@ -76,24 +76,16 @@ def dedupe(
     return unique.unionByName(_winners(repeated, layout, order).select(*layout.names))
 
 
-def against_stored(
-    records: DataFrame, stored: DataFrame, key: str = "cnpj", max_broadcast_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def against_stored(records: DataFrame, stored: DataFrame, key: str = "cnpj") -> DataFrame:
     """V5 across loads: records whose key is not yet stored.
 
     A new load (or micro-batch) is usually far smaller than the stored table.
-    When a bounded count shows its keys are few, they are broadcast and the
-    stored key column is only scanned (semi join, no shuffle of the table);
-    the few keys found are then removed from the new records. Otherwise a
-    plain anti join shuffles both sides.
+    Its keys are written first, so the planner knows their size: where they
+    are few it broadcasts them and only scans the stored key column; the few
+    keys found are then removed from the new records.
     """
-    from regline.operators.analytics import bounded_broadcast
-
-    new_keys = records.select(key).distinct()
-    keys = bounded_broadcast(new_keys, max_broadcast_keys)
-    if keys is new_keys:
-        return records.join(stored.select(key), key, "left_anti")
-    found = stored.select(key).join(keys, key, "left_semi").distinct()
+    keys = staged(records.select(key).distinct(), "new-keys")
+    found = staged(stored.select(key).join(keys, key, "left_semi").distinct(), "stored-keys")
     return records.join(found, key, "left_anti")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
+from regline.session import staged
 
 CHANGES = ("inserted", "deleted", "updated", "unchanged")
 
@@ -16,7 +17,8 @@ def release_diff(old: DataFrame, new: DataFrame, layout: Layout = EMPRESAS) -> D
     """(key, change, new record columns) for the union of both keys.
 
     One full outer join on the key; all other columns compared null-safe.
-    Both sides hold one row per key, so the join cannot multiply rows.
+    Both sides must hold one row per key (see ``repeated_keys``), so that the
+    join cannot multiply rows.
     """
     key = layout.key
     rest = [c for c in layout.names if c != key]
@@ -43,23 +45,21 @@ def changes(diff: DataFrame) -> DataFrame:
     return diff.where(F.col("change") != "unchanged")
 
 
-def apply_diff(
-    stored: DataFrame,
-    changed: DataFrame,
-    layout: Layout = EMPRESAS,
-    max_broadcast_keys: int = 2_000_000,
-) -> DataFrame:
+def repeated_keys(release: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
+    """Keys that a release holds more than once; a diff needs there to be none."""
+    return release.groupBy(layout.key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
+def apply_diff(stored: DataFrame, changed: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
     """Stored snapshot + change rows -> new snapshot (kept ∪ inserted ∪ updated).
 
-    The keys to drop (deleted and updated) are broadcast when a bounded count
-    shows the change set is small, so the stored snapshot streams through an
-    anti join with no shuffle; a large change set uses a shuffle join.
+    The keys to drop (deleted and updated) are staged, so the planner knows
+    their bytes: a small change set is broadcast and the stored snapshot
+    streams through an anti join with no shuffle; a large one is shuffled.
     Write the result to a NEW folder; never overwrite the one being read.
     """
-    from regline.operators.analytics import bounded_broadcast
-
     key = layout.key
-    gone = bounded_broadcast(changed.where(F.col("change").isin("deleted", "updated")).select(key), max_broadcast_keys)
+    gone = staged(changed.where(F.col("change").isin("deleted", "updated")).select(key), "changed-keys")
     kept = stored.select(*layout.names).join(gone, key, "left_anti")
     fresh = changed.where(F.col("change").isin("inserted", "updated")).select(*layout.names)
     return kept.unionByName(fresh)

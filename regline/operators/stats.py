@@ -11,7 +11,7 @@ STATS_SCHEMA = (
     "lines_read bigint, records_processed bigint, rejected_too_few_fields bigint, "
     "rejected_bad_cnpj_width bigint, rejected_overwide bigint, duplicates_dropped bigint, "
     "records_written bigint, files_read bigint, files_failed bigint, bytes_read bigint, "
-    "batches_sent bigint, errors bigint"
+    "batches_sent bigint, records_filtered bigint, already_stored bigint, files_left_out bigint, errors bigint"
 )
 
 
@@ -47,6 +47,9 @@ def stats_frame(spark: SparkSession, values: dict) -> DataFrame:
         "files_failed": int(values.get("files_failed", 0)),
         "bytes_read": int(values.get("bytes_read", 0)),
         "batches_sent": int(values.get("batches_sent", 0)),
+        "records_filtered": int(values.get("records_filtered", 0)),
+        "already_stored": int(values.get("already_stored", 0)),
+        "files_left_out": int(values.get("files_left_out", 0)),
     }
     row["errors"] = rejected + row["files_failed"]
     return spark.createDataFrame([tuple(row.values())], STATS_SCHEMA)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from regline.session import ship_package, shared_dir
 from regline.sources import fs
 
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 N_FILES = 4
 JUNK_MEMBER = "LEIAME.CSV"
 NOT_A_ZIP = "Corrompido.zip"
@@ -127,7 +127,7 @@ def registry_lines(src: DataFrame, n_files: int = N_FILES, release: str | None =
 
 
 def code_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Municipios.csv from nation, Naturezas.csv from region (code;description)."""
+    """Municipios.csv and Qualificacoes.csv from nation, Naturezas.csv and CNAEs.csv from region (code;description)."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     mun = nation.select(
@@ -142,7 +142,19 @@ def code_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("seq"),
         F.concat(_lp(F.col("r_regionkey"), 4), F.lit(";Natureza "), F.col("r_name"), F.lit("\r\n")).alias("data"),
     )
-    return mun.unionByName(nat)
+    cnae = region.select(
+        F.lit("CNAEs.csv").alias("file_name"),
+        F.col("r_regionkey").cast("bigint").alias("k"),
+        F.lit(0).alias("seq"),
+        F.concat(F.lit("620"), _lp(F.col("r_regionkey"), 4), F.lit(";CNAE "), F.col("r_name"), F.lit("\r\n")).alias("data"),
+    )
+    qual = nation.select(
+        F.lit("Qualificacoes.csv").alias("file_name"),
+        F.col("n_nationkey").cast("bigint").alias("k"),
+        F.lit(0).alias("seq"),
+        F.concat(_lp(F.col("n_nationkey"), 2), F.lit(";Qualificação "), F.col("n_name"), F.lit("\r\n")).alias("data"),
+    )
+    return mun.unionByName(nat).unionByName(cnae).unionByName(qual)
 
 
 def _writer(root: str, archive: bool):
@@ -228,7 +240,8 @@ def registry_release(
 ) -> str:
     """Render (once per session) and return the folder of a fixture release.
 
-    variant: plain | zip | releaseA | releaseB | codes
+    variant: plain | zip | mixed (files 0 and 1 plain, the others zipped) |
+    releaseA | releaseB | codes
     """
     root = fixture_root(spark, sf_dir, f"{table}-{variant}-{n_files}")
     ship_package(spark)
@@ -248,7 +261,12 @@ def _render(spark: SparkSession, sf_dir: str, variant: str, table: str, n_files:
         release = {"releaseA": "A", "releaseB": "B"}.get(variant)
         lines = registry_lines(source_rows(spark, sf_dir, table), n_files, release)
     archive = variant == "zip"
-    write_files(lines, root, archive=archive).collect()
+    if variant == "mixed":
+        plain = F.col("file_name").isin("Empresas0.csv", "Empresas1.csv")
+        write_files(lines.where(plain), root).collect()
+        write_files(lines.where(~plain), root, archive=True).collect()
+    else:
+        write_files(lines, root, archive=archive).collect()
     if variant != "codes":
         empty = f"Empresas{n_files}"
         if archive:

@@ -1,41 +1,57 @@
 """The whole load as one Spark plan per step.
 
-    select files (S3, S8) -> scan (S1 text | S4 zip) -> classify (P2-P6, V1-V4)
-      -> stage: accepted + quarantine written in ONE pass, counters observed (M1)
-      -> publish: one record per key (V5), rebalanced by uf, sorted (S12),
-         bounded files (S13) -> statistics (M1, M2)
-
-The raw text is read exactly once. The staged Parquet cuts the lineage: the
-publish step (and any retry of it after a lost executor) reads compact
-columnar data instead of re-parsing text.
+    select files (S3, S8) -> scan (S1 text + S4 zip) -> classify (P2-P6, V1-V4)
+      -> stage: key and line of accepted rows, rejected rows with their reason,
+         in ONE pass over the input, counters observed (M1)
+      -> publish: one line per key (V5), not stored before (V5), split into the
+         record's columns, rebalanced by uf, sorted (S12), bounded files (S13),
+         appended to the table -> statistics (M1, M2)
+
+The raw input is read exactly once, and the record's columns are encoded
+exactly once: what is staged of an accepted row is its key and its line. The
+staged Parquet cuts the lineage, so a retry after a lost executor rereads
+decoded lines, not archives. It is removed once the table holds the records.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
-from regline.operators.quality import dedupe
+from regline.operators.quality import against_stored
 from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
 from regline.plans.sizing import scan_conf, shuffle_conf
+from regline.session import staged
 from regline.sinks.tables import read_partitioned, write_partitioned
-from regline.sources.archives import plan_archives, read_planned, read_zip_lines
+from regline.sources import fs
+from regline.sources.archives import lines_of_planned, plan_archives, read_planned_raw
 from regline.sources.files import not_yet_ingested
-from regline.sources.text import dataset_files, read_lines
+from regline.sources.text import dataset_files, lines_from_raw, read_raw
+
+NO_LINES = "file_path string, file_name string, line string"
 
 
 @dataclass
 class Inputs:
-    kind: str  # "text" | "zip" | "none"
-    paths: list[str]
-    files: list  # (path, file_name, length) of the chosen files
+    files: list  # rows (path, file_name, length, modification_time) of the chosen files
     missing: tuple[str, ...] = ()  # wanted names that are not there (S2)
+    left_out: tuple[str, ...] = ()  # .csv and .zip files that were not asked for
+    taken_before: tuple[str, ...] = ()  # chosen files that the ledger holds
+
+    @property
+    def text(self) -> list:
+        return [f for f in self.files if f.file_name.endswith(".csv")]
+
+    @property
+    def zips(self) -> list:
+        return [f for f in self.files if f.file_name.endswith(".zip")]
 
 
 def resolve_inputs(
@@ -45,22 +61,23 @@ def resolve_inputs(
     names: list[str] | None = None,
     ledger: DataFrame | None = None,
 ) -> Inputs:
-    """S3 + S4 rule + S8: selected plain ``.csv`` files if there are any,
-    otherwise the selected ``.zip`` archives; minus files already ingested.
+    """S3 + S4 + S8: the selected ``.csv`` and ``.zip`` files, minus files already ingested.
 
     Only file metadata is handled here (as Spark's own file listing does).
     """
-    listing = dataset_files(spark, root, families=families, names=names).where("selected")
-    if ledger is not None:
-        listing = not_yet_ingested(listing, ledger)
-    files = listing.select("path", "file_name", "length").collect()
-    present = {r.file_name for r in files}
-    missing = tuple(sorted(n for n in (names or ()) if n not in present))
-    for suffix, kind in ((".csv", "text"), (".zip", "zip")):
-        chosen = sorted((r.path, r.file_name, r.length) for r in files if r.file_name.endswith(suffix))
-        if chosen:
-            return Inputs(kind, [p for p, _, _ in chosen], chosen, missing)
-    return Inputs("none", [], [], missing)
+    listing = dataset_files(spark, root, families=families, names=names)
+    rows = sorted((r for r in listing.collect() if r.file_name.endswith((".csv", ".zip"))), key=lambda r: r.path)
+    present = {r.file_name for r in rows}
+    chosen = [r for r in rows if r.selected]
+    new = {r.path for r in chosen}
+    if ledger is not None and chosen:
+        new = {r.path for r in not_yet_ingested(listing.where("selected"), ledger).select("path").collect()}
+    return Inputs(
+        [r for r in chosen if r.path in new],
+        tuple(sorted(n for n in (names or ()) if n not in present)),
+        tuple(r.file_name for r in rows if not r.selected),
+        tuple(r.file_name for r in chosen if r.path not in new),
+    )
 
 
 @contextmanager
@@ -79,43 +96,119 @@ def sql_conf(spark: SparkSession, **settings):
                 spark.conf.set(k, v)
 
 
+@dataclass
+class Release:
+    """The lines of the chosen files, and what is known of the files before reading them."""
+
+    lines: DataFrame
+    input_bytes: int  # unpacked
+    not_archives: list[str] = field(default_factory=list)
+    too_large: list[str] = field(default_factory=list)
+    damaged: Observation | None = None  # gets ``archives``: those of which a member could not be read to its end
+
+    def unread(self) -> set[str]:
+        found = self.damaged.get["archives"] if self.damaged else []
+        return {*self.not_archives, *self.too_large, *found}
+
+
+def open_release(
+    spark: SparkSession, inputs: Inputs, encoding: str = "ISO-8859-1", max_total_bytes: int | None = None
+) -> Release:
+    """Plain files and archives together. Central directories are read once, by executors.
+
+    ``max_total_bytes``: archives that unpack to more are left out and counted
+    as failed; without it none is.
+    """
+    parts, size = [], sum(f.length for f in inputs.text)
+    out = Release(spark.createDataFrame([], NO_LINES), size)
+    if inputs.text:
+        parts.append(lines_from_raw(read_raw(spark, [f.path for f in inputs.text]), encoding))
+    if inputs.zips:
+        plan = plan_archives(spark, [f.path for f in inputs.zips], max_total_bytes)
+        out.not_archives = [a for a, v in plan.verdicts.items() if v == "not_zip"]
+        out.too_large = [a for a, v in plan.verdicts.items() if v == "oversize"]
+        out.input_bytes += plan.member_bytes
+        if plan.partitions:
+            out.damaged = Observation("damaged")
+            unread = F.when(F.col("value").isNull(), F.substring_index("file_path", "#", 1))
+            raw = read_planned_raw(spark, plan).observe(out.damaged, F.collect_set(unread).alias("archives"))
+            parts.append(lines_of_planned(raw, encoding))
+    for part in parts:
+        out.lines = part if part is parts[0] else out.lines.unionByName(part)
+    return out
+
+
 def read_release(spark: SparkSession, inputs: Inputs, encoding: str = "ISO-8859-1") -> DataFrame:
-    if inputs.kind == "text":
-        return read_lines(spark, inputs.paths, encoding)
-    if inputs.kind == "zip":
-        return read_zip_lines(spark, inputs.paths, encoding)
-    return spark.createDataFrame([], "file_path string, file_name string, line string")
+    return open_release(spark, inputs, encoding).lines
 
 
 def staged_frame(classified: DataFrame, layout: Layout = EMPRESAS) -> DataFrame:
-    """Accepted rows drop their raw line (the record holds it); rejected rows
-    keep it. Readers of either side select only their own columns."""
+    """What later steps need of each line: the key of an accepted one, the reason of a rejected one."""
     ok = F.col("reason").isNull()
     return classified.select(
         F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
         "file_path",
         "file_name",
-        F.when(~ok, F.col("line")).alias("line"),
+        "line",
+        F.when(ok, F.col(layout.key)).alias(layout.key),
         "n_fields",
         "reason",
         "detail",
-        *layout.names,
     )
 
 
+def staged_schema(layout: Layout = EMPRESAS) -> str:
+    return (
+        f"file_path string, file_name string, line string, `{layout.key}` string, n_fields int, reason string, "
+        "detail string, outcome string"
+    )
+
+
+def read_staged(spark: SparkSession, path: str, outcome: str, layout: Layout = EMPRESAS) -> DataFrame:
+    """With its schema stated, so an outcome that no line had reads as no rows."""
+    rows = spark.read.schema(staged_schema(layout)).option("basePath", path).parquet(path)
+    return rows.where(F.col("outcome") == outcome)
+
+
+def unique_lines(lines: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """V5 on staged lines: one line per key, the smallest by file path and line; how many others there are.
+
+    A key-only hash aggregate finds the keys held more than once; lines of all
+    other keys pass through. Only lines of repeated keys go through
+    ``min(struct)``, whose partial sums fold a hot key before the shuffle.
+    """
+    repeated = staged(
+        lines.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("r_key"), "n"), "repeated-keys"
+    )
+    extra = repeated.agg(F.sum(F.col("n") - 1)).first()[0] or 0
+    if not extra:  # the usual case for a clean release: nothing to join
+        return lines.select(key, "file_path", "line"), 0
+    same = F.col(key).eqNullSafe(F.col("r_key"))  # a null key is one group too
+    once = lines.join(repeated, same, "left_anti").select(key, "file_path", "line")
+    first = lines.join(repeated, same, "left_semi").groupBy(key).agg(F.min(F.struct("file_path", "line")).alias("first"))
+    return once.unionByName(first.select(key, "first.*")), int(extra)
+
+
+def records_of(lines: DataFrame, layout: Layout = EMPRESAS, trim: bool = False) -> DataFrame:
+    """Accepted lines -> the record's columns."""
+    named = lines.select("file_path", F.lit(None).cast("string").alias("file_name"), "line")
+    return classify(named, layout, trim=trim, check_widths=False).select(*layout.names)
+
+
 @dataclass
 class IngestResult:
     stats: DataFrame
     table_path: str
     staging_path: str
     elapsed_secs: float
-    steps: dict | None = None  # seconds per step: resolve, stage, dedupe_keys, publish
+    steps: dict | None = None  # seconds per step: resolve, stage, keys, publish
 
     def table(self, spark: SparkSession, layout: Layout = EMPRESAS) -> DataFrame:
         return read_partitioned(spark, self.table_path, layout)
 
-    def quarantine(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.staging_path}/outcome=rejected").select(
+    def quarantine(self, spark: SparkSession, layout: Layout = EMPRESAS) -> DataFrame:
+        """This load's rejected lines; none after a clean load."""
+        return read_staged(spark, self.staging_path, "rejected", layout).select(
             "file_path", "file_name", "line", "n_fields", "reason", "detail"
         )
 
@@ -134,90 +227,101 @@ def ingest(
     max_records_per_file: int | None = None,
     record_filter: str | None = None,
     ledger_path: str | None = None,
+    max_total_bytes: int | None = None,
 ) -> IngestResult:
-    """Load one release folder into ``target`` (table/ and _staging/ below it).
-
-    ``ledger_path``: a Parquet table of files already taken (file_name,
-    length, sha256). Files in it are skipped (S8), and the files of this load
-    are appended to it once the load has succeeded, so repeated runs over a
-    growing folder (plain or ZIP) take only new files (R1 in batch form).
+    """Load one release folder into ``target``: its table/, to which every load
+    appends, and a folder of rejected lines per load below loads/.
+
+    Plain files and archives of the release are both read. ``deduplicate``
+    keeps one record per key over this load and all loads before it. A load
+    that failed while publishing may simply be run again.
+
+    ``ledger_path``: a Parquet table of files already taken (path, name,
+    length, modification time). Files in it are skipped (S8), and those that
+    this load has read to their end are appended to it once the load has
+    succeeded, so repeated runs over a growing folder (plain or ZIP) take only
+    new files (R1 in batch form), and files that could not be read are tried
+    again.
     """
     started = time.perf_counter()
     steps: dict[str, float] = {}
+
+    def lap(step: str) -> None:
+        steps[step] = time.perf_counter() - started - sum(steps.values())
+
     if ledger_path is not None and ledger is None:
         ledger = read_ledger(spark, ledger_path)
     inputs = resolve_inputs(spark, root, families, names, ledger)
-    unreadable: list[str] = []
-    if inputs.kind == "zip":
-        # One executor-side pass over the central directories: what to read,
-        # and which archives are not ZIPs or over the size limit (skipped and
-        # counted as failed files).
-        zip_plan = plan_archives(spark, inputs.paths)
-        unreadable = [a for a, v in zip_plan.verdicts.items() if v != "ok"]
-        lines = read_planned(spark, zip_plan)
-    else:
-        lines = read_release(spark, inputs)
-    steps["resolve"] = time.perf_counter() - started
-    classified = classify(lines, layout, trim=trim)
-
-    # Pass 1: the only read of the raw text. Accepted and rejected rows land in
-    # one partitioned write; with concurrent writers no task sorts its rows.
-    staged_obs = Observation("staged")
-    staging = f"{target}/_staging"
-    staged = staged_frame(classified.observe(staged_obs, *counter_columns()), layout)
-    input_bytes = sum(length for _, _, length in inputs.files)
+    release = open_release(spark, inputs, max_total_bytes=max_total_bytes)
     cores = spark.sparkContext.defaultParallelism
-    stage_conf = {"spark.sql.maxConcurrentOutputFileWriters": "4", **scan_conf(input_bytes, cores)}
+    lap("resolve")
+
+    # Pass 1: the only read of the raw input.
+    staged_obs = Observation("staged")
+    passes = F.expr(record_filter) if record_filter else F.lit(True)
+    wanted = F.col("reason").isNull() & passes
+    classified = classify(release.lines, layout, trim=trim).observe(
+        staged_obs, *counter_columns(), F.count_if(wanted).alias("records_wanted")
+    )
+    load = f"{target}/loads/{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    stage_conf = {"spark.sql.maxConcurrentOutputFileWriters": "4", **scan_conf(release.input_bytes, cores)}
     with sql_conf(spark, **stage_conf):  # read when the write plans its scan
-        staged.write.options(**layout.parquet_options(extra=("line",))).partitionBy("outcome").parquet(staging)
+        rows = staged_frame(classified.where(F.col("reason").isNotNull() | wanted), layout)
+        rows.write.options(**layout.parquet_options(extra=("line",))).partitionBy("outcome").parquet(load)
     counters = staged_obs.get
-    steps["stage"] = time.perf_counter() - started - steps["resolve"]
-
-    # Pass 2: columnar staging -> one record per key -> table layout.
-    if int(counters.get("records_processed", 0)) > 0:
-        accepted = spark.read.parquet(f"{staging}/outcome=accepted")
-    else:
-        accepted = spark.createDataFrame([], "file_path string, " + ", ".join(f"{c} string" for c in layout.names))
-    if record_filter:
-        accepted = accepted.where(F.expr(record_filter))
-    publish_conf = shuffle_conf(input_bytes, cores)
-    t = time.perf_counter()
-    with sql_conf(spark, **publish_conf):
-        records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
-    steps["dedupe_keys"] = time.perf_counter() - t
-    t = time.perf_counter()
-    written_obs = Observation("written")
+    accepted, kept = int(counters["records_processed"]), int(counters["records_wanted"])
+    lap("stage")
+
+    # Pass 2: staged lines -> one per key, not stored yet -> table layout.
     table_path = f"{target}/table"
-    with sql_conf(spark, **publish_conf):
-        write_partitioned(records, table_path, layout, max_records_per_file, observation=written_obs)
-    written = int(written_obs.get["n"])
-    steps["publish"] = time.perf_counter() - t
+    publish_conf = shuffle_conf(release.input_bytes, cores)
+    written, repeated = 0, 0
+    if kept:
+        with sql_conf(spark, **publish_conf):
+            lines = read_staged(spark, load, "accepted", layout)
+            if deduplicate:
+                lines, repeated = unique_lines(lines, layout.key)
+                if fs.exists(table_path):
+                    lines = against_stored(lines, read_partitioned(spark, table_path, layout), layout.key)
+            lap("keys")
+            written_obs = Observation("written")
+            write_partitioned(
+                records_of(lines, layout, trim), table_path, layout, max_records_per_file, mode="append", observation=written_obs
+            )
+            written = int(written_obs.get["n"])
+        fs.delete_dir(f"{load}/outcome=accepted")  # the table holds these now
+    elif not fs.exists(table_path):
+        empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in layout.names))
+        write_partitioned(empty, table_path, layout, mode="append")
+    lap("publish")
     elapsed = time.perf_counter() - started
 
+    unread = release.unread()
+    read = [f for f in inputs.files if f.path not in unread]
     values = dict(counters)
     values.update(
         records_written=written,
-        duplicates_dropped=(int(counters["records_processed"]) - written) if deduplicate and not record_filter else 0,
-        files_read=len(inputs.files) - len(unreadable),
-        files_failed=len(inputs.missing) + len(unreadable),
-        bytes_read=sum(length for path, _, length in inputs.files if path not in unreadable),
-        batches_sent=batches_for(written, batch_size),
+        records_filtered=accepted - kept,
+        duplicates_dropped=repeated,
+        already_stored=kept - repeated - written,
+        files_read=len(read),
+        files_failed=len(inputs.missing) + len(unread),
+        files_left_out=len(inputs.left_out),
+        bytes_read=release.input_bytes,
+        batches_sent=batches_for(kept, batch_size),
     )
-    if ledger_path is not None and inputs.files:
+    if ledger_path is not None and read:
         spark.createDataFrame(
-            [(name, length, None, target) for _, name, length in inputs.files],
-            LEDGER_SCHEMA,
+            [(f.path, f.file_name, f.length, f.modification_time, target) for f in read], LEDGER_SCHEMA
         ).write.mode("append").parquet(ledger_path)
-    return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, staging, elapsed, steps)
+    return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, load, elapsed, steps)
 
 
-LEDGER_SCHEMA = "file_name string, length bigint, sha256 string, loaded_into string"
+LEDGER_SCHEMA = "path string, file_name string, length bigint, modification_time timestamp, loaded_into string"
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     """Files already ingested; empty when the ledger does not exist yet."""
-    from regline.sources import fs
-
     if not fs.exists(ledger_path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)

@@ -10,10 +10,14 @@ k%53 padded name, k%37 three extra fields.
 
 from __future__ import annotations
 
-from regline.functions.checks import FIRST_DIGIT_WEIGHTS, SECOND_DIGIT_WEIGHTS
 from regline.layout import EMPRESAS
 
 
+def _weights(n: int) -> list[int]:
+    """The check-digit weights of ``n`` characters: 2 to 9 and again from 2, from the right."""
+    return [2 + i % 8 for i in range(n)][::-1]
+
+
 def _lp(expr: str, n: int) -> str:
     return f"lpad(CAST({expr} AS VARCHAR), {n}, '0')"
 
@@ -126,10 +130,10 @@ def _check_digit_sql(c: str) -> str:
     def v(i: int) -> str:
         return f"(ascii(substr({c}, {i}, 1)) - 48)"
 
-    s1 = " + ".join(f"{v(i + 1)} * {w}" for i, w in enumerate(FIRST_DIGIT_WEIGHTS))
+    s1 = " + ".join(f"{v(i + 1)} * {w}" for i, w in enumerate(_weights(12)))
     d1 = f"(CASE WHEN ({s1}) % 11 < 2 THEN 0 ELSE 11 - ({s1}) % 11 END)"
-    s2 = " + ".join(f"{v(i + 1)} * {w}" for i, w in enumerate(SECOND_DIGIT_WEIGHTS[:12]))
-    s2 = f"{s2} + {d1} * {SECOND_DIGIT_WEIGHTS[12]}"
+    s2 = " + ".join(f"{v(i + 1)} * {w}" for i, w in enumerate(_weights(13)[:12]))
+    s2 = f"{s2} + {d1} * {_weights(13)[12]}"
     d2 = f"(CASE WHEN ({s2}) % 11 < 2 THEN 0 ELSE 11 - ({s2}) % 11 END)"
     return (
         f"CASE WHEN {c} IS NULL THEN NULL "
@@ -205,7 +209,7 @@ SELECT replace(file_name, '.csv', '.zip') AS archive, true AS is_zip, CAST(2 AS
 UNION ALL SELECT 'Empresas4.zip', true, 1, 1, 0, 'ok'
 UNION ALL SELECT 'Corrompido.zip', false, 0, 0, 0, 'not_zip'"""
     q["sha256_verify"] = B + """
-SELECT file_name, CASE WHEN file_name = 'Empresas1.csv' THEN 'mismatch' ELSE 'unchecked' END AS status
+SELECT file_name, CASE file_name WHEN 'Empresas1.csv' THEN 'mismatch' WHEN 'Empresas3.csv' THEN 'ok' ELSE 'unchecked' END AS status
 FROM (SELECT DISTINCT file_name FROM g UNION SELECT 'Empresas4.csv')
 UNION ALL SELECT 'Empresas9.csv', 'missing'"""
     q["skip_already_ingested"] = B + """
@@ -235,7 +239,11 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT uf) AS BIGINT) AS u
        CAST(22 AS BIGINT) AS columns FROM recd"""
     q["copy_text_export"] = B + f"\nSELECT {copy_line} AS line FROM recd"
     q["layout_and_statistics"] = B + """
-SELECT cnpj, uf, cnae_fiscal FROM recd WHERE uf = 'U3' AND cnae_fiscal = '6200003'"""
+SELECT c AS column_name, (SELECT CAST(count(*) AS BIGINT) FROM recd) AS rows, CAST(nulls AS BIGINT) AS nulls, true AS has_values,
+       (SELECT CAST(count(*) AS INTEGER) FROM recd WHERE uf = 'U3' AND cnae_fiscal = '6200003') AS hits
+FROM (SELECT 'uf' AS c, count(*) - count(uf) AS nulls FROM recd
+      UNION ALL SELECT 'cnae_fiscal', count(*) - count(cnae_fiscal) FROM recd
+      UNION ALL SELECT 'situacao_cadastral', count(*) - count(situacao_cadastral) FROM recd)"""
     q["bounded_output_chunks"] = B + """
 SELECT CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS oversize_files FROM recd"""
     q["import_counters"] = B + _file_bytes_cte() + f""",
@@ -249,9 +257,25 @@ SELECT CAST(count(*) AS BIGINT) AS lines_read,
        (SELECT n FROM w) AS records_written,
        CAST(5 AS BIGINT) AS files_read, CAST(0 AS BIGINT) AS files_failed,
        (SELECT CAST(sum(bytes) AS BIGINT) FROM file_bytes) AS bytes_read,
-       CAST(ceil((SELECT n FROM w) / 100.0) AS BIGINT) AS batches_sent,
+       CAST(ceil(count(*) FILTER (WHERE reason IS NULL) / 100.0) AS BIGINT) AS batches_sent,
+       CAST(0 AS BIGINT) AS records_filtered, CAST(0 AS BIGINT) AS already_stored, CAST(0 AS BIGINT) AS files_left_out,
        CAST(count(*) FILTER (WHERE reason IS NOT NULL) AS BIGINT) AS errors
 FROM lines"""
+    # The archives hold the same bytes, unpacked; one file among them is no archive.
+    q["import_counters_zip"] = q["import_counters"].replace("CAST(0 AS BIGINT) AS files_failed", "CAST(1 AS BIGINT) AS files_failed").replace(
+        "CAST(count(*) FILTER (WHERE reason IS NOT NULL) AS BIGINT) AS errors",
+        "CAST(count(*) FILTER (WHERE reason IS NOT NULL) + 1 AS BIGINT) AS errors",
+    )
+    q["throughput_rates"] = B + """
+SELECT CAST(count(*) AS BIGINT) AS records_written, true AS took_time, true AS records_rate_follows,
+       true AS mb_rate_follows, true AS no_time_gives_zero FROM recd"""
+    q["cache_listing"] = B + """
+SELECT replace(file_name, '.csv', '.zip') AS file_name, true AS size_in_mib
+FROM (SELECT DISTINCT file_name FROM g UNION SELECT 'Empresas4.csv' UNION SELECT 'Corrompido.csv')"""
+    q["ingest_zip"] = q["ingest_mixed"] = q["ingest_table"]
+    # Files 0 and 1 come first; 2, 3 and the empty one are new the second time, and nothing is the third.
+    q["ingest_twice"] = B + f"""
+SELECT {R_LIST}, CAST(3 AS BIGINT) AS second_files_read, CAST(0 AS BIGINT) AS again_written FROM recd"""
     q["per_file_report"] = B + _file_bytes_cte() + _files_cte() + f""",
 per AS (
   SELECT file_name, CAST(count(*) AS BIGINT) AS lines,
@@ -269,12 +293,17 @@ SELECT {typed_cols}, NULLIF(concat_ws(',', {cast_err}), '') AS cast_errors FROM
 SELECT cnpj, razao_social, situacao_cadastral, opcao_mei FROM rec
 WHERE situacao_cadastral = '02' AND opcao_mei = 'S'"""
     q["code_table_enrichment"] = B + """
-SELECT cnpj, codigo_municipio, m.description AS municipio, natureza_juridica, n.description AS natureza
+SELECT cnpj, codigo_municipio, m.description AS municipio, natureza_juridica, n.description AS natureza,
+       cnae_fiscal, c.description AS cnae, qualificacao_representante_legal, q.description AS qualificacao
 FROM recd
 LEFT JOIN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 7, '0') AS code, 'Município ' || n_name AS description FROM nation) m
   ON recd.codigo_municipio = m.code
 LEFT JOIN (SELECT lpad(CAST(r_regionkey AS VARCHAR), 4, '0') AS code, 'Natureza ' || r_name AS description FROM region) n
-  ON recd.natureza_juridica = n.code"""
+  ON recd.natureza_juridica = n.code
+LEFT JOIN (SELECT '620' || lpad(CAST(r_regionkey AS VARCHAR), 4, '0') AS code, 'CNAE ' || r_name AS description FROM region) c
+  ON recd.cnae_fiscal = c.code
+LEFT JOIN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, 'Qualificação ' || n_name AS description FROM nation) q
+  ON recd.qualificacao_representante_legal = q.code"""
     q["code_table_unknown"] = B + """
 SELECT 'natureza_juridica' AS code_column, natureza_juridica AS code, CAST(count(*) AS BIGINT) AS records
 FROM recd WHERE natureza_juridica NOT IN (SELECT lpad(CAST(r_regionkey AS VARCHAR), 4, '0') FROM region)
@@ -282,7 +311,15 @@ GROUP BY natureza_juridica
 UNION ALL
 SELECT 'codigo_municipio', codigo_municipio, CAST(count(*) AS BIGINT)
 FROM recd WHERE codigo_municipio NOT IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 7, '0') FROM nation)
-GROUP BY codigo_municipio"""
+GROUP BY codigo_municipio
+UNION ALL
+SELECT 'cnae_fiscal', cnae_fiscal, CAST(count(*) AS BIGINT)
+FROM recd WHERE cnae_fiscal NOT IN (SELECT '620' || lpad(CAST(r_regionkey AS VARCHAR), 4, '0') FROM region)
+GROUP BY cnae_fiscal
+UNION ALL
+SELECT 'qualificacao_representante_legal', qualificacao_representante_legal, CAST(count(*) AS BIGINT)
+FROM recd WHERE qualificacao_representante_legal NOT IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') FROM nation)
+GROUP BY qualificacao_representante_legal"""
     q["count_by_code"] = B + "\nSELECT uf, CAST(count(*) AS BIGINT) AS total FROM recd GROUP BY uf"
     q["count_by_situacao"] = B + """
 SELECT situacao_cadastral, CAST(count(*) AS BIGINT) AS total FROM recd GROUP BY situacao_cadastral"""
@@ -302,6 +339,8 @@ ORDER BY cnpj LIMIT 20 OFFSET 20"""
     q["multi_sink_fanout"] = B + """
 SELECT fmt AS format, (SELECT CAST(count(*) AS BIGINT) FROM recd) AS rows
 FROM (VALUES ('parquet'), ('csv'), ('json')) t(fmt)"""
+    q["multi_sink_fanout_rows"] = B + f"""
+SELECT fmt AS format, {R_LIST} FROM recd JOIN (VALUES ('parquet'), ('csv'), ('json')) t(fmt) ON true"""
     A, Bn = base_cte("A"), base_cte("B")
     q["release_diff"] = f"""
 WITH a AS ({A}
@@ -312,8 +351,8 @@ SELECT coalesce(a.cnpj, b.cnpj) AS cnpj,
   CASE WHEN a.cnpj IS NULL THEN 'inserted' WHEN b.cnpj IS NULL THEN 'deleted'
        WHEN a.razao_social = b.razao_social THEN 'unchanged' ELSE 'updated' END AS change
 FROM a FULL JOIN b ON a.cnpj = b.cnpj"""
-    q["apply_diff"] = Bn + "\nSELECT cnpj, razao_social, uf FROM recd"
-    q["incremental_file_ingest"] = B + "\nSELECT cnpj, razao_social, uf FROM recd"
+    q["apply_diff"] = Bn + f"\nSELECT {R_LIST} FROM recd"
+    q["incremental_file_ingest"] = q["ingest_table"]
     q["bounded_intake"] = B + """
 SELECT CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS records FROM recd"""
     return q

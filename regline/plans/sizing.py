@@ -31,3 +31,8 @@ def shuffle_conf(input_bytes: int, cores: int) -> dict[str, str]:
     if staged > 64 * SHUFFLE_TARGET:
         conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(SHUFFLE_TARGET)
     return conf
+
+
+def buckets_for(input_bytes: int, cores: int) -> int:
+    """Buckets of a snapshot: as many as the publish step's partitions, so each holds ~256 MiB."""
+    return int(shuffle_conf(input_bytes, cores)["spark.sql.shuffle.partitions"])

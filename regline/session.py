@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Partition counts are left to AQE, which
 # coalesces small shuffles and splits skewed ones at run time.
@@ -67,6 +67,14 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, and
+    its size is known to the planner, which broadcasts it only if it is small."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -99,12 +99,14 @@ def write_snapshot(
 ) -> DataFrame:
     """A release snapshot bucketed and sorted by key (D8, D5 at scale).
 
-    Two snapshots with the same bucket count join on the key with no shuffle
-    at all (the full outer join of a release diff reads both sides bucket by
-    bucket), and key lookups prune to one bucket.
+    Dealt out by key first, so each bucket is one sorted file. Two snapshots
+    with the same bucket count join on the key with no shuffle at all (the
+    full outer join of a release diff reads both sides bucket by bucket), and
+    key lookups prune to one bucket. See ``plans.sizing.buckets_for``.
     """
     (
         records.select(*layout.names)
+        .repartition(buckets, layout.key)
         .write.options(**layout.parquet_options())
         .bucketBy(buckets, layout.key)
         .sortBy(layout.key)

@@ -19,8 +19,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from regline.session import ship_package
 from regline.sources.text import lines_from_raw, list_files
 
-# Archives whose members add up to more than 10 GiB are skipped
-# (exactly 10 GiB passes); only member names ending in lower-case ".csv" are read.
+# The audit calls archives whose members add up to more than
+# 10 GiB oversize (exactly 10 GiB passes); only member names ending in
+# lower-case ".csv" are read.
 MAX_TOTAL_BYTES = 10 * 1024**3
 MEMBER_SUFFIX = ".csv"
 CHUNK_BYTES = 8 * 1024 * 1024
@@ -125,35 +126,30 @@ def lines_in_range(read_at, start: int, end: int, chunk: int):
 
 class ZipLinesReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.plan = options.get("plan")
-        self.paths = json.loads(options.get("paths", "[]"))
-        self.max_total = int(options.get("maxTotalBytes", MAX_TOTAL_BYTES))
-        self.suffix = options.get("memberSuffix", MEMBER_SUFFIX)
+        self.plan = json.loads(options["plan"])  # computed by plan_archives on executors
         self.chunk = int(options.get("chunkBytes", CHUNK_BYTES))
-        self.split = int(options.get("splitBytes", SPLIT_BYTES))
 
     def partitions(self):
-        if self.plan is not None:  # computed by plan_archives on executors
-            return [MemberPartition(*p) for p in json.loads(self.plan)]
-        parts = []
-        for archive in self.paths:
-            is_zip, members = inspect_archive(archive, detail=True)
-            if not is_zip or sum(m[1] for m in members) > self.max_total:
-                continue
-            for name, size, stored, offset in members:
-                if not name.endswith(self.suffix):
-                    continue
-                if stored and size > self.split:
-                    # Uncompressed bytes can be read at any offset: split like a text file.
-                    parts.extend(
-                        MemberPartition(archive, name, s, min(s + self.split, size), offset, size)
-                        for s in range(0, size, self.split)
-                    )
-                else:
-                    parts.append(MemberPartition(archive, name))
-        return parts
+        return [MemberPartition(*p) for p in self.plan]
 
     def read(self, partition: MemberPartition):
+        """Batches of lines. A member that cannot be read to its end gives what
+        it has, then a row without value."""
+        import zipfile
+        import zlib
+
+        import pyarrow as pa
+
+        try:
+            yield from self._read(partition)
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+            path = f"{partition.archive}#{partition.member}"
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([partition.member]), pa.array([None], pa.binary())],
+                names=["file_path", "file_name", "value"],
+            )
+
+    def _read(self, partition: MemberPartition):
         import zipfile
 
         import pyarrow as pa
@@ -234,26 +230,6 @@ def _register(spark: SparkSession) -> None:
         _REGISTERED.add(key)
 
 
-def read_zip_raw(
-    spark: SparkSession,
-    archives: Sequence[str],
-    max_total_bytes: int = MAX_TOTAL_BYTES,
-    member_suffix: str = MEMBER_SUFFIX,
-    chunk_bytes: int = CHUNK_BYTES,
-    split_bytes: int = SPLIT_BYTES,
-) -> DataFrame:
-    _register(spark)
-    return (
-        spark.read.format("registry_zip")
-        .option("paths", json.dumps(list(archives)))
-        .option("maxTotalBytes", str(max_total_bytes))
-        .option("memberSuffix", member_suffix)
-        .option("chunkBytes", str(chunk_bytes))
-        .option("splitBytes", str(split_bytes))
-        .load()
-    )
-
-
 MEMBER_SCHEMA = "archive string, is_zip boolean, member string, size bigint, stored boolean, data_offset bigint"
 
 
@@ -286,11 +262,19 @@ class ZipPlan:
 def plan_archives(
     spark: SparkSession,
     archives: Sequence[str],
-    max_total_bytes: int = MAX_TOTAL_BYTES,
+    max_total_bytes: int | None = None,
     member_suffix: str = MEMBER_SUFFIX,
     split_bytes: int = SPLIT_BYTES,
     spread_bytes: int = SPREAD_BYTES,
 ) -> ZipPlan:
+    """What to read of the archives: all members with the suffix, of all archives unless ``max_total_bytes`` is given.
+
+    Inflating a member is sequential, but far cheaper per byte than parsing
+    and writing its lines. When one compressed member is large (it may hold a
+    third of a release), its task only inflates, and the lines are spread so
+    the work after it runs on every core. Uncompressed members are split by
+    byte range instead.
+    """
     ship_package(spark)
     paths = spark.createDataFrame([(a,) for a in archives], "path string")
     n = max(1, min(len(archives), spark.sparkContext.defaultParallelism * 4))
@@ -304,7 +288,7 @@ def plan_archives(
         if not any(r.is_zip for r in by_archive.get(archive, [])):
             verdicts[archive] = "not_zip"
             continue
-        if sum(r.size for r in members) > max_total_bytes:
+        if max_total_bytes is not None and sum(r.size for r in members) > max_total_bytes:
             verdicts[archive] = "oversize"
             continue
         verdicts[archive] = "ok"
@@ -326,66 +310,32 @@ def plan_archives(
     return ZipPlan(partitions, verdicts, spread, total)
 
 
-def read_planned(spark: SparkSession, plan: ZipPlan, encoding: str = "ISO-8859-1") -> DataFrame:
-    """S4 from a plan: no central directory is read again while planning."""
+def read_planned_raw(spark: SparkSession, plan: ZipPlan, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """S4 from a plan: raw lines; a row without value marks a member that could not be read to its end."""
     _register(spark)
-    if not plan.partitions:
-        return spark.createDataFrame([], "file_path string, file_name string, line string")
-    raw = spark.read.format("registry_zip").option("plan", json.dumps(plan.partitions)).load()
-    if plan.spread:
-        raw = raw.repartition(plan.spread)
-    return lines_from_raw(raw, encoding)
-
-
-def archive_verdict(uri: str, max_total_bytes: int = MAX_TOTAL_BYTES) -> str:
-    """S5 for one archive from its central directory: ok | not_zip | oversize."""
-    is_zip, members = inspect_archive(uri)
-    if not is_zip:
-        return "not_zip"
-    return "oversize" if sum(size for _, size in members) > max_total_bytes else "ok"
+    reader = spark.read.format("registry_zip").option("plan", json.dumps(plan.partitions))
+    raw = reader.option("chunkBytes", str(chunk_bytes)).load()
+    return raw.repartition(plan.spread) if plan.spread else raw  # raw bytes move once; decoding runs after the spread
 
 
-def spread_for(archives: Sequence[str], cores: int, spread_bytes: int = SPREAD_BYTES) -> int | None:
-    """How many partitions to spread the lines over, or None.
-
-    Inflating a member is sequential, but it is far cheaper per byte than
-    parsing and writing the lines. When one compressed member is large (a
-    single member may hold a third of a release), its task only inflates and
-    the lines are spread round-robin so the work after it runs on every core.
-    Uncompressed members are split by byte range instead and need no spread.
-    """
-    largest, total = 0, 0
-    for archive in archives:
-        is_zip, members = inspect_archive(archive, detail=True)
-        for _, size, stored, _ in members if is_zip else []:
-            total += size
-            if not stored:
-                largest = max(largest, size)
-    if largest <= spread_bytes:
-        return None
-    return max(2 * cores, -(-total // SPLIT_BYTES))
+def lines_of_planned(raw: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:
+    return lines_from_raw(raw.where(F.col("value").isNotNull()), encoding)
 
 
 def read_zip_lines(
     spark: SparkSession,
     archives: Sequence[str],
     encoding: str = "ISO-8859-1",
-    max_total_bytes: int = MAX_TOTAL_BYTES,
-    spread: int | str | None = "auto",
+    max_total_bytes: int | None = None,
     split_bytes: int = SPLIT_BYTES,
+    spread_bytes: int = SPREAD_BYTES,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Lines of every accepted member of the given archives.
-
-    One task per compressed member; uncompressed members above
-    ``split_bytes`` are read by several tasks (byte ranges). ``spread``:
-    "auto" (see ``spread_for``), a partition count, or None.
-    """
-    raw = read_zip_raw(spark, archives, max_total_bytes, split_bytes=split_bytes)
-    if spread == "auto":
-        spread = spread_for(archives, spark.sparkContext.defaultParallelism)
-    if spread:
-        raw = raw.repartition(spread)  # raw bytes move once; decoding runs after the spread
-    return lines_from_raw(raw, encoding)
+    """Lines of every accepted member of the given archives (see ``plan_archives``)."""
+    plan = plan_archives(spark, archives, max_total_bytes, split_bytes=split_bytes, spread_bytes=spread_bytes)
+    if not plan.partitions:
+        return spark.createDataFrame([], "file_path string, file_name string, line string")
+    return lines_of_planned(read_planned_raw(spark, plan, chunk_bytes), encoding)
 
 
 def _audit_batches(batches):

@@ -74,11 +74,14 @@ def verify_checksums(spark: SparkSession, root: str, manifest: DataFrame, glob:
 def not_yet_ingested(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     """Candidates (file_name, length[, sha256]) minus files already taken.
 
-    A ledger row (file_name, length, sha256) matches when name and length are
-    equal and, if both sides carry a hash, the hashes are equal too.
+    A ledger row matches when name and length are equal and so are path,
+    modification time and SHA-256, as far as both sides have them: the same
+    name comes again with every release.
     """
     c, led = candidates.alias("c"), ledger.alias("l")
     same = (F.col("c.file_name") == F.col("l.file_name")) & (F.col("c.length") == F.col("l.length"))
-    if "sha256" in candidates.columns:
-        same = same & (F.col("l.sha256").isNull() | (F.col("c.sha256") == F.col("l.sha256")))
+    for known in ("path", "modification_time", "sha256"):
+        if known in candidates.columns and known in ledger.columns:
+            either_unknown = F.col(f"l.{known}").isNull() | F.col(f"c.{known}").isNull()
+            same = same & (either_unknown | (F.col(f"c.{known}") == F.col(f"l.{known}")))
     return c.join(led, same, "left_anti")

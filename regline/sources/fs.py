@@ -44,6 +44,15 @@ def open_input(uri: str):
     return filesystem.open_input_file(path)
 
 
+def delete_dir(uri: str) -> None:
+    """Remove a folder and what it holds; a missing one is fine."""
+    from pyarrow import fs
+
+    filesystem, path = resolve(uri)
+    if filesystem.get_file_info(path).type == fs.FileType.Directory:
+        filesystem.delete_dir(path)
+
+
 def make_dirs(uri: str) -> None:
     filesystem, path = resolve(uri)
     filesystem.create_dir(path, recursive=True)

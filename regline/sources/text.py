@@ -118,6 +118,7 @@ def dataset_files(
         "path",
         "file_name",
         "length",
+        "modification_time",
         F.regexp_extract("file_name", DATASET_NAME, 1).alias("dataset"),
         F.when(part == "", F.lit(None)).otherwise(part).cast("int").alias("part_no"),
     )

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
-from regline.operators.quality import against_stored, dedupe
+from regline.operators.quality import against_stored
 from regline.operators.records import classify
-from regline.plans.ingest import staged_frame
+from regline.plans.ingest import read_staged, records_of, staged_frame, unique_lines
 from regline.sources.text import lines_from_raw
 
 
@@ -45,31 +45,32 @@ def _stored_keys(spark: SparkSession, target: str, layout: Layout, batch_id: int
     so a replayed batch sees the same history as its first attempt)."""
     from regline.sources import fs
 
-    if not fs.exists(f"{target}/table"):
-        return None
-    try:
-        stored = spark.read.option("basePath", f"{target}/table").parquet(f"{target}/table")
-    except Exception:  # folder without data files yet
+    if not any(uri.endswith(".parquet") for uri, *_ in fs.list_dir(f"{target}/table", recursive=True)):
         return None
+    stored = spark.read.option("basePath", f"{target}/table").parquet(f"{target}/table")
     return stored.where(F.col("batch_id").cast("bigint") < F.lit(batch_id)).select(layout.key)
 
 
-def _batch_writer(target: str, layout: Layout, deduplicate: bool, skip_stored_keys: bool):
+def _batch_writer(target: str, layout: Layout, deduplicate: bool, skip_stored_keys: bool, done: set[int]):
+    """``done`` gets the ids of the micro-batches written (the function runs on the driver)."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        classified = classify(batch, layout)
-        staged = staged_frame(classified, layout).withColumn("batch_id", F.lit(batch_id))
-        staged.write.mode("overwrite").parquet(f"{target}/_staging/batch_id={batch_id}")
-        accepted = spark.read.parquet(f"{target}/_staging/batch_id={batch_id}").where("outcome = 'accepted'")
-        records = dedupe(accepted, layout, order=("file_path",)) if deduplicate else accepted.select(*layout.names)
+        rows = staged_frame(classify(batch, layout), layout)
+        path = f"{target}/_staging/batch_id={batch_id}"
+        rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+        lines = read_staged(spark, path, "accepted", layout)
+        if deduplicate:
+            lines, _ = unique_lines(lines, layout.key)
         if skip_stored_keys:
             stored = _stored_keys(spark, target, layout, batch_id)
             if stored is not None:
                 # V5 against the table: a key stored by an earlier batch is not appended again.
-                records = against_stored(records, stored, layout.key)
-        records.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                lines = against_stored(lines, stored, layout.key)
+        records_of(lines, layout).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{target}/table/batch_id={batch_id}"
         )
+        done.add(batch_id)
 
     return write
 
@@ -84,14 +85,16 @@ def incremental_ingest(
     max_bytes_per_trigger: int | None = None,
     deduplicate: bool = True,
     skip_stored_keys: bool = True,
-    timeout_secs: int = 600,
+    timeout_secs: int | None = None,
 ) -> int:
     """R1 + R2: one ``availableNow`` run over files not yet taken; returns the
-    number of micro-batches it ran."""
+    number of micro-batches it ran. It takes as long as it needs unless
+    ``timeout_secs`` is given."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger=max_files_per_trigger,
                          max_bytes_per_trigger=max_bytes_per_trigger)
+    done: set[int] = set()
     query = (
-        lines.writeStream.foreachBatch(_batch_writer(target, layout, deduplicate, skip_stored_keys))
+        lines.writeStream.foreachBatch(_batch_writer(target, layout, deduplicate, skip_stored_keys, done))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -102,7 +105,7 @@ def incremental_ingest(
         raise TimeoutError(f"incremental ingest did not finish in {timeout_secs}s")
     if query.exception():
         raise query.exception()
-    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+    return len(done)
 
 
 def read_ingested(spark: SparkSession, target: str, layout: Layout = EMPRESAS) -> DataFrame:
