@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Partition directory values such as uf=01 must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Snapshots hold one sorted file per bucket; joins on the key then need no sort.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -37,5 +37,6 @@ def record_line(fields: dict, n: int = 37) -> bytes:
     return ";".join(fields.get(i, "") for i in range(n)).encode("latin-1")
 
 
-GOOD = {0: "12345678", 1: "0001", 2: "95", 3: "20200101", 4: "Empresa Teste", 5: "6201501",
-        7: "49", 10: "N", 13: "N", 14: "02", 15: "20200101", 32: "SP", 29: "01310100"}
+# A company made up for these tests.
+GOOD = {0: "40506070", 1: "0002", 2: "11", 3: "19990704", 4: "Padaria do Porto", 5: "1091101",
+        7: "05", 10: "S", 13: "N", 14: "08", 15: "20110315", 32: "PE", 29: "50030230"}

@@ -34,12 +34,12 @@ def test_load_code_tables_plain_and_zip(spark, write_files):
 
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as zf:
-        zf.writestr("Cnaes.csv", "6201501;Desenvolvimento de programas\r\n".encode("latin-1"))
+        zf.writestr("CNAEs.csv", "1091101;Desenvolvimento de programas\r\n".encode("latin-1"))
     root = write_files({"Naturezas.csv": "2062;Sociedade Empresária Limitada\r\n".encode("latin-1"),
-                        "Cnaes.zip": buf.getvalue()})
+                        "CNAEs.zip": buf.getvalue()})
     tables_ = analytics.load_code_tables(spark, root)
     assert set(tables_) == {"natureza_juridica", "cnae_fiscal"}
-    df = recs(spark, [{"cnpj": "1", "natureza_juridica": "2062", "cnae_fiscal": "6201501"}])
+    df = recs(spark, [{"cnpj": "1", "natureza_juridica": "2062", "cnae_fiscal": "1091101"}])
     r = analytics.enrich(df, tables_).first()
     assert r.natureza_descricao == "Sociedade Empresária Limitada"
     assert r.cnae_descricao == "Desenvolvimento de programas"
@@ -48,8 +48,10 @@ def test_load_code_tables_plain_and_zip(spark, write_files):
 def test_lookup_and_search(spark):
     df = recs(spark, [{"cnpj": f"{i:014d}", "razao_social": f"Acme {i}", "uf": "SP" if i % 2 else "RJ"} for i in range(10)])
     ids = spark.createDataFrame([("00000000000003",), ("00000000000003",), ("99",)], "cnpj string")
-    for bound in (10, 0):  # broadcast ids + scan, then the shuffle-join fallback
-        got = sorted((r.cnpj, r.found) for r in analytics.lookup(df, ids, max_broadcast_ids=bound).collect())
+    for threshold in ("10m", "-1"):  # broadcast ids + scan, then shuffle joins
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = sorted((r.cnpj, r.found) for r in analytics.lookup(df, ids).collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert got == [("00000000000003", True), ("99", False)]
     page1 = [r.cnpj for r in analytics.search_page(df, "ACME", {"uf": "SP"}, size=2).collect()]
     page2 = [r.cnpj for r in analytics.search_page(df, "acme", {"uf": "SP"}, after=page1[-1], size=2).collect()]
@@ -96,6 +98,33 @@ def test_bytes_per_trigger_bounds_intake(spark, tmp_path):
     assert read_ingested(spark, target).count() == 3
 
 
+def test_more_micro_batches_than_the_progress_history(spark, tmp_path):
+    watched, target, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(watched)
+    for f in range(5):
+        with open(os.path.join(watched, f"Empresas{f}.csv"), "wb") as out:
+            out.write(record_line({**GOOD, 0: f"{f + 1:08d}"}) + b"\r\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        assert incremental_ingest(spark, watched, target, ckpt, max_files_per_trigger=1) == 5
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_an_unreadable_table_is_an_error(spark, tmp_path):
+    import pytest
+
+    watched, target, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(watched)
+    with open(os.path.join(watched, "Empresas0.csv"), "wb") as out:
+        out.write(record_line(GOOD) + b"\r\n")
+    os.makedirs(f"{target}/table/batch_id=0")
+    with open(f"{target}/table/batch_id=0/part-0.parquet", "wb") as out:
+        out.write(b"this is no Parquet file")
+    with pytest.raises(Exception, match="Parquet|FAILED_READ_FILE|footer|CANNOT_READ_FILE"):
+        incremental_ingest(spark, watched, target, ckpt)
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 

@@ -38,16 +38,65 @@ def test_zip_members(spark, write_files):
         "Empresas1.zip": b"not a zip at all",
     })
     inputs = resolve_inputs(spark, d)
-    assert inputs.kind == "zip"
+    assert len(inputs.zips) == 2 and not inputs.text
     got = sorted((r.file_name, r.line) for r in read_release(spark, inputs).collect())
     assert got == [("Empresas0.csv", "a"), ("Empresas0.csv", "bç"), ("Empresas0.csv", "c")]
 
 
-def test_plain_csv_wins_over_archives(spark, write_files):
-    d = write_files({"Empresas0.zip": zip_bytes({"Empresas0.csv": b"zipped\n"}), "Empresas1.csv": b"plain\n"})
-    inputs = resolve_inputs(spark, d)
-    assert inputs.kind == "text"
-    assert [r.line for r in read_release(spark, inputs).collect()] == ["plain"]
+def test_plain_files_and_archives_are_both_read(spark, write_files):
+    d = write_files({"Empresas0.zip": zip_bytes({"Empresas0.csv": b"zipped\n"}), "Empresas1.csv": b"plain\n", "Socios0.csv": b"x\n"})
+    inputs = resolve_inputs(spark, d, names=None)
+    assert sorted(r.line for r in read_release(spark, inputs).collect()) == ["plain", "zipped"]
+    assert inputs.left_out == ("Socios0.csv",)
+
+
+def test_an_archive_is_left_out_by_size_only_on_request(spark, write_files, tmp_path):
+    from conftest import GOOD, record_line
+
+    from regline.plans.ingest import ingest
+
+    d = write_files({"Empresas0.zip": zip_bytes({"Empresas0.csv": record_line(GOOD) + b"\n"})})
+    s = ingest(spark, d, str(tmp_path / "a"), max_total_bytes=10).stats.first()
+    assert (s.files_read, s.files_failed, s.records_written, s.errors) == (0, 1, 0, 1)
+    s = ingest(spark, d, str(tmp_path / "b")).stats.first()
+    assert (s.files_read, s.files_failed, s.records_written) == (1, 0, 1)
+
+
+def test_a_damaged_member_fails_alone_and_is_tried_again(spark, write_files, tmp_path):
+    from conftest import GOOD, record_line
+
+    from regline.plans.ingest import ingest
+
+    lines = b"".join(record_line({**GOOD, 0: f"{i:08d}"}) + b"\r\n" for i in range(300))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("Empresas0.csv", lines)
+    whole = buf.getvalue()
+    at = len(whole) // 3
+    d = write_files({"Empresas0.zip": whole[:at] + bytes(40) + whole[at + 40 :],
+                     "Empresas1.zip": zip_bytes({"Empresas1.csv": record_line({**GOOD, 0: "99999999"}) + b"\n"})})
+    target, ledger = str(tmp_path / "t"), str(tmp_path / "ledger")
+    first = ingest(spark, d, target, ledger_path=ledger).stats.first()
+    assert (first.files_read, first.files_failed) == (1, 1) and first.errors >= 1
+    (tmp_path / "in" / "Empresas0.zip").write_bytes(whole)
+    second = ingest(spark, d, target, ledger_path=ledger)
+    assert (second.stats.first().files_read, second.stats.first().files_failed) == (1, 0)
+    assert second.table(spark).select("cnpj").distinct().count() == second.table(spark).count() == 301
+
+
+def test_the_same_name_and_length_in_another_folder_is_new(spark, tmp_path):
+    from conftest import GOOD, record_line
+
+    from regline.plans.ingest import ingest
+
+    target, ledger = str(tmp_path / "t"), str(tmp_path / "ledger")
+    written = []
+    for month, ident in (("m1", "00000001"), ("m2", "00000002")):
+        (tmp_path / month).mkdir()
+        (tmp_path / month / "Empresas0.csv").write_bytes(record_line({**GOOD, 0: ident}) + b"\n")
+        written.append(ingest(spark, str(tmp_path / month), target, ledger_path=ledger).stats.first().records_written)
+    named = ingest(spark, str(tmp_path / "m1"), target, ledger_path=ledger, names=["Empresas0.csv"]).stats.first()
+    assert written == [1, 1] and (named.files_read, named.files_failed, named.errors) == (0, 0, 0)
 
 
 def test_archive_limit_exactly_ten_gib_passes(spark):
@@ -114,10 +163,10 @@ def test_large_compressed_member_is_spread(spark, write_files):
         zf.writestr("Empresas0.csv", b"".join(b"line %d\r\n" % i for i in range(500)))
     d = write_files({"Empresas0.zip": buf.getvalue()})
     paths = [r.path for r in text.list_files(spark, d).collect()]
-    assert archives.spread_for(paths, cores=4) is None  # small member: no shuffle
-    n = archives.spread_for(paths, cores=4, spread_bytes=100)
+    assert archives.plan_archives(spark, paths).spread is None  # small member: no shuffle
+    n = archives.plan_archives(spark, paths, spread_bytes=100).spread
     assert n is not None and n >= 8
-    lines = archives.read_zip_lines(spark, paths, spread=n)
+    lines = archives.read_zip_lines(spark, paths, spread_bytes=100)
     assert lines.rdd.getNumPartitions() == n
     assert sorted(r.line for r in lines.collect()) == sorted(f"line {i}" for i in range(500))
 

@@ -52,7 +52,7 @@ def test_scan_and_split_match_the_model(spark, tmp_path_factory, files):
 def test_zip_members_match_the_model_across_chunk_edges(spark, tmp_path_factory, files):
     import zipfile
 
-    from regline.sources.archives import read_zip_raw
+    from regline.sources.archives import plan_archives, read_planned_raw
     from regline.sources.text import lines_from_raw
 
     d = tmp_path_factory.mktemp("propzip")
@@ -60,7 +60,7 @@ def test_zip_members_match_the_model_across_chunk_edges(spark, tmp_path_factory,
         for i, data in enumerate(files):
             zf.writestr(f"f{i}.csv", data)
     # 3-byte reads put chunk boundaries everywhere, including inside CR LF.
-    raw = read_zip_raw(spark, [f"file:{d}/Empresas0.zip"], chunk_bytes=3)
+    raw = read_planned_raw(spark, plan_archives(spark, [f"file:{d}/Empresas0.zip"]), chunk_bytes=3)
     rows = lines_from_raw(raw).collect()
     got: dict[str, list] = {}
     for r in rows:
@@ -74,7 +74,7 @@ def test_zip_members_match_the_model_across_chunk_edges(spark, tmp_path_factory,
 def test_stored_members_split_by_byte_range_match_the_model(spark, tmp_path_factory, files, split):
     import zipfile
 
-    from regline.sources.archives import read_zip_raw
+    from regline.sources.archives import plan_archives, read_planned_raw
     from regline.sources.text import lines_from_raw
 
     d = tmp_path_factory.mktemp("propstored")
@@ -82,7 +82,8 @@ def test_stored_members_split_by_byte_range_match_the_model(spark, tmp_path_fact
         for i, data in enumerate(files):
             zf.writestr(f"f{i}.csv", data)
     # Tiny splits: every member above `split` bytes is read by several tasks.
-    raw = read_zip_raw(spark, [f"file:{d}/Empresas0.zip"], chunk_bytes=2, split_bytes=split)
+    plan = plan_archives(spark, [f"file:{d}/Empresas0.zip"], split_bytes=split)
+    raw = read_planned_raw(spark, plan, chunk_bytes=2)
     rows = lines_from_raw(raw).collect()
     got: dict[str, list] = {}
     for r in rows:

@@ -9,19 +9,19 @@ def lines_of(spark, d):
 
 
 def test_crlf_lines(spark, write_files):
-    assert lines_of(spark, write_files({"a.csv": b"line1\r\nline2\r\nline3\r\n"})) == ["line1", "line2", "line3"]
+    assert lines_of(spark, write_files({"a.csv": b"Recife;PE\r\nNatal;RN\r\n"})) == ["Natal;RN", "Recife;PE"]
 
 
 def test_lf_lines(spark, write_files):
-    assert lines_of(spark, write_files({"a.csv": b"line1\nline2\nline3\n"})) == ["line1", "line2", "line3"]
+    assert lines_of(spark, write_files({"a.csv": b"1;um\n2;dois\n3;\n"})) == ["1;um", "2;dois", "3;"]
 
 
 def test_last_line_without_newline(spark, write_files):
-    assert lines_of(spark, write_files({"a.csv": b"line1\nline2"})) == ["line1", "line2"]
+    assert lines_of(spark, write_files({"a.csv": b"primeira\nultima"})) == ["primeira", "ultima"]
 
 
 def test_last_line_trailing_cr_removed(spark, write_files):
-    assert lines_of(spark, write_files({"a.csv": b"line1\nline2\r"})) == ["line1", "line2"]
+    assert lines_of(spark, write_files({"a.csv": b"antes\ndepois\r"})) == ["antes", "depois"]
 
 
 def test_empty_file_gives_nothing(spark, write_files):
@@ -56,8 +56,8 @@ def split(spark, s):
 
 
 def test_split_fields(spark):
-    assert split(spark, "12345678000195;Empresa Teste;0001;Ativa") == ["12345678000195", "Empresa Teste", "0001", "Ativa"]
-    assert split(spark, "12345678000195;;0001;") == ["12345678000195", "", "0001", ""]
-    assert split(spark, "nodelimiter") == ["nodelimiter"]
+    assert split(spark, "PE;Olinda;50.1") == ["PE", "Olinda", "50.1"]
+    assert split(spark, ";;fim;;") == ["", "", "fim", "", ""]
+    assert split(spark, "inteiro") == ["inteiro"]
     assert split(spark, '"q;r";t') == ['"q', 'r"', "t"]
     assert split(spark, ";;") == ["", "", ""]

@@ -14,9 +14,9 @@ def records_df(spark, rows):
 
 
 def test_check_digits(spark):
-    df = spark.createDataFrame([("12345678000195",), ("12345678000194",), ("123456780001AB",), (None,)], "cnpj string")
+    df = spark.createDataFrame([("40506070000211",), ("40506070000194",), ("405060700001AB",), (None,)], "cnpj string")
     got = {r.cnpj: r.dv_status for r in with_check_digit(df).collect()}
-    assert got == {"12345678000195": "ok", "12345678000194": "bad", "123456780001AB": "not_checkable", None: None}
+    assert got == {"40506070000211": "ok", "40506070000194": "bad", "405060700001AB": "not_checkable", None: None}
 
 
 def test_dedupe_keeps_same_winner(spark):
@@ -59,8 +59,11 @@ def test_against_stored_both_paths(spark):
 
     new = records_df(spark, [{"cnpj": "1"}, {"cnpj": "2"}, {"cnpj": "2"}, {"cnpj": "3"}])
     stored = records_df(spark, [{"cnpj": "2"}, {"cnpj": "9"}])
-    for bound in (10, 0):  # broadcast path, then the plain anti join
-        assert sorted(r.cnpj for r in against_stored(new, stored, max_broadcast_keys=bound).collect()) == ["1", "3"]
+    for threshold in ("10m", "-1"):  # broadcast joins, then shuffled ones
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = sorted(r.cnpj for r in against_stored(new, stored).collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == ["1", "3"]
 
 
 def test_dedupe_without_duplicates_is_a_plain_projection(spark):

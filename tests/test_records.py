@@ -11,15 +11,13 @@ def classify_bytes(spark, write_files, data: bytes, **kw):
     return classify(read_lines(spark, write_files({"Empresas0.csv": data})), **kw)
 
 
-def test_reference_record(spark, write_files):
-    fields = ["12345678", "0001", "95", "20200101", "Empresa Teste", "6201501", "", "49", "", "", "N", "", "", "N", "02", "20200101"]
-    c = classify_bytes(spark, write_files, ";".join(fields).encode() + b"\r\n")
+def test_a_line_of_sixteen_fields(spark, write_files):
+    c = classify_bytes(spark, write_files, record_line(GOOD, 16) + b"\r\n")
     r = accepted(c).first().asDict()
-    assert r["cnpj"] == "12345678000195"
-    assert r["razao_social"] == "Empresa Teste"
-    assert r["cnae_fiscal"] == "6201501"
-    assert r["situacao_cadastral"] == "02"
-    assert r["data_abertura"] == "20200101"  # position 3, as the layout says
+    assert r["cnpj"] == GOOD[0] + GOOD[1] + GOOD[2]
+    assert r["razao_social"] == GOOD[4] and r["cnae_fiscal"] == GOOD[5]
+    assert r["situacao_cadastral"] == GOOD[14]
+    assert r["data_abertura"] == GOOD[3]  # position 3, as the layout says
     assert r["uf"] is None and r["capital_social"] is None  # past the end
     assert r["porte_empresa"] is None
     assert list(r) == EMPRESAS.names
@@ -54,7 +52,7 @@ def test_line_of_spaces_rejected(spark, write_files):
 
 
 def test_overwide_quarantined_with_column(spark, write_files):
-    c = classify_bytes(spark, write_files, record_line({**GOOD, 29: "123456789"}) + b"\n")
+    c = classify_bytes(spark, write_files, record_line({**GOOD, 29: "405060709"}) + b"\n")
     q = quarantine(c).first()
     assert (q.reason, q.detail) == ("overwide", "cep")
     assert accepted(c).count() == 0
@@ -75,7 +73,7 @@ def test_trim_option(spark, write_files):
 
 def test_alphanumeric_id_accepted(spark, write_files):
     r = accepted(classify_bytes(spark, write_files, record_line({**GOOD, 0: "12ABC678", 2: "AB"}) + b"\n")).first()
-    assert r.cnpj == "12ABC6780001AB"
+    assert r.cnpj == "12ABC6780002AB"
 
 
 def test_counts_add_up(spark, write_files):

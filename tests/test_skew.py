@@ -26,7 +26,7 @@ def test_hot_key_keeps_exactly_one_winner(spark, write_files):
     root = skewed_release(write_files)
     recs = accepted(classify(read_lines(spark, root)), lineage=True)
     out = dedupe(recs)
-    hot = out.where("cnpj = '00000001000195'").collect()
+    hot = out.where("cnpj = '00000001000211'").collect()
     assert len(hot) == 1
     # The smallest (file, line) wins: Empresas0.csv holds every hot line; its
     # smallest line text is the one with the smallest name.
