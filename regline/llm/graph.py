@@ -21,15 +21,18 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    before = None
-    while (state := _fingerprint(now)) != before:
-        before = state
+    while not _only_stars(now):
         now = _small_star(_large_star(now))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no other edge's smaller end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 OR (up = 1 AND down > 0)").isEmpty()
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -39,11 +42,10 @@ def _smallest(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """``edges(u, v)`` with u > v."""
+    """``edges(u, v)`` with u > v, as many as before."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _smallest(both).select("u", F.least("u", "m").alias("m"))
-    linked = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return written(linked.distinct(), "large-star")
+    return written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
