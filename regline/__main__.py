@@ -2,6 +2,7 @@
 
     python -m regline ingest ROOT TARGET [--files NAME ...] [--batch-size N]
                              [--trim] [--keep-duplicates] [--ledger PATH]
+                             [--complete] [--max-total-bytes N]
     python -m regline status DIR
     python -m regline audit DIR [--manifest SHA256SUMS]
     python -m regline export TABLE_DIR OUT --format parquet|csv|json|copy
@@ -23,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     p_in.add_argument("--files", nargs="*", help="only these file names")
     p_in.add_argument("--batch-size", type=int, default=100_000)
     p_in.add_argument("--max-records-per-file", type=int)
+    p_in.add_argument("--complete", action="store_true", help="count missing parts of the release as failed files")
+    p_in.add_argument("--max-total-bytes", type=int, help="leave out archives that unpack to more")
     p_in.add_argument("--trim", action="store_true", help="remove spaces and tabs around fields")
     p_in.add_argument("--keep-duplicates", action="store_true", help="do not reduce to one record per id")
     p_in.add_argument("--ledger", help="table of files already taken; only new files are loaded")
@@ -54,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
             batch_size=args.batch_size,
             max_records_per_file=args.max_records_per_file,
             ledger_path=args.ledger,
+            complete=args.complete,
+            max_total_bytes=args.max_total_bytes,
         )
         print(json.dumps(result.stats.first().asDict()))
         return 0

@@ -83,6 +83,20 @@ EMPRESAS = Layout(
 )
 
 
+# The file families of a monthly release and how many numbered
+# parts each has (None: one file without a number).
+RELEASE_PARTS = {
+    "Empresas": 10, "Estabelecimentos": 10, "Socios": 10, "Simples": None,
+    "CNAEs": None, "Naturezas": None, "Paises": None, "Municipios": None, "Qualificacoes": None,
+}
+
+
+def release_files(families: tuple[str, ...] | None = None) -> list[str]:
+    """Names, without extension, of the files that a complete release has of the given families (of all)."""
+    wanted = RELEASE_PARTS if families is None else {f: RELEASE_PARTS[f] for f in families}
+    return [f if n is None else f"{f}{i}" for f, n in wanted.items() for i in range(n or 1)]
+
+
 def code_table_layout(code_width: int | None = None) -> Layout:
     """Two-column (code;description) layout of the registry's code tables."""
     return Layout(

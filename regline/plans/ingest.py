@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from regline.layout import EMPRESAS, Layout
+from regline.layout import EMPRESAS, Layout, release_files
 from regline.operators.quality import against_stored
 from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
@@ -60,21 +60,25 @@ def resolve_inputs(
     families: tuple[str, ...] | None = ("Empresas",),
     names: list[str] | None = None,
     ledger: DataFrame | None = None,
+    complete: bool = False,
 ) -> Inputs:
     """S3 + S4 + S8: the selected ``.csv`` and ``.zip`` files, minus files already ingested.
 
-    Only file metadata is handled here (as Spark's own file listing does).
+    ``complete``: files that a complete release has of these families and this
+    folder has not, plain or zipped, count as missing. Only file metadata is handled here (as Spark's own file listing does).
     """
     listing = dataset_files(spark, root, families=families, names=names)
     rows = sorted((r for r in listing.collect() if r.file_name.endswith((".csv", ".zip"))), key=lambda r: r.path)
     present = {r.file_name for r in rows}
     chosen = [r for r in rows if r.selected]
+    stems = {r.file_name.rsplit(".", 1)[0] for r in rows}
+    absent = [f"{stem}.zip" for stem in (release_files(families) if complete else ()) if stem not in stems]
     new = {r.path for r in chosen}
     if ledger is not None and chosen:
         new = {r.path for r in not_yet_ingested(listing.where("selected"), ledger).select("path").collect()}
     return Inputs(
         [r for r in chosen if r.path in new],
-        tuple(sorted(n for n in (names or ()) if n not in present)),
+        tuple(sorted([n for n in (names or ()) if n not in present] + absent)),
         tuple(r.file_name for r in rows if not r.selected),
         tuple(r.file_name for r in chosen if r.path not in new),
     )
@@ -228,13 +232,15 @@ def ingest(
     record_filter: str | None = None,
     ledger_path: str | None = None,
     max_total_bytes: int | None = None,
+    complete: bool = False,
 ) -> IngestResult:
     """Load one release folder into ``target``: its table/, to which every load
     appends, and a folder of rejected lines per load below loads/.
 
     Plain files and archives of the release are both read. ``deduplicate``
     keeps one record per key over this load and all loads before it. A load
-    that failed while publishing may simply be run again.
+    that failed while publishing may simply be run again. ``complete`` counts
+    parts of the release that are not there as failed files.
 
     ``ledger_path``: a Parquet table of files already taken (path, name,
     length, modification time). Files in it are skipped (S8), and those that
@@ -251,7 +257,7 @@ def ingest(
 
     if ledger_path is not None and ledger is None:
         ledger = read_ledger(spark, ledger_path)
-    inputs = resolve_inputs(spark, root, families, names, ledger)
+    inputs = resolve_inputs(spark, root, families, names, ledger, complete)
     release = open_release(spark, inputs, max_total_bytes=max_total_bytes)
     cores = spark.sparkContext.defaultParallelism
     lap("resolve")

@@ -50,6 +50,15 @@ def test_plain_files_and_archives_are_both_read(spark, write_files):
     assert inputs.left_out == ("Socios0.csv",)
 
 
+def test_a_release_without_a_part_is_incomplete(spark, write_files):
+    d = write_files({f"Empresas{i}.{'csv' if i % 2 else 'zip'}": b"" for i in range(10) if i != 7})
+    assert resolve_inputs(spark, d).missing == ()
+    assert resolve_inputs(spark, d, complete=True).missing == ("Empresas7.zip",)
+    from regline.layout import release_files
+
+    assert len(release_files()) == 36
+
+
 def test_an_archive_is_left_out_by_size_only_on_request(spark, write_files, tmp_path):
     from conftest import GOOD, record_line
 

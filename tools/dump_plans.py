@@ -16,8 +16,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from regline.layout import code_table_layout  # noqa: E402
 from regline.operators import analytics, quality, records, releases  # noqa: E402
 from regline.plans.fixtures import registry_release  # noqa: E402
-from regline.plans.ingest import ingest, staged_frame  # noqa: E402
-from regline.session import fresh_dir, get_session  # noqa: E402
+from regline.plans.ingest import ingest, records_of, staged_frame, unique_lines  # noqa: E402
+from regline.session import fresh_dir, get_session, staged  # noqa: E402
 from regline.sinks import tables  # noqa: E402
 from regline.sources import archives, text  # noqa: E402
 
@@ -48,7 +48,7 @@ def main(sf_dir: str) -> None:
     root = registry_release(spark, sf_dir, "plain")
     res = ingest(spark, root, fresh_dir(spark, "plans"))
     table = res.table(spark)
-    acc = spark.read.parquet(f"{res.staging_path}/outcome=accepted")
+    lines = staged(staged_frame(records.classify(text.read_lines(spark, root))).where("outcome = 'accepted'"), "plans")
     codes = registry_release(spark, sf_dir, "codes")
     mun = records.parse_records(text.read_lines(spark, f"{codes}/Municipios.csv"), code_table_layout())
     nat = records.parse_records(text.read_lines(spark, f"{codes}/Naturezas.csv"), code_table_layout())
@@ -65,7 +65,8 @@ def main(sf_dir: str) -> None:
          staged_frame(records.classify(text.read_lines(spark, root)))),
         ("Stage from ZIP members (Python Data Source, one partition per member)",
          staged_frame(records.classify(archives.read_zip_lines(spark, zpaths)))),
-        ("Publish: one record per key, rebalanced by uf, sorted", tables.laid_out(quality.dedupe(acc, order=("file_path",)))),
+        ("Publish: one line per key, split into columns, rebalanced by uf, sorted",
+         tables.laid_out(records_of(unique_lines(lines, "cnpj")[0]))),
         ("Duplicate report (V5)", quality.duplicate_report(table)),
         ("Count by code (D4)", analytics.count_by_code(table, "uf")),
         ("Lookup one id (D5)", analytics.lookup_one(table, "00000002000102")),
