@@ -9,14 +9,13 @@ then position.
 
 from __future__ import annotations
 
-import re
-import zlib
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regline.llm.common import free_name, text_or_empty, with_python, written
+from regline.plans.ingest import sql_conf
 
 #: Sentences in a run.
 SPAN = 3
@@ -26,117 +25,129 @@ SENTENCE_WORDS = 16
 CUT = 5
 #: Runs of fewer words go on until they have as many.
 MIN_WORDS = 10
+HASH_BYTES = 16
+#: Texts hashed at a time; a text has as many hashes as sentences.
+BATCH_ROWS = "2000"
+
+# ASCII white space, and bytes that end a sentence.
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_STOP = np.isin(np.arange(256), list(b".!?"))
 
-_STOP = re.compile(r"[.!?]+\s+|\n\s*")
-_WORD = re.compile(r"\S+\s*")
 
+def cut_text(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a UTF-8 text start (with the text's length last), and the words at which sentences start
+    (with the number of words last).
 
-def _hash(word: str) -> int:
-    return zlib.crc32(word.rstrip().lower().encode("utf-8", "surrogatepass"))
+    A sentence ends with a word that ends in ``.``, ``!`` or ``?`` before white
+    space, or before a line feed; long ones are cut further.
+    """
+    codes = np.frombuffer(data.lower(), np.uint8)
+    in_word = ~_SPACE[codes]
+    edges = np.flatnonzero(np.diff(in_word, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.array([len(data)]), np.array([0])
+    follows = np.append(starts[1:], len(data))
+    feeds = np.concatenate([[0], np.cumsum(codes == 10)])
+    stop = (_STOP[codes[ends - 1]] & (ends < len(data))) | (feeds[follows] > feeds[ends])
+    stop[-1] = True
+    last = np.flatnonzero(stop)
+    lengths = np.diff(last, prepend=-1)
+    # The sum of a word's bytes decides; a prefix sum gives it.
+    sums = np.concatenate([[0], np.cumsum(codes, dtype=np.int64)])
+    cut = (sums[ends] - sums[starts]) % CUT == 0
+    bounds = np.flatnonzero(stop | (cut & np.repeat(lengths > SENTENCE_WORDS, lengths))) + 1
+    return np.append(starts, len(data)), np.concatenate([[0], bounds])
+
+
+def run_stops(bounds: np.ndarray) -> np.ndarray:
+    """The sentence at which the run that starts at each sentence stops; one value for each start that has a whole run."""
+    starts = np.arange(len(bounds) - 1)
+    stops = np.maximum(starts + SPAN, np.searchsorted(bounds, bounds[:-1] + MIN_WORDS))
+    return stops[stops < len(bounds)]
+
+
+def _parts(data: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The sentences, with what separates them, so that joined they give the text; and ``bounds``."""
+    starts, bounds = cut_text(data)
+    edges = [0, *starts[bounds[1:]].tolist()]
+    return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], bounds
 
 
 def sentences(text: str) -> list[str]:
-    """The sentences, with what separates them, so that joined they give the text. A text without words has none.
+    return [part.decode("utf-8", "surrogatepass") for part in _parts(text.encode("utf-8", "surrogatepass"))[0]]
 
-    A sentence ends after a run of ``.!?`` before white space or at a line
-    feed; long ones are cut further.
-    """
-    whole, start = [], 0
-    for stop in _STOP.finditer(text):
-        if not text[start : stop.end()].isspace():
-            whole.append(text[start : stop.end()])
-            start = stop.end()
-    if start < len(text):
-        tail = text[start:]
-        if not tail.isspace():
-            whole.append(tail)
-        elif whole:
-            whole[-1] += tail
-    out = []
-    for sentence in whole:
-        words = list(_WORD.finditer(sentence))
-        cuts = [0, len(sentence)]
-        if len(words) > SENTENCE_WORDS:
-            cuts[1:1] = [w.end() for w in words[:-1] if _hash(w.group()) % CUT == 0]
-        out += [sentence[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-    return out
-
-
-def run_stops(parts: list[str]) -> list[int]:
-    """Where the run that starts at each sentence stops; one value for each start that has a whole run."""
-    words = [len(part.split()) for part in parts]
-    stops, stop, total = [], 0, 0
-    for start, own in enumerate(words):
-        while stop < len(words) and (stop - start < SPAN or total < MIN_WORDS):
-            total += words[stop]
-            stop += 1
-        if stop - start < SPAN or total < MIN_WORDS:
-            break
-        stops.append(stop)
-        total -= own
-    return stops
-
-
-def span_hashes(text: str) -> list[bytes]:
-    """XXH3-128 of the run that starts at each sentence, white space and ASCII case aside."""
+
+def span_hashes(text: str) -> bytes:
+    """XXH3-128 of the words of the run that starts at each sentence, one after the other; white space and ASCII case don't count."""
     from xxhash import xxh3_128_digest
 
-    parts = sentences(text)
-    plain = [b" ".join(part.encode("utf-8", "surrogatepass").lower().split()) for part in parts]
-    return [xxh3_128_digest(b"\n".join(plain[start:stop])) for start, stop in enumerate(run_stops(parts))]
+    data = text.encode("utf-8", "surrogatepass").lower()
+    _, bounds = cut_text(data)
+    words = data.split()
+    plain = b" ".join(words)
+    at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])[bounds]
+    stops = run_stops(bounds)
+    return b"".join(xxh3_128_digest(plain[a : b - 1]) for a, b in zip(at[: len(stops)].tolist(), at[stops].tolist(), strict=True))
 
 
-def without_spans(text: str, starts: list[int]) -> tuple[str, int, int]:
-    """The text without the runs that start at these sentences; sentences it had; sentences removed."""
-    parts = sentences(text)
-    stops = run_stops(parts) if starts else []
+def without_spans(text: str, starts: list[int]) -> tuple[str, int]:
+    """The text without the runs that start at these sentences, and how many sentences are gone."""
+    parts, bounds = _parts(text.encode("utf-8", "surrogatepass"))
+    stops = run_stops(bounds)
     gone = {i for start in starts for i in range(start, stops[start])}
-    kept = [part for i, part in enumerate(parts) if i not in gone]
-    return ("".join(kept) if gone else text), len(parts), len(parts) - len(kept)
+    kept = b"".join(part for i, part in enumerate(parts) if i not in gone)
+    return kept.decode("utf-8", "surrogatepass"), len(gone)
 
 
 def _hashes(texts: pa.Array) -> pa.Array:
-    return pa.array([span_hashes(t.as_py()) for t in texts], pa.list_(pa.binary()))
+    """Built from buffers: a Python object for each hash would take several times the memory."""
+    each = [span_hashes(t.as_py()) for t in texts]
+    data = b"".join(each)
+    ends = np.arange(0, len(data) + 1, HASH_BYTES, dtype=np.int32)
+    values = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    runs = np.concatenate([[0], np.cumsum([len(h) // HASH_BYTES for h in each], dtype=np.int64)])
+    return pa.ListArray.from_arrays(pa.array(runs, pa.int32()), values)
 
 
 def _cleaned(texts: pa.Array, starts: pa.Array) -> pa.Array:
-    rows = [without_spans(t.as_py(), s.as_py() or []) for t, s in zip(texts, starts, strict=True)]
-    columns = zip(*rows, strict=True) if rows else [()] * 3
-    kinds = (pa.string(), pa.int64(), pa.int64())
+    """Null for a text that nothing is taken from; such texts don't become Python objects."""
+    rows = [without_spans(t.as_py(), s.as_py()) if s.is_valid else (None, 0) for t, s in zip(texts, starts, strict=True)]
+    columns = zip(*rows, strict=True) if rows else [()] * 2
     return pa.StructArray.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["text", "n_sentences", "n_removed"]
+        [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64()), strict=True)], ["text", "n_removed"]
     )
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text_hash, starts``: per document the sentences at which a repeated run other than its first starts.
 
-    Rows equal in id and text are one document.
+    Rows equal in id and text are one document. Ids are taken as longs.
     """
     with_python(docs)
     text = text_or_empty(F.col(text_col))
     hashes = F.arrow_udf(_hashes, "array<binary>")
-    runs = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), hashes(text).alias("runs"))
-    spans = written(
-        runs.select("id", "text_hash", F.posexplode("runs").alias("start", "run")), "spans"
-    )
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "start")
-    # Partial sums fold a run that very many documents share; written, so that AQE may split its rows in the join.
-    first = written(
-        spans.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("run", "first"),
-        "first-spans",
-    )
-    again = spans.join(first, "run").where(place != F.col("first"))
+    runs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("text_hash"), hashes(text).alias("runs"))
+    with sql_conf(docs.sparkSession, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        spans = written(runs.select("id", "text_hash", F.posexplode("runs").alias("start", "run")), "spans")
+    last = (1 << 63) - 1  # stands for a null id, which comes last
+    place = F.struct(F.coalesce("id", F.lit(last)).alias("id"), "text_hash", "start")
+    # Most runs are unique, and a count is all it takes to drop them. Partial sums fold a run that very many
+    # documents share; the tables are written, so that AQE may split its rows in the joins.
+    repeated = written(spans.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run"), "repeated-runs")
+    shared = written(spans.join(repeated, "run", "left_semi"), "shared-spans")
+    first = written(shared.groupBy("run").agg(F.min(place).alias("first")), "first-spans")
+    again = shared.join(first, "run").where(place != F.col("first"))
     return again.groupBy("id", "text_hash").agg(F.collect_set("start").alias("starts"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("n_sentences", "n_removed")) -> DataFrame:
-    """``docs`` with the text cleaned, and two more columns, ``names``: sentences the text had, sentences removed.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "n_removed") -> DataFrame:
+    """``docs`` with the text cleaned, and one more column, ``name``: sentences removed.
 
-    Null ids come last in the order that says which occurrence is first.
-    Null and empty texts become empty with 0 sentences; a text loses nothing
-    but whole sentences. No documents give no rows. Names that ``docs`` has
-    already get underscores put before them.
+    Null ids come last in the order that says which occurrence is first. Null
+    texts become empty; a text loses nothing but whole sentences. No documents
+    give no rows. If ``docs`` has a column ``name``, underscores are put
+    before the new one.
     """
     spans = repeated_spans(docs, id_col, text_col).select(
         F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"), "starts"
@@ -146,9 +157,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(*columns).withColumn("d_text", text_or_empty(F.col(at[text_col])))
     rows = rows.withColumn("d_hash", F.xxhash64("d_text"))
     met = rows.join(spans, F.col(at[id_col]).eqNullSafe(F.col("s_id")) & (F.col("d_hash") == F.col("s_hash")), "left")
-    cleaned = met.withColumn(
-        "cleaned", F.arrow_udf(_cleaned, "text string, n_sentences bigint, n_removed bigint")(F.col("d_text"), F.col("starts"))
-    )
-    kept = [F.col("cleaned.text").alias(c) if c == text_col else F.col(at[c]).alias(c) for c in docs.columns]
-    more = [F.col(f"cleaned.{field}").alias(free_name(docs, name)) for field, name in zip(("n_sentences", "n_removed"), names, strict=True)]
-    return cleaned.select(*kept, *more)
+    cleaned = met.withColumn("cleaned", F.arrow_udf(_cleaned, "text string, n_removed bigint")(F.col("d_text"), F.col("starts")))
+    text = F.coalesce("cleaned.text", "d_text")
+    kept = [text.alias(c) if c == text_col else F.col(at[c]).alias(c) for c in docs.columns]
+    return cleaned.select(*kept, F.col("cleaned.n_removed").alias(free_name(docs, name)))

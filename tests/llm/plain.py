@@ -68,10 +68,10 @@ def sentence_repeats(docs, sentences, span=3, least=10):
     for ident, text in sorted(docs):
         parts[ident, text] = own = sentences(text)
         for start in range(len(own)):
-            stop = next((e for e in range(start + span, len(own) + 1) if sum(len(s.split()) for s in own[start:e]) >= least), None)
+            stop = next((e for e in range(start + span, len(own) + 1) if sum(len(words(s)) for s in own[start:e]) >= least), None)
             if stop is None:
                 break
-            run = tuple(" ".join(words(ascii_lower(s))) for s in own[start:stop])
+            run = tuple(w for s in own[start:stop] for w in words(ascii_lower(s)))
             if run in seen:
                 gone[ident, text] |= set(range(start, stop))
             else:
