@@ -61,10 +61,12 @@ def dedup_batch(batch: DataFrame, index: str, id_col: str = "doc_id", text_col:
         ),
         "digests",
     )
-    groups = (
+    # Written, or the planner would move the anti-join below the sum and shuffle every copy.
+    groups = written(
         rows.groupBy("digest")
         .agg(F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+        .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"),
+        "groups",
     )
     buckets = _buckets(spark, index)
     seen = spark.table(index).select("digest")
