@@ -46,7 +46,7 @@ WHOLE_LIMITS = (
     (16384, 0.29, 0.74),
     (float("inf"), 0.27, 0.72),
 )
-#: The same for a chunk; the last, shorter chunk counts from half a chunk.
+#: The same for a chunk.
 CHUNK_LIMITS = (0.31, 0.68)
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -80,13 +80,16 @@ def repeated_lines(data: bytes) -> int:
 
 
 def ratios(data: bytes, compressor) -> tuple[float, float, float]:
-    """Of the whole, and the least and largest of the chunks (of the whole if there is none). An empty text has 1."""
+    """Of the whole, and the least and largest of the chunks (of the whole if there is none). An empty text has 1.
+
+    The last chunk is the text's last CHUNK_BYTES bytes and may overlap the one before, so every byte lies in a whole chunk.
+    """
     if not data:
         return 1.0, 1.0, 1.0
     whole = len(compressor.compress(data)) / len(data)
     if len(data) <= CHUNK_BYTES:
         return whole, whole, whole
-    starts = [at for at in range(0, len(data), CHUNK_BYTES) if len(data) - at >= CHUNK_BYTES // 2]
+    starts = [*range(0, len(data) - CHUNK_BYTES, CHUNK_BYTES), len(data) - CHUNK_BYTES]
     chunks = [data[at : at + CHUNK_BYTES] for at in starts]
     each = [len(compressor.compress(chunk)) / len(chunk) for chunk in chunks]
     return whole, min(each), max(each)

@@ -35,6 +35,17 @@ def test_base64_alone(size, width):
     assert not got["base_failed"] and not got["kept"]
 
 
+@pytest.mark.parametrize("n_clean, n_last", [(4096, 2004), (8192, 2047), (6000, 3000)])
+def test_the_end_of_a_text_lies_in_a_judged_chunk(n_clean, n_last):
+    clean = rng_words(4000)
+    assert judged(clean[: n_clean + n_last])["kept"]
+    tail = (clean[:n_clean] + encoded(n_last)).encode()
+    _, _, largest = compression.ratios(tail, COMPRESSOR)
+    assert largest == max(len(COMPRESSOR.compress(tail[a : a + 4096])) / 4096 for a in (*range(0, len(tail) - 4095, 4096), len(tail) - 4096))
+    dull = judged(clean[:n_clean] + " " + "".join(" " + "a" * n for n in range(1, 200))[-n_last:])
+    assert dull["least_chunk_ratio"] < compression.CHUNK_LIMITS[0] and not dull["kept"]
+
+
 def test_clean_documents_stay(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(
         spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1"), "doc_id"
