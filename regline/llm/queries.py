@@ -130,7 +130,7 @@ def op8_compression_rules(spark, sf):
 
 
 def op9_sentence_spans(spark, sf):
-    return sentence_spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+    return sentence_spans.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"), total="n_sentences")
 
 
 def op10_exact_dedup(spark, sf):

@@ -119,6 +119,10 @@ def _cleaned(texts: pa.Array, starts: pa.Array) -> pa.Array:
     )
 
 
+def _n_sentences(texts: pa.Array) -> pa.Array:
+    return pa.array([len(cut_text(t.as_buffer().to_pybytes())[1]) - 1 for t in texts], pa.int64())
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text_hash, starts``: per document the sentences at which a repeated run other than its first starts.
 
@@ -141,13 +145,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return again.groupBy("id", "text_hash").agg(F.collect_set("start").alias("starts"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "n_removed") -> DataFrame:
-    """``docs`` with the text cleaned, and one more column, ``name``: sentences removed.
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "n_removed", total: str | None = None
+) -> DataFrame:
+    """``docs`` with the text cleaned, and one more column, ``name``: sentences removed. With ``total``, a column of
+    that name before it: sentences the text had.
 
     Null ids come last in the order that says which occurrence is first. Null
     texts become empty; a text loses nothing but whole sentences. No documents
-    give no rows. If ``docs`` has a column ``name``, underscores are put
-    before the new one.
+    give no rows. If ``docs`` has a column ``name`` or ``total``, underscores
+    are put before the new one.
     """
     spans = repeated_spans(docs, id_col, text_col).select(
         F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"), "starts"
@@ -160,4 +167,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cleaned = met.withColumn("cleaned", F.arrow_udf(_cleaned, "text string, n_removed bigint")(F.col("d_text"), F.col("starts")))
     text = F.coalesce("cleaned.text", "d_text")
     kept = [text.alias(c) if c == text_col else F.col(at[c]).alias(c) for c in docs.columns]
+    if total:
+        kept.append(F.arrow_udf(_n_sentences, "bigint")(F.col("d_text")).alias(free_name(docs, total)))
     return cleaned.select(*kept, F.col("cleaned.n_removed").alias(free_name(docs, name)))
