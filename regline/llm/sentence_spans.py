@@ -5,6 +5,9 @@ they have fewer than MIN_WORDS words) is hashed, the hashes are joined over all
 documents, and every sentence that lies in a repeated run other than the run's
 first occurrence is removed. First is the smallest id, then hash of the text,
 then position.
+
+In scripts written without spaces (Chinese, Japanese, Thai and the like) each
+character is a word, of which UNSPACED count as one for all lengths.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ SENTENCE_WORDS = 16
 CUT = 5
 #: Runs of fewer words go on until they have as many.
 MIN_WORDS = 10
+#: Characters of a script without spaces that count as one word.
+UNSPACED = 4
 HASH_BYTES = 16
 #: Texts hashed at a time; a text has as many hashes as sentences.
 BATCH_ROWS = "2000"
@@ -34,44 +39,85 @@ _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _STOP = np.isin(np.arange(256), list(b".!?"))
 
 
-def cut_text(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of a UTF-8 text start (with the text's length last), and the words at which sentences start
-    (with the number of words last).
+# By their first two bytes: UTF-8 characters of scripts without spaces, full-width forms and stops included.
+_ALONE = np.zeros(1 << 16, bool)
+for _from, _to in (
+    (0xE0B8, 0xE0BF),  # Thai, Lao, Tibetan
+    (0xE180, 0xE182),  # Myanmar
+    (0xE19E, 0xE19F),  # Khmer
+    (0xE2BA, 0xEA93),  # CJK, kana, Yi
+    (0xEFA4, 0xEFAB),  # CJK compatibility
+    (0xEFBC, 0xEFBF),  # full-width and half-width forms
+    (0xF0A0, 0xF0BF),  # CJK extensions
+):
+    _ALONE[_from : _to + 1] = True
+_WIDE_STOPS = [int.from_bytes(c.encode()) for c in "。！？｡"]
 
-    A sentence ends with a word that ends in ``.``, ``!`` or ``?`` before white
-    space, or before a line feed; long ones are cut further.
-    """
-    codes = np.frombuffer(data.lower(), np.uint8)
+
+def _words(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Where words start and end, and which are characters of a script without spaces (None: no word is)."""
     in_word = ~_SPACE[codes]
     edges = np.flatnonzero(np.diff(in_word, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+    long = np.flatnonzero(codes >= 0xE0)
+    alone = long[_ALONE[codes[long].astype(np.int64) << 8 | codes[long + 1]]]
+    if not len(alone):
+        return edges[::2], edges[1::2], None
+    begins = np.zeros(len(codes) + 1, bool)
+    begins[edges[::2]] = True
+    begins[alone] = True
+    begins[alone + np.where(codes[alone] < 0xF0, 3, 4)] = True
+    begins[:-1] &= in_word
+    begins[-1] = False
+    starts = np.flatnonzero(begins)
+    ends = np.flatnonzero(in_word & (begins[1:] | ~np.append(in_word[1:], False))) + 1
+    return starts, ends, np.isin(starts, alone)
+
+
+def cut_text(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a UTF-8 text start (with the text's length last) and end, the words at which sentences start
+    (with the number of words last), and the length of the text up to each of these, in characters without spaces.
+
+    A sentence ends with a word that ends in ``.``, ``!`` or ``?`` before
+    another, with a full-width stop, or before a line feed; long ones are cut
+    further.
+    """
+    codes = np.frombuffer(data.lower(), np.uint8)
+    starts, ends, alone = _words(codes)
     if not len(starts):
-        return np.array([len(data)]), np.array([0])
+        return np.array([len(data)]), np.array([], np.int64), np.array([0]), np.array([0])
     follows = np.append(starts[1:], len(data))
     feeds = np.concatenate([[0], np.cumsum(codes == 10)])
     stop = (_STOP[codes[ends - 1]] & (ends < len(data))) | (feeds[follows] > feeds[ends])
-    stop[-1] = True
-    last = np.flatnonzero(stop)
-    lengths = np.diff(last, prepend=-1)
     # The sum of a word's bytes decides; a prefix sum gives it.
     sums = np.concatenate([[0], np.cumsum(codes, dtype=np.int64)])
     cut = (sums[ends] - sums[starts]) % CUT == 0
-    bounds = np.flatnonzero(stop | (cut & np.repeat(lengths > SENTENCE_WORDS, lengths))) + 1
-    return np.append(starts, len(data)), np.concatenate([[0], bounds])
+    units = np.arange(len(starts) + 1) * UNSPACED
+    if alone is not None:
+        units = np.concatenate([[0], np.cumsum(np.where(alone, 1, UNSPACED))])
+        # Of characters, two together decide, and as many fewer are cut after.
+        char = np.where(alone, sum(codes[np.minimum(starts + i, len(codes) - 1)].astype(np.int64) << 8 * (2 - i) for i in range(3)), 0)
+        cut = np.where(alone, (char * 31 + np.append(0, char[:-1])) % 1_000_003 % (CUT * UNSPACED) == 0, cut)
+        stop |= np.isin(char, _WIDE_STOPS)
+    stop[-1] = True
+    last = np.flatnonzero(stop)
+    long = np.diff(units[last + 1], prepend=0) > SENTENCE_WORDS * UNSPACED
+    bounds = np.flatnonzero(stop | (cut & np.repeat(long, np.diff(last, prepend=-1)))) + 1
+    bounds = np.concatenate([[0], bounds])
+    return np.append(starts, len(data)), ends, bounds, units[bounds]
 
 
-def run_stops(bounds: np.ndarray) -> np.ndarray:
+def run_stops(units: np.ndarray) -> np.ndarray:
     """The sentence at which the run that starts at each sentence stops; one value for each start that has a whole run."""
-    starts = np.arange(len(bounds) - 1)
-    stops = np.maximum(starts + SPAN, np.searchsorted(bounds, bounds[:-1] + MIN_WORDS))
-    return stops[stops < len(bounds)]
+    starts = np.arange(len(units) - 1)
+    stops = np.maximum(starts + SPAN, np.searchsorted(units, units[:-1] + MIN_WORDS * UNSPACED))
+    return stops[stops < len(units)]
 
 
 def _parts(data: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The sentences, with what separates them, so that joined they give the text; and ``bounds``."""
-    starts, bounds = cut_text(data)
+    """The sentences, with what separates them, so that joined they give the text; and the lengths up to each."""
+    starts, _, bounds, units = cut_text(data)
     edges = [0, *starts[bounds[1:]].tolist()]
-    return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], bounds
+    return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], units
 
 
 def sentences(text: str) -> list[str]:
@@ -83,18 +129,20 @@ def span_hashes(text: str) -> bytes:
     from xxhash import xxh3_128_digest
 
     data = text.encode("utf-8", "surrogatepass").lower()
-    _, bounds = cut_text(data)
+    starts, ends, bounds, units = cut_text(data)
     words = data.split()
+    if len(words) < len(ends):
+        words = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=False)]
     plain = b" ".join(words)
     at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])[bounds]
-    stops = run_stops(bounds)
+    stops = run_stops(units)
     return b"".join(xxh3_128_digest(plain[a : b - 1]) for a, b in zip(at[: len(stops)].tolist(), at[stops].tolist(), strict=True))
 
 
 def without_spans(text: str, starts: list[int]) -> tuple[str, int]:
     """The text without the runs that start at these sentences, and how many sentences are gone."""
-    parts, bounds = _parts(text.encode("utf-8", "surrogatepass"))
-    stops = run_stops(bounds)
+    parts, units = _parts(text.encode("utf-8", "surrogatepass"))
+    stops = run_stops(units)
     gone = {i for start in starts for i in range(start, stops[start])}
     kept = b"".join(part for i, part in enumerate(parts) if i not in gone)
     return kept.decode("utf-8", "surrogatepass"), len(gone)
@@ -120,7 +168,7 @@ def _cleaned(texts: pa.Array, starts: pa.Array) -> pa.Array:
 
 
 def _n_sentences(texts: pa.Array) -> pa.Array:
-    return pa.array([len(cut_text(t.as_buffer().to_pybytes())[1]) - 1 for t in texts], pa.int64())
+    return pa.array([len(cut_text(t.as_buffer().to_pybytes())[2]) - 1 for t in texts], pa.int64())
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
