@@ -7,11 +7,24 @@ whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regline.llm import bpe, chat, compression, exact_dedup, mixing, quality_classifier, sentence_spans, simhash, warc, wordpiece
+from regline.llm import (
+    bpe,
+    chat,
+    collocations,
+    compression,
+    exact_dedup,
+    mixing,
+    quality_classifier,
+    sentence_spans,
+    simhash,
+    warc,
+    wordpiece,
+)
 
 from regline.llm.common import written
 from regline.session import fresh_dir, ship_package
@@ -141,6 +154,10 @@ def op10_exact_dedup(spark, sf):
     )
 
 
+def op11_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents").select("lang", "text"))
+
+
 def _escaped_length(column: str) -> str:
     """SQL: code points of ``column`` when escaped: one more for each backslash and each control string."""
     extra = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *chat.CONTROL)]
@@ -187,6 +204,40 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
               FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
     """,
+    "op11_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
+                                             '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ),
+        worded AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS ws FROM pieces
+        ),
+        starts AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM worded),
+        grams AS (SELECT lang, unnest([list_aggregate(ws[i:i + k - 1], 'string_agg', ' ') for k in generate_series(1, 5)
+                                       if i + k - 1 <= len(ws)]) AS phrase FROM starts),
+        counts AS (
+            SELECT lang, phrase, string_split(phrase, ' ') AS ws, len(string_split(phrase, ' ')) AS words, count(*) AS f
+            FROM grams GROUP BY lang, phrase HAVING count(*) >= 100
+        ),
+        totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM worded GROUP BY lang),
+        cuts AS (SELECT lang, phrase, ws, f AS a, unnest(generate_series(1, words - 1)) AS k FROM counts WHERE words > 1),
+        scored AS (
+            SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c JOIN totals t ON t.lang = c.lang
+            JOIN counts x ON x.lang = c.lang AND x.phrase = list_aggregate(c.ws[1:k], 'string_agg', ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = list_aggregate(c.ws[k + 1:], 'string_agg', ' ')
+        ),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        free AS (
+            SELECT * FROM lowest s WHERE NOT EXISTS (
+                SELECT 1 FROM counts c WHERE c.lang = s.lang AND c.words > len(string_split(s.phrase, ' '))
+                    AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * c.f >= 100 * s.a)
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM free QUALIFY rank <= 2000
+    """,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
