@@ -18,6 +18,7 @@ from regline.llm import (
     collocations,
     compression,
     exact_dedup,
+    lexical,
     mixing,
     quality_classifier,
     sentence_spans,
@@ -158,6 +159,11 @@ def op11_collocations(spark, sf):
     return collocations.collocations(_table(spark, sf, "documents").select("lang", "text"))
 
 
+def op12_lexical_search(spark, sf):
+    items = _table(spark, sf, "benchmark").select("item_id", "text")
+    return lexical.Index(_table(spark, sf, "documents").select("doc_id", "text"), items).search(items)
+
+
 def _escaped_length(column: str) -> str:
     """SQL: code points of ``column`` when escaped: one more for each backslash and each control string."""
     extra = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *chat.CONTROL)]
@@ -238,6 +244,35 @@ ORACLE_SQL: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM free QUALIFY rank <= 2000
     """,
+    "op12_lexical_search": f"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'),
+                                                     '[^{lexical.BETWEEN}]+')) AS term
+            FROM documents
+        ),
+        lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'),
+                                                               '[^{lexical.BETWEEN}]+')) AS term
+            FROM benchmark
+        ),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM terms SEMI JOIN asked USING (term) GROUP BY doc_id, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM counts, totals GROUP BY term, docs
+        ),
+        impacts AS (
+            SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))) AS impact
+            FROM counts JOIN lengths USING (doc_id), totals
+        ),
+        scores AS (
+            SELECT item_id, doc_id, sum(w * impact)::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, doc_id HAVING sum(w * impact) > 0
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scores QUALIFY rank <= 50
+    """,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
