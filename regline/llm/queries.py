@@ -23,6 +23,7 @@ from regline.llm import (
     quality_classifier,
     sentence_spans,
     simhash,
+    suffix_dedup,
     warc,
     wordpiece,
 )
@@ -164,6 +165,17 @@ def op12_lexical_search(spark, sf):
     return lexical.Index(_table(spark, sf, "documents").select("doc_id", "text"), items).search(items)
 
 
+def op13_suffix_dedup(spark, sf):
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _escaped_length(column: str) -> str:
     """SQL: code points of ``column`` when escaped: one more for each backslash and each control string."""
     extra = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *chat.CONTROL)]
