@@ -10,6 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from plain import sentence_repeats, words
 from pyspark.sql import functions as F
+from test_token_counts_whole import greedy as marked_greedy
+from test_token_counts_whole import pieces  # noqa: F401
 
 from regline.llm import compression, sentence_spans, wordpiece
 
@@ -32,26 +34,14 @@ def test_automaton_equals_greedy_search(first, rest, word):
     assert wordpiece.Automaton(first, rest).count(word) == greedy(word, first, rest)
 
 
-def test_token_counts_of_a_table(spark):
-    first, rest = map(set, wordpiece.pieces_of_model(MODEL))
+def test_token_counts_of_a_table(spark, pieces):
     texts = ["", None, " \n", "unbelievable tokens, 日本語 café\x1cx", "z" * 30_000, "word " * 20_000, "🙂" * 5]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, n_tokens int")
     counted = docs.select("doc_id", wordpiece.TokenCounter(spark, MODEL).count(F.col("text")).alias("c")).collect()
-    want = [(len(words(t)), sum(greedy(w, first, rest) for w in words(t))) for t in texts]
+    want = [(len(words(t)), sum(marked_greedy(w, pieces, lambda c: len(c.encode())) for w in words(t))) for t in texts]
     assert [tuple(r.c) for r in sorted(counted)] == want
 
 
-def test_token_counts_query(spark):
-    from regline.llm.queries import op7_token_counts
-
-    sf = "/root/testdata/sf0.001"
-    first, rest = map(set, wordpiece.pieces_of_model(MODEL))
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    known = {w: greedy(w, first, rest) for w in {w for t in texts.values() for w in words(t)}}
-    got = op7_token_counts(spark, sf).collect()
-    assert {r.doc_id: (r.n_words, r.n_tokens) for r in got} == {i: (len(words(t)), sum(map(known.get, words(t)))) for i, t in texts.items()}
-
-
 def plain_rules(text):
     found = words(text)
     windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
