@@ -12,11 +12,14 @@ character is a word, of which UNSPACED count as one for all lengths.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regline.llm.bitmap import Bitmap
 from regline.llm.common import free_name, text_or_empty, with_python, written
 from regline.plans.ingest import sql_conf
 
@@ -30,7 +33,6 @@ CUT = 5
 MIN_WORDS = 10
 #: Characters of a script without spaces that count as one word.
 UNSPACED = 4
-HASH_BYTES = 16
 #: Texts hashed at a time; a text has as many hashes as sentences.
 BATCH_ROWS = "2000"
 
@@ -124,8 +126,9 @@ def sentences(text: str) -> list[str]:
     return [part.decode("utf-8", "surrogatepass") for part in _parts(text.encode("utf-8", "surrogatepass"))[0]]
 
 
-def span_hashes(text: str) -> bytes:
-    """XXH3-128 of the words of the run that starts at each sentence, one after the other; white space and ASCII case don't count."""
+def span_hashes(text: str) -> tuple[bytes, int]:
+    """XXH3-128 of the words of the run that starts at each sentence, one after the other, and the number of sentences;
+    white space and ASCII case don't count."""
     from xxhash import xxh3_128_digest
 
     data = text.encode("utf-8", "surrogatepass").lower()
@@ -136,7 +139,8 @@ def span_hashes(text: str) -> bytes:
     plain = b" ".join(words)
     at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])[bounds]
     stops = run_stops(units)
-    return b"".join(xxh3_128_digest(plain[a : b - 1]) for a, b in zip(at[: len(stops)].tolist(), at[stops].tolist(), strict=True))
+    hashes = (xxh3_128_digest(plain[a : b - 1]) for a, b in zip(at[: len(stops)].tolist(), at[stops].tolist(), strict=True))
+    return b"".join(hashes), len(bounds) - 1
 
 
 def without_spans(text: str, starts: list[int]) -> tuple[str, int]:
@@ -148,14 +152,100 @@ def without_spans(text: str, starts: list[int]) -> tuple[str, int]:
     return kept.decode("utf-8", "surrogatepass"), len(gone)
 
 
-def _hashes(texts: pa.Array) -> pa.Array:
-    """Built from buffers: a Python object for each hash would take several times the memory."""
-    each = [span_hashes(t.as_py()) for t in texts]
-    data = b"".join(each)
-    ends = np.arange(0, len(data) + 1, HASH_BYTES, dtype=np.int32)
-    values = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
-    runs = np.concatenate([[0], np.cumsum([len(h) // HASH_BYTES for h in each], dtype=np.int64)])
-    return pa.ListArray.from_arrays(pa.array(runs, pa.int32()), values)
+RUNS = "id bigint, text_hash bigint, n_sentences bigint, runs binary"
+SPANS = "hi bigint, lo bigint, id bigint, text_hash bigint, start int"
+MARKED = "id bigint, text_hash bigint, start int, hi bigint, lo bigint, part int"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's number of sentences and the hashes of its runs, one after the other."""
+    for batch in batches:
+        rows = [span_hashes(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array([n for _, n in rows], pa.int64()),
+                pa.array([hashes for hashes, _ in rows], pa.binary()),
+            ],
+            ["id", "text_hash", "n_sentences", "runs"],
+        )
+
+
+def _halves(runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the second 8 bytes of all hashes, and how many there are to each text."""
+    each = [np.frombuffer(r.as_buffer(), np.uint64) for r in runs]
+    both = np.concatenate(each) if each else np.array([], np.uint64)
+    return both.reshape(-1, 2), np.fromiter((len(e) // 2 for e in each), np.int64, len(each))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        halves, _ = _halves(batch.column(0))
+        lo, n = np.unique(halves[:, 1], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(lo.view(np.int64)), pa.array(n.astype(np.int32))], ["lo", "n"])
+
+
+class _Repeated:
+    """The runs that may be repeated, a row each."""
+
+    def __init__(self, known: Bitmap):
+        self.known = known
+
+    def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves, n = _halves(batch.column(2))
+            there = np.flatnonzero(self.known.has(halves[:, 1]))
+            owner = np.repeat(np.arange(len(n)), n)[there]
+            start = there - (np.cumsum(n) - n)[owner]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(halves[there, i].copy().view(np.int64)) for i in (0, 1)),
+                    batch.column(0).take(pa.array(owner)),
+                    batch.column(1).take(pa.array(owner)),
+                    pa.array(start.astype(np.int32)),
+                ],
+                ["hi", "lo", "id", "text_hash", "start"],
+            )
+
+
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted spans, those at another place than the first of their run. Rows that are repeated are one place.
+
+    Whether a task's first span is one depends on the task before. It comes
+    with its run and the task's number; so does the last run, without a place.
+    """
+    from pyspark import TaskContext
+
+    part, last, moved = TaskContext.get().partitionId(), None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if last is None:
+            yield _marked(batch.slice(0, 1), part)
+            last = batch.slice(0, 1)
+        # The row before goes first; ``moved`` says whether it is at another place than its run's first.
+        rows = [np.append(before.to_numpy(), now.to_numpy()) for before, now in zip(last.columns, batch.columns, strict=True)]
+        same = np.ones(len(rows[0]), bool)
+        same[1:] = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
+        moves = np.zeros(len(same), bool)
+        moves[1:] = same[1:] & np.logical_or.reduce([c[1:] != c[:-1] for c in rows[2:]])
+        moves[0] = moved
+        number = np.arange(len(same))
+        again = np.maximum.accumulate(np.where(moves, number, -1)) >= np.maximum.accumulate(np.where(same, 0, number))
+        yield _marked(batch.take(pa.array(np.flatnonzero(again[1:]))), None)
+        last, moved = batch.slice(batch.num_rows - 1), bool(again[-1])
+    if last is not None:
+        nowhere = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32())]
+        columns = [*nowhere, last.column(0), last.column(1), pa.array([part], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "start", "hi", "lo", "part"])
+
+
+def _marked(rows: pa.RecordBatch, part: int | None) -> pa.RecordBatch:
+    n = rows.num_rows
+    of = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())] if part is None else [rows.column(0), rows.column(1)]
+    columns = [rows.column(2), rows.column(3), rows.column(4), *of, pa.array([part] * n, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "start", "hi", "lo", "part"])
 
 
 def _cleaned(texts: pa.Array, starts: pa.Array) -> pa.Array:
@@ -167,30 +257,38 @@ def _cleaned(texts: pa.Array, starts: pa.Array) -> pa.Array:
     )
 
 
-def _n_sentences(texts: pa.Array) -> pa.Array:
-    return pa.array([len(cut_text(t.as_buffer().to_pybytes())[2]) - 1 for t in texts], pa.int64())
+LAST = (1 << 63) - 1  # stands for a null id, which comes last
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text_hash, starts``: per document the sentences at which a repeated run other than its first starts.
+    """``id, text_hash, n_sentences, starts``: per document its number of sentences and those at which a repeated run
+    other than its first starts (null: none).
 
-    Rows equal in id and text are one document. Ids are taken as longs.
+    Rows equal in id and text are one document. Ids are taken as longs; a null
+    id is the largest long.
     """
+    spark = docs.sparkSession
     with_python(docs)
     text = text_or_empty(F.col(text_col))
-    hashes = F.arrow_udf(_hashes, "array<binary>")
-    runs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("text_hash"), hashes(text).alias("runs"))
-    with sql_conf(docs.sparkSession, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
-        spans = written(runs.select("id", "text_hash", F.posexplode("runs").alias("start", "run")), "spans")
-    last = (1 << 63) - 1  # stands for a null id, which comes last
-    place = F.struct(F.coalesce("id", F.lit(last)).alias("id"), "text_hash", "start")
-    # Most runs are unique, and a count is all it takes to drop them. Partial sums fold a run that very many
-    # documents share; the tables are written, so that AQE may split its rows in the joins.
-    repeated = written(spans.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run"), "repeated-runs")
-    shared = written(spans.join(repeated, "run", "left_semi"), "shared-spans")
-    first = written(shared.groupBy("run").agg(F.min(place).alias("first")), "first-spans")
-    again = shared.join(first, "run").where(place != F.col("first"))
-    return again.groupBy("id", "text_hash").agg(F.collect_set("start").alias("starts"))
+    texts = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
+    )
+    with sql_conf(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        runs = written(texts.mapInArrow(_runs, RUNS), "runs")
+        # Most runs are unique. Half a hash is enough to drop them; which of the others are equal is decided by all of it.
+        counted = runs.select("runs").mapInArrow(_counted, "lo bigint, n int").groupBy("lo").agg(F.sum("n").alias("n"))
+        repeated = written(counted.where("n > 1").select("lo"), "repeated-runs")
+        spans = runs.select("id", "text_hash", "runs").mapInArrow(_Repeated(Bitmap(repeated, F.col("lo"))).rows, SPANS)
+        # Dealt out by all columns, so that a run that very many documents share spreads over tasks.
+        order = ["hi", "lo", "id", "text_hash", "start"]
+        dealt = spans.repartitionByRange(*order).sortWithinPartitions(*order)
+        marked = written(dealt.mapInArrow(_again, MARKED), "repeats")
+    ends = marked.where("part IS NOT NULL AND start IS NULL").groupBy("hi", "lo").agg(F.min("part").alias("first_part"))
+    begins = marked.where("part IS NOT NULL AND start IS NOT NULL").join(ends, ["hi", "lo"]).where("first_part < part")
+    again = marked.where("part IS NULL").unionByName(begins.drop("first_part"))
+    starts = again.groupBy("id", "text_hash").agg(F.collect_set("start").alias("starts"))
+    one_each = runs.select("id", "text_hash", "n_sentences").distinct()
+    return one_each.join(starts, ["id", "text_hash"], "left")
 
 
 def remove_repeats(
@@ -205,16 +303,17 @@ def remove_repeats(
     are put before the new one.
     """
     spans = repeated_spans(docs, id_col, text_col).select(
-        F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"), "starts"
+        F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"), "n_sentences", "starts"
     )
     columns = [F.col(c).alias(f"d_{i}") for i, c in enumerate(docs.columns)]
     at = {c: f"d_{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*columns).withColumn("d_text", text_or_empty(F.col(at[text_col])))
     rows = rows.withColumn("d_hash", F.xxhash64("d_text"))
-    met = rows.join(spans, F.col(at[id_col]).eqNullSafe(F.col("s_id")) & (F.col("d_hash") == F.col("s_hash")), "left")
+    ident = F.coalesce(F.col(at[id_col]).cast("bigint"), F.lit(LAST))
+    met = rows.join(spans, (ident == F.col("s_id")) & (F.col("d_hash") == F.col("s_hash")), "left")
     cleaned = met.withColumn("cleaned", F.arrow_udf(_cleaned, "text string, n_removed bigint")(F.col("d_text"), F.col("starts")))
     text = F.coalesce("cleaned.text", "d_text")
     kept = [text.alias(c) if c == text_col else F.col(at[c]).alias(c) for c in docs.columns]
     if total:
-        kept.append(F.arrow_udf(_n_sentences, "bigint")(F.col("d_text")).alias(free_name(docs, total)))
+        kept.append(F.col("n_sentences").alias(free_name(docs, total)))
     return cleaned.select(*kept, F.col("cleaned.n_removed").alias(free_name(docs, name)))
