@@ -24,11 +24,6 @@ def duplicate_report(records: DataFrame, key: str = "cnpj") -> DataFrame:
     )
 
 
-# With more duplicated keys than this, one aggregate over all records replaces
-# the two joins with the key list.
-MAX_BROADCAST_KEYS = 2_000_000
-
-
 def _winners(records: DataFrame, layout: Layout, order: tuple[str, ...]) -> DataFrame:
     rest = [c for c in layout.names if c != layout.key]
     winner = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("w")
@@ -39,7 +34,6 @@ def dedupe(
     records: DataFrame,
     layout: Layout = EMPRESAS,
     order: tuple[str, ...] = ("file_path", "line"),
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """V5: keep one record per key, always the same one.
 
@@ -61,13 +55,8 @@ def dedupe(
     dup_keys = staged(
         records.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key), "duplicated-keys"
     )
-    n_dup = dup_keys.count()
-    if n_dup == 0:  # the usual case for a clean release: nothing to join
+    if dup_keys.isEmpty():  # the usual case for a clean release: nothing to join
         return records.select(*layout.names)
-    if n_dup > max_broadcast_keys:
-        # One min(struct) aggregate over everything (a single shuffle) beats
-        # two shuffle joins with a long key list.
-        return _winners(records, layout, order).select(*layout.names)
     keys = dup_keys.withColumnRenamed(key, "_dup_key")
     # Null-safe, so a NULL key is one group here too, as in the aggregate path.
     same = F.col(key).eqNullSafe(F.col("_dup_key"))

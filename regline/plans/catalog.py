@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS
 from regline.operators import analytics, quality, records, releases, stats
+from regline.operators.keys import KeyIndex
 from regline.plans.fixtures import registry_release
 from regline.plans.ingest import IngestResult, ingest
 from regline.plans.sizing import buckets_for
@@ -258,6 +259,27 @@ def q_ingest_twice(spark, sf):
     return again.table(spark).withColumn("one", F.lit(1)).join(counted, "one").drop("one")
 
 
+def q_key_index(spark, sf):
+    """The keys indexed after two loads into one table: a row for each, and the files that hold them."""
+    target = fresh_dir(spark, "ingest")
+    for names in (["Empresas0.csv", "Empresas1.csv"], None):
+        result = ingest(spark, _root(spark, sf), target, names=names)
+    index = KeyIndex(spark, f"{target}/keys", result.table_path)
+    index.catch_up()
+    return index.keys().groupBy("cnpj").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def q_stored_key_lookup(spark, sf):
+    """Of the release's keys, those that a load of its files 0 and 1 has stored."""
+    target = fresh_dir(spark, "ingest")
+    result = ingest(spark, _root(spark, sf), target, names=["Empresas0.csv", "Empresas1.csv"])
+    index = KeyIndex(spark, f"{target}/keys", result.table_path)
+    index.catch_up()
+    keys = staged(_accepted(spark, sf).select("cnpj").distinct(), "keys")
+    stored = index.found(keys).select("cnpj", F.lit(True).alias("stored"))
+    return keys.join(stored, "cnpj", "left").select("cnpj", F.coalesce("stored", F.lit(False)).alias("stored"))
+
+
 def q_per_file_report(spark, sf):
     root = _root(spark, sf)
     return stats.per_file_report(_classified(spark, sf), text.list_files(spark, root, "*.csv"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout, release_files
-from regline.operators.quality import against_stored
+from regline.operators.keys import KeyIndex
 from regline.operators.records import classify
 from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
 from regline.plans.sizing import scan_conf, shuffle_conf
@@ -238,8 +238,8 @@ def ingest(
     appends, and a folder of rejected lines per load below loads/.
 
     Plain files and archives of the release are both read. ``deduplicate``
-    keeps one record per key over this load and all loads before it. A load
-    that failed while publishing may simply be run again. ``complete`` counts
+    keeps one record per key over this load and all loads before it, whose keys
+    are looked up in the index in keys/ (``operators.keys``). A load that failed while publishing may simply be run again. ``complete`` counts
     parts of the release that are not there as failed files.
 
     ``ledger_path``: a Parquet table of files already taken (path, name,
@@ -288,7 +288,9 @@ def ingest(
             if deduplicate:
                 lines, repeated = unique_lines(lines, layout.key)
                 if fs.exists(table_path):
-                    lines = against_stored(lines, read_partitioned(spark, table_path, layout), layout.key)
+                    index = KeyIndex(spark, f"{target}/keys", table_path, layout)
+                    index.catch_up()
+                    lines = index.unseen(lines)
             lap("keys")
             written_obs = Observation("written")
             write_partitioned(

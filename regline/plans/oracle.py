@@ -276,6 +276,9 @@ FROM (SELECT DISTINCT file_name FROM g UNION SELECT 'Empresas4.csv' UNION SELECT
     # Files 0 and 1 come first; 2, 3 and the empty one are new the second time, and nothing is the third.
     q["ingest_twice"] = B + f"""
 SELECT {R_LIST}, CAST(3 AS BIGINT) AS second_files_read, CAST(0 AS BIGINT) AS again_written FROM recd"""
+    q["key_index"] = B + "\nSELECT cnpj, CAST(1 AS BIGINT) AS entries FROM recd"
+    q["stored_key_lookup"] = B + """
+SELECT cnpj, bool_or(k % 4 IN (0, 1)) AS stored FROM rec GROUP BY cnpj"""
     q["per_file_report"] = B + _file_bytes_cte() + _files_cte() + f""",
 per AS (
   SELECT file_name, CAST(count(*) AS BIGINT) AS lines,

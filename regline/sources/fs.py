@@ -12,8 +12,6 @@ def arrow_uri(uri: str) -> str:
     for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
         if uri.startswith(hadoop):
             return arrow + uri[len(hadoop):]
-    if uri.startswith("dbfs:/"):  # the workspace file system is mounted locally
-        return "/dbfs/" + uri[len("dbfs:/"):].lstrip("/")
     return uri
 
 

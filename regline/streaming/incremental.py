@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
-from regline.operators.quality import against_stored
+from regline.operators.keys import KeyIndex
 from regline.operators.records import classify
 from regline.plans.ingest import read_staged, records_of, staged_frame, unique_lines
+from regline.sources import fs
 from regline.sources.text import lines_from_raw
 
 
@@ -40,17 +41,6 @@ def stream_lines(
     return lines_from_raw(raw, encoding)
 
 
-def _stored_keys(spark: SparkSession, target: str, layout: Layout, batch_id: int) -> DataFrame | None:
-    """Keys written by earlier micro-batches (never this batch's own output,
-    so a replayed batch sees the same history as its first attempt)."""
-    from regline.sources import fs
-
-    if not any(uri.endswith(".parquet") for uri, *_ in fs.list_dir(f"{target}/table", recursive=True)):
-        return None
-    stored = spark.read.option("basePath", f"{target}/table").parquet(f"{target}/table")
-    return stored.where(F.col("batch_id").cast("bigint") < F.lit(batch_id)).select(layout.key)
-
-
 def _batch_writer(target: str, layout: Layout, deduplicate: bool, skip_stored_keys: bool, done: set[int]):
     """``done`` gets the ids of the micro-batches written (the function runs on the driver)."""
 
@@ -63,13 +53,18 @@ def _batch_writer(target: str, layout: Layout, deduplicate: bool, skip_stored_ke
         if deduplicate:
             lines, _ = unique_lines(lines, layout.key)
         if skip_stored_keys:
-            stored = _stored_keys(spark, target, layout, batch_id)
-            if stored is not None:
-                # V5 against the table: a key stored by an earlier batch is not appended again.
-                lines = against_stored(lines, stored, layout.key)
+            # V5 against the table: a key stored by an earlier batch is not appended again. A batch that is
+            # replayed may find files of its own there; they are about to be replaced.
+            own = f"{target}/table/batch_id={batch_id}"
+            if any(name.endswith(".parquet") for _, name, *_ in fs.list_dir(own)):
+                spark.read.parquet(own)  # an error if it's not this job's output: don't replace it then
+            index = KeyIndex(spark, f"{target}/keys", f"{target}/table", layout)
+            index.catch_up(apart_from=f"/batch_id={batch_id}/")
+            lines = index.unseen(lines)
         records_of(lines, layout).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{target}/table/batch_id={batch_id}"
         )
+        fs.delete_dir(f"{path}/outcome=accepted")  # the table holds these now
         done.add(batch_id)
 
     return write
