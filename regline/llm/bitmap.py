@@ -7,6 +7,7 @@ only drops what can't matter, so a false member costs work, not results.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +44,11 @@ class Bitmap:
         """For each of some hashes (uint64), whether it may be a member."""
         at = values & np.uint64(self.size - 1)
         return (self._bits.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def column(self, value: Column) -> Column:
+        """Whether each of a column of hashes may be a member."""
+
+        def look_up(values: pa.Array) -> pa.Array:
+            return pa.array(self.has(values.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+        return F.arrow_udf(look_up, "boolean")(value)

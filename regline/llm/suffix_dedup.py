@@ -3,7 +3,8 @@
 Every byte in a string of LENGTH bytes that also starts in a document with a
 smaller id is removed; strings are judged on the input.
 
-1. Of texts that are equal as a whole only those with the smallest id go on.
+1. Of texts that are equal as a whole only those with the smallest id go on;
+   the others go whole.
 2. Anchors narrow the text down: of the GRAM-byte grams in a string of LENGTH
    bytes the one with the smallest hash is its anchor, so equal strings have
    equal anchors. Anchors met in one document only can't be in a repeat.
@@ -18,7 +19,8 @@ smaller id is removed; strings are judged on the input.
    and its smallest id is known.
 5. For anchors at the ends of a shard, which may go on in others, the shard's
    sorted strings are sent to be merged: each list's strings are found in the
-   whole by binary search, and smaller ids come back.
+   whole by binary search, and smaller ids come back to the occurrences that
+   had none in their own shard.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ GRAM = 24
 SPREAD = LENGTH - GRAM + 1
 #: Bytes of text in which anchors are sought at a time, and bytes of distinct stretches in a shard.
 CHUNK_BYTES = 1 << 18
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BATCH_ROWS = "2000"
 NO_ID = (1 << 63) - 1  # stands for a null id, which comes last
 
@@ -87,9 +89,14 @@ def anchors(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[at[starts]], starts, np.diff(np.append(starts, len(at)))
 
 
-def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, tuple]]:
-    """By chunks of texts: the rows and their bytes, the row of each run of strings, and ``anchors`` of the bytes."""
+def _located(batches: Iterator[pa.RecordBatch], copied: Bitmap) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, tuple]]:
+    """By chunks of texts: the rows and their bytes, where these end, and the runs of strings.
+
+    Rows that may be copies are left out unless they are ``sure`` to be the first.
+    """
     for batch in batches:
+        hashes = batch.column(2).to_numpy().view(np.uint64)
+        batch = batch.filter(pa.array(batch.column(3).to_numpy(zero_copy_only=False) | ~copied.has(hashes)))
         texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
         begin = size = 0
         for i, text in enumerate(texts):
@@ -120,16 +127,20 @@ def _inside(found: tuple, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return row[there], hashes[run][there], first[there], (stop - first)[there]
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each anchor of a chunk once, and whether it is in more than one of its texts."""
-    for _, _, _, (row, hashes, _, _) in _located(batches):
-        order = np.lexsort((row, hashes))
-        hashes, row = hashes[order], row[order]
-        first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
-        many = np.maximum.reduceat(row, first) != row[first] if len(first) else np.array([], bool)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes[first].view(np.int64)), pa.array(many.astype(np.int32) + 1)], ["anchor", "n"]
-        )
+class _Anchors:
+    def __init__(self, copied: Bitmap):
+        self.copied = copied
+
+    def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each anchor of a chunk once, and whether it is in more than one of its texts."""
+        for _, _, _, (row, hashes, _, _) in _located(batches, self.copied):
+            order = np.lexsort((row, hashes))
+            hashes, row = hashes[order], row[order]
+            first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+            many = np.maximum.reduceat(row, first) != row[first] if len(first) else np.array([], bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[first].view(np.int64)), pa.array(many.astype(np.int32) + 1)], ["anchor", "n"]
+            )
 
 
 def _binary(lengths: np.ndarray, data: np.ndarray) -> pa.Array:
@@ -146,11 +157,11 @@ STRETCH = "anchor bigint, id bigint, hash bigint, start int, stretch binary"
 
 
 class _Stretches:
-    def __init__(self, shared: Bitmap):
-        self.shared = shared
+    def __init__(self, copied: Bitmap, shared: Bitmap):
+        self.copied, self.shared = copied, shared
 
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, codes, ends, (row, hashes, first, n) in _located(batches):
+        for rows, codes, ends, (row, hashes, first, n) in _located(batches, self.copied):
             there = self.shared.has(hashes)
             row, hashes, first, n = row[there], hashes[there], first[there], n[there]
             lengths = n + LENGTH - 1
@@ -280,7 +291,7 @@ def smallest_ids(stretches: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, n
 FOUND = (
     "what string, id bigint, hash bigint, start int, n int, "  # repeat: strings to remove
     "shard string, part int, strings binary, places binary, ids binary, "  # strings of spread anchors, to be merged
-    "stretch int"  # open: an occurrence, with the place of its first string in its shard's merged ones
+    "stretch int"  # open: strings that may yet be repeats, with the place of the first in its shard's merged ones
 )
 _FOUND_TYPES = {
     "what": pa.string(), "id": pa.int64(), "hash": pa.int64(), "start": pa.int32(), "n": pa.int32(), "shard": pa.string(),
@@ -294,17 +305,17 @@ def _found(rows: int, /, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(_FOUND_TYPES))
 
 
-def _repeats(ids: np.ndarray, starts: np.ndarray, n: np.ndarray, at: np.ndarray, least: np.ndarray):
-    """Runs of strings to be removed: the occurrence of each, its start and number. ``ids``, ``starts``, ``n``: of
-    occurrences; ``at``: where the smallest ids of an occurrence's strings begin in ``least``."""
-    # Within a stretch the smallest ids hardly change, so whole stretches are settled by their ends.
+def _runs(ids: np.ndarray, starts: np.ndarray, n: np.ndarray, at: np.ndarray, least: np.ndarray, gone: bool = True):
+    """Runs of strings to be removed (or, not ``gone``, of the others): the occurrence of each, its start and number.
+
+    ``ids``, ``starts``, ``n``: of occurrences; ``at``: where the smallest ids of an occurrence's strings begin in ``least``.
+    """
     owner = np.repeat(np.arange(len(ids)), n)
-    gone = least[_spans(at, n)] < ids[owner]
-    edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
-    first = np.append(True, owner[1:] != owner[:-1]) if len(owner) else np.array([], bool)
-    begins = np.flatnonzero(gone & (first | (edge[:-1] == 1)))
-    last = np.append(first[1:], True) if len(owner) else first
-    stops = np.flatnonzero(gone & (last | (edge[1:] == -1)))
+    wanted = (least[_spans(at, n)] < ids[owner]) == gone
+    first = np.diff(owner, prepend=-1) != 0
+    last = np.append(first[1:], True)[: len(first)]
+    begins = np.flatnonzero(wanted & (first | ~np.append(False, wanted[:-1])[: len(wanted)]))
+    stops = np.flatnonzero(wanted & (last | ~np.append(wanted[1:], False)[: len(wanted)]))
     place = np.cumsum(n) - n
     return owner[begins], starts[owner[begins]] + begins - place[owner[begins]], stops - begins + 1
 
@@ -348,20 +359,19 @@ class _Shards:
         n = np.fromiter(map(len, stretches), np.int64, len(stretches)) - LENGTH + 1
         least, places, kind = smallest_ids(stretches, first_ids)
         at = np.cumsum(n) - n
-        # The first and the last anchor may go on in other shards.
-        spread = (anchors == anchors[0]) | (anchors == anchors[-1])
-        closed = np.flatnonzero(~spread[number])
-        of = number[closed]
-        owner, start, size = _repeats(ids[closed], starts[closed], n[of], at[of], least)
-        owner = closed[owner]
+        owner, start, size = _runs(ids, starts, n[number], at[number], least)
         yield _found(len(owner), what=["repeat"] * len(owner), id=ids[owner], hash=hashes[owner], start=start, n=size)
+        # The first and the last anchor may go on in other shards, with smaller ids.
+        spread = (anchors == anchors[0]) | (anchors == anchors[-1])
         yield from self._merged(shard, b"".join(stretches), np.repeat(spread, n), least, places, kind)
         still = np.flatnonzero(spread[number])
         of = number[still]
-        begin = (np.cumsum(np.where(spread, n, 0)) - np.where(spread, n, 0))[of]
+        owner, start, size = _runs(ids[still], starts[still], n[of], at[of], least, gone=False)
+        begin = (np.cumsum(np.where(spread, n, 0)) - np.where(spread, n, 0))[of[owner]] + start - starts[still[owner]]
+        owner = still[owner]
         yield _found(
-            len(still), what=["open"] * len(still), id=ids[still], hash=hashes[still], start=starts[still], n=n[of],
-            shard=[shard] * len(still), stretch=begin,
+            len(owner), what=["open"] * len(owner), id=ids[owner], hash=hashes[owner], start=start, n=size,
+            shard=[shard] * len(owner), stretch=begin,
         )
 
     def _merged(self, shard: str, data: bytes, spread: np.ndarray, least, places, kind) -> Iterator[pa.RecordBatch]:
@@ -429,7 +439,7 @@ def _settle(occurrences: pa.Table, merged: pa.Table) -> pa.Table:
     for spots, ids in zip(places, merged["ids"], strict=True):
         least[spots] = np.frombuffer(ids.as_buffer(), np.int64)
     ids, hashes, starts, n, at = (occurrences[c].to_numpy() for c in ("id", "hash", "start", "n", "stretch"))
-    owner, start, size = _repeats(ids, starts, n.astype(np.int64), at.astype(np.int64), least)
+    owner, start, size = _runs(ids, starts, n.astype(np.int64), at.astype(np.int64), least)
     columns = [pa.array(ids[owner]), pa.array(hashes[owner]), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))]
     return pa.table(columns, ["id", "hash", "start", "n"])
 
@@ -452,15 +462,15 @@ def _cut(texts: pa.Array, starts: pa.Array, ns: pa.Array) -> pa.Array:
     return pa.array(rows, pa.struct([("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]))
 
 
-def repeats(texts: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeats(texts: DataFrame, copied: Bitmap, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``id, hash, start, n``: ``n`` strings from byte ``start`` on, in the row with that id and hash, also start in a
-    row with a smaller id. ``texts``: id, text, hash."""
+    row with a smaller id. ``texts``: id, text, hash, and whether a row counts even if its hash is ``copied``."""
     spark = texts.sparkSession
     with_python(texts)
     with sql_conf(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
-        met = texts.mapInArrow(_met, "anchor bigint, n int").groupBy("anchor").agg(F.sum("n").alias("n"))
+        met = texts.mapInArrow(_Anchors(copied).rows, "anchor bigint, n int").groupBy("anchor").agg(F.sum("n").alias("n"))
         shared = written(met.where("n > 1").select("anchor"), "anchors")
-        stretches = texts.mapInArrow(_Stretches(Bitmap(shared, F.col("anchor"))).rows, STRETCH)
+        stretches = texts.mapInArrow(_Stretches(copied, Bitmap(shared, F.col("anchor"))).rows, STRETCH)
         # The last two keys spread the occurrences of an anchor that very many documents hold.
         dealt = stretches.repartitionByRange("anchor", "stretch", "id").sortWithinPartitions("anchor", "stretch")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -477,7 +487,7 @@ def repeats(texts: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
-    """``docs`` with three or four more columns: ``kept`` (the bytes left, as binary: a cut may split a character),
+    """``docs`` with three more columns: ``kept`` (the bytes left, as binary: a cut may split a character),
     ``n_removed`` and ``n_spans`` (runs removed).
 
     Ids are taken as longs; a null id is larger than any other, and null ids
@@ -492,28 +502,41 @@ def remove_repeats(
         F.coalesce(F.col(names[id_col]).cast("bigint"), F.lit(NO_ID)).alias("id"),
         text.alias("text"),
         F.xxhash64(text).alias("hash"),
-        F.unhex(F.sha2(text, 256)).alias("digest"),
-    )
-    copies = rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = written(copies.select(F.col("digest").alias("c_digest"), "first"), "copies")
-    known = rows.join(copies, F.col("digest") == F.col("c_digest"), "left").withColumn(
-        "copy", F.coalesce(F.col("first") < F.col("id"), F.lit(False))
     )
-    found = repeats(known.where("NOT copy").select("id", "text", "hash"), shard_bytes)
-    spans = found.groupBy(F.col("id").alias("s_id"), F.col("hash").alias("s_hash")).agg(
-        F.collect_list(F.struct("start", "n")).alias("spans")
-    )
-    met = known.join(spans, (F.col("id") == F.col("s_id")) & (F.col("hash") == F.col("s_hash")), "left")
+    with_python(docs)
+    digest = F.unhex(F.sha2("text", 256))
+    copies = rows.select("id", "hash", digest.alias("digest")).groupBy("hash", "digest")
+    copies = copies.agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    copies = written(copies.select("hash", F.col("digest").alias("c_digest"), "first"), "copies")
+    # The bitmaps keep texts out of joins that can't concern them.
+    copied = Bitmap(copies, F.col("hash"))
+    met = rows.where(copied.column(F.col("hash"))).select("id", "text", "hash", digest.alias("digest"))
+    met = met.join(copies.drop("hash"), F.col("digest") == F.col("c_digest"), "left")
+    firsts = met.where("first IS NULL OR first = id").select("id", "text", "hash", F.lit(True).alias("sure"))
+    texts = rows.select("id", "text", "hash", F.lit(False).alias("sure")).unionByName(firsts)
+    found = repeats(texts, copied, shard_bytes)
+    later = met.where("first < id").select("id", "hash").distinct().withColumn("spans", F.lit(None).cast("array<struct<start:int,n:int>>"))
+    spans = found.groupBy("id", "hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    spans = written(spans.unionByName(later), "spans")
+    touched = Bitmap(spans, F.xxhash64("id", "hash")).column(F.xxhash64("id", "hash"))
+    some = rows.withColumn("touched", touched)
+    spans = spans.select(F.col("id").alias("s_id"), F.col("hash").alias("s_hash"), "spans")
+    met = some.where("touched").join(spans, (F.col("id") == F.col("s_id")) & (F.col("hash") == F.col("s_hash")), "left")
     cut = F.arrow_udf(_cut, "kept binary, n_removed bigint, n_spans bigint")
     met = met.withColumn("cut", cut(F.col("text"), F.col("spans.start"), F.col("spans.n")))
-    size = F.octet_length("text").cast("bigint")
-    whole = F.col("copy") & (size >= LENGTH)
-    empty, all_bytes = F.lit(bytearray()), F.col("text").cast("binary")
-    new = {
-        "kept": F.when(whole, empty).otherwise(F.coalesce("cut.kept", all_bytes)),
-        "n_removed": F.when(whole, size).otherwise(F.coalesce("cut.n_removed", F.lit(0).cast("bigint"))),
-        "n_spans": F.when(whole, F.lit(1).cast("bigint")).otherwise(F.coalesce("cut.n_spans", F.lit(0).cast("bigint"))),
+    size, none = F.octet_length("text").cast("bigint"), F.lit(0).cast("bigint")
+    all_bytes = F.col("text").cast("binary")
+    # Without spans: a copy of a text with a smaller id.
+    whole = F.col("s_id").isNotNull() & F.col("spans").isNull() & (size >= LENGTH)
+    changed = {
+        "kept": F.when(whole, F.lit(bytearray())).otherwise(F.coalesce("cut.kept", all_bytes)),
+        "n_removed": F.when(whole, size).otherwise(F.coalesce("cut.n_removed", none)),
+        "n_spans": F.when(whole, F.lit(1).cast("bigint")).otherwise(F.coalesce("cut.n_spans", none)),
     }
-    return met.select(
-        *(F.col(at).alias(c) for c, at in names.items()), *(column.alias(free_name(docs, c)) for c, column in new.items())
-    )
+    plain = {"kept": all_bytes, "n_removed": none, "n_spans": none}
+
+    def named(part: DataFrame, new: dict) -> DataFrame:
+        own = (F.col(at).alias(c) for c, at in names.items())
+        return part.select(*own, *(column.alias(free_name(docs, c)) for c, column in new.items()))
+
+    return named(some.where("NOT touched"), plain).unionByName(named(met, changed))
