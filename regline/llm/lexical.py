@@ -113,7 +113,7 @@ def _blocks_of(places: np.ndarray, docs: np.ndarray, spots: np.ndarray) -> tuple
     sizes = np.diff(np.append(starts, len(places)))
     for start, size in zip(starts[sizes > BLOCK].tolist(), sizes[sizes > BLOCK].tolist(), strict=True):
         near = spots[docs[start : start + size]]
-        pivots = near[:: -(-size // (-(-size // BLOCK)))]
+        pivots = near[np.random.default_rng(size).permutation(size)[: -(-size // BLOCK)]]
         cluster[start : start + size] = (near @ pivots.T).argmax(axis=1)
     order = np.lexsort((cluster, places))
     places, docs, cluster = places[order], docs[order], cluster[order]

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_equal_to_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)
@@ -25,8 +25,8 @@ def test_equal_to_sql(spark, name):
     assert sorted(map(repr, (tuple(r) for r in got.select(columns).collect()))) == sorted(map(repr, want))
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stored_simhash_query(spark):
