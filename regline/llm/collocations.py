@@ -187,19 +187,20 @@ def _with_prefix(leaves: DataFrame, budget: int, max_words: int) -> tuple[DataFr
     """``leaves`` with ``depth``, the number of words of the prefix that deals them out, and the counts of the
     nodes above those prefixes."""
     above = []
-    leaves = leaves.withColumn("depth", F.lit(1))
     for d in range(1, max_words):
-        prefix = F.substring_index("suffix", " ", d)
-        counted = leaves.where(F.col("depth") == d).groupBy("lang", prefix.alias("phrase"))
+        prefix = F.substring_index("suffix", " ", d).alias("phrase")
+        counted = leaves.where(F.col("words") >= d).groupBy("lang", prefix)
         over = counted.agg(F.count(F.lit(1)).alias("leaves"), F.sum("n").alias("f")).where(F.col("leaves") > budget)
         over = written(over.select("lang", "phrase", F.lit(d).alias("words"), "f"), "split-prefixes")
-        if over.isEmpty():
+        if over.isEmpty():  # so that no longer prefix can have more either
             break
         above.append(over)
+    leaves = leaves.withColumn("depth", F.lit(1))
+    for d, over in enumerate(above, 1):
         cut = over.select(F.col("lang").alias("o_lang"), F.col("phrase").alias("o_phrase"))
-        met = leaves.join(cut, (F.col("lang") == F.col("o_lang")) & (prefix == F.col("o_phrase")), "left")
-        leaves = met.withColumn("depth", F.when(F.col("o_lang").isNotNull(), d + 1).otherwise(F.col("depth")))
-        leaves = leaves.drop("o_lang", "o_phrase")
+        met = leaves.join(cut, (F.col("lang") == F.col("o_lang")) & (F.substring_index("suffix", " ", d) == F.col("o_phrase")), "left")
+        deeper = F.when(F.col("o_lang").isNotNull() & (F.col("words") >= d), d + 1).otherwise(F.col("depth"))
+        leaves = met.withColumn("depth", deeper).drop("o_lang", "o_phrase")
     return leaves, above
 
 
