@@ -19,10 +19,10 @@ MIN_BITS = 1 << 16
 
 
 class Bitmap:
-    def __init__(self, members: DataFrame, value: Column):
+    def __init__(self, members: DataFrame, value: Column, bits_each: int = BITS_EACH):
         """``value``: a column of hashes (longs), of which the low bits are kept."""
         spark = members.sparkSession
-        wanted = max(MIN_BITS, min(MAX_BITS, members.count() * BITS_EACH))
+        wanted = max(MIN_BITS, min(MAX_BITS, members.count() * bits_each))
         self.size = 1 << (wanted - 1).bit_length()
         at = F.pmod(value, F.lit(self.size)) + 1  # the built-in functions count from 1
         chunks = (

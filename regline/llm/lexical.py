@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ TOP = 50
 #: Characters that are not part of a term.
 BETWEEN = "\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F"
 #: Documents of a shard, fewer if they would have more than SHARD_CELLS cells with the shard's terms.
-SHARD_DOCS = 1024
-SHARD_CELLS = 8 << 20
+SHARD_DOCS = 256
+SHARD_CELLS = 2 << 20
 #: Documents of a block, about.
 BLOCK = 64
 #: Dimensions in which documents are compared.
@@ -41,8 +42,10 @@ DIMENSIONS = 32
 ITEMS_AT_ONCE = 1000
 #: Bytes of text that are counted at a time.
 CHUNK_BYTES = 4 << 20
-#: A shard's row is a few MB.
-BATCH_ROWS = "4"
+#: Documents and shards that a task takes at a time; a shard's row is a few MB.
+BATCH_DOCS, BATCH_SHARDS = "500", "2"
+#: Of a bitmap of the queries' terms: few other terms get into the index.
+BITS_EACH = 4096
 NO_ID = (1 << 63) - 1  # stands for a null id, which comes last
 
 _CLEAN = bytearray(b" " * 128) + bytes(range(128, 256))
@@ -174,7 +177,7 @@ class _Builder:
             "block_ends": block_ends.astype(np.int64).tobytes(),
             "members": members.astype(np.int32).tobytes(),
             "step": step,
-            "summary": summary.tobytes(),
+            "summary": zstandard.compress(summary.tobytes(), 1),  # few of a block's coordinates are not zero
         }
         types = [pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 6, pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row))
@@ -197,11 +200,13 @@ class _Shard:
         for k, pairs in enumerate(self.items):
             for place, w in pairs:
                 weights[place, k] = w
-        summary = np.frombuffer(row["summary"], np.uint8).reshape(len(self.ends), len(number))
+        summary = np.frombuffer(zstandard.decompress(row["summary"]), np.uint8).reshape(len(self.ends), len(number))
         #: Blocks by items; below zero where the block's term is not the item's. All sums are whole and under 2^53.
-        self.bounds = np.where(
-            weights[np.frombuffer(row["block_terms"], np.int32)] > 0, summary.astype(np.float64) @ weights * row["step"], -1.0
-        )
+        self.bounds = np.full((len(self.ends), len(items)), -1.0)
+        own = weights[np.frombuffer(row["block_terms"], np.int32)] > 0
+        for a in range(0, len(self.ends), 256):
+            part = summary[a : a + 256].astype(np.float64) @ weights * row["step"]
+            self.bounds[a : a + 256][own[a : a + 256]] = part[own[a : a + 256]]
 
     def scores(self, item: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Documents in some blocks and their exact scores."""
@@ -261,11 +266,12 @@ class Index:
         spark = docs.sparkSession
         with_python(docs)
         asked = queries.select(F.explode(terms_of(F.col(query_col))).alias("term")).distinct()
-        counter = _Counter(Bitmap(asked, F.xxhash64("term")))
+        counter = _Counter(Bitmap(asked, F.xxhash64("term"), BITS_EACH))
         texts = docs.select(
             F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), text_or_empty(F.col(text_col)).alias("text")
         )
-        counted = written(texts.mapInArrow(counter.rows, COUNTED), "counted")
+        with sql_conf(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_DOCS}):
+            counted = written(texts.mapInArrow(counter.rows, COUNTED), "counted")
         totals = counted.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("terms")).first()
         self.n_docs = totals.docs
         hashes = F.transform("terms", lambda t: F.xxhash64(t))
@@ -273,9 +279,11 @@ class Index:
         # Documents that share much likely share the smallest hash of a term; the last key spreads equal documents.
         keys = [F.array_min(hashes), F.array_min(again), F.xxhash64("id", "n")]
         some = counted.where(F.size("terms") > 0)
-        dealt = some.select("*", *(k.alias(f"key{i}") for i, k in enumerate(keys))).repartitionByRange("key0", "key1", "key2")
+        dealt = some.select("*", *(k.alias(f"key{i}") for i, k in enumerate(keys)))
+        dealt = dealt.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "key0", "key1", "key2")
         dealt = dealt.sortWithinPartitions("key0", "key1", "key2").select("id", "n", "terms", "tfs")
-        self.shards = written(dealt.mapInArrow(_Builder(self.n_docs, totals.terms or 1).rows, SHARD), "shards")
+        with sql_conf(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_DOCS}):
+            self.shards = written(dealt.mapInArrow(_Builder(self.n_docs, totals.terms or 1).rows, SHARD), "shards")
         self.frequencies = written(some.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "dfs")
         self.spark = spark
 
@@ -317,7 +325,7 @@ class Index:
 
     def _search(self, block: list, top: int) -> DataFrame:
         sent = self.spark.sparkContext.broadcast(block)
-        with sql_conf(self.spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        with sql_conf(self.spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_SHARDS}):
             seeds = written(self.shards.mapInArrow(_Searcher(sent, top).rows, "item bigint, id bigint, score bigint"), "seeds")
             lowest = self._ranked(seeds, top).where(F.col("rank") == top).select("item", "score")
             thresholds = {row.item: max(1, row.score) for row in lowest.collect()}  # one for each item of the block
