@@ -33,7 +33,7 @@ TOP = 50
 BETWEEN = "\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F"
 #: Documents of a shard, fewer if they would have more than SHARD_CELLS cells with the shard's terms.
 SHARD_DOCS = 256
-SHARD_CELLS = 2 << 20
+SHARD_CELLS = 1 << 18
 #: Documents of a block, about.
 BLOCK = 64
 #: Dimensions in which documents are compared.
@@ -41,9 +41,9 @@ DIMENSIONS = 32
 #: Items searched at once: their terms are sent to the tasks.
 ITEMS_AT_ONCE = 1000
 #: Bytes of text that are counted at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Documents and shards that a task takes at a time; a shard's row is a few MB.
-BATCH_DOCS, BATCH_SHARDS = "500", "2"
+BATCH_DOCS, BATCH_SHARDS = "200", "2"
 #: Of a bitmap of the queries' terms: few other terms get into the index.
 BITS_EACH = 4096
 NO_ID = (1 << 63) - 1  # stands for a null id, which comes last
@@ -195,18 +195,21 @@ class _Shard:
         self.matrix[owner, np.frombuffer(row["places"], np.int32)] = np.frombuffer(row["impacts"], np.int32)
         self.ends = np.frombuffer(row["block_ends"], np.int64)
         self.members = np.frombuffer(row["members"], np.int32)
-        self.items = [[(number[t], w) for t, w in zip(terms, weights, strict=True) if t in number] for _, terms, weights in items]
-        weights = np.zeros((len(number), len(items)))
-        for k, pairs in enumerate(self.items):
-            for place, w in pairs:
-                weights[place, k] = w
-        summary = np.frombuffer(zstandard.decompress(row["summary"]), np.uint8).reshape(len(self.ends), len(number))
-        #: Blocks by items; below zero where the block's term is not the item's. All sums are whole and under 2^53.
-        self.bounds = np.full((len(self.ends), len(items)), -1.0)
-        own = weights[np.frombuffer(row["block_terms"], np.int32)] > 0
-        for a in range(0, len(self.ends), 256):
-            part = summary[a : a + 256].astype(np.float64) @ weights * row["step"]
-            self.bounds[a : a + 256][own[a : a + 256]] = part[own[a : a + 256]]
+        self.step = row["step"]
+        self.summary = np.frombuffer(zstandard.decompress(row["summary"]), np.uint8).reshape(len(self.ends), len(number))
+        block_terms = np.frombuffer(row["block_terms"], np.int32)  # in ascending order
+        self.items = []
+        for _, terms, weights in items:
+            pairs = [(number[t], w) for t, w in zip(terms, weights, strict=True) if t in number]
+            places, weights = np.array([p for p, _ in pairs], np.int64), np.array([w for _, w in pairs], np.float64)
+            begin, end = np.searchsorted(block_terms, places), np.searchsorted(block_terms, places, "right")
+            blocks = np.concatenate([np.arange(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)] or [begin])
+            self.items.append((places, weights, blocks))
+
+    def bounds(self, item: int) -> tuple[np.ndarray, np.ndarray]:
+        """The blocks of the item's terms, and what no score in each can pass. All sums are whole and under 2^53."""
+        places, weights, blocks = self.items[item]
+        return blocks, self.summary[np.ix_(blocks, places)].astype(np.float64) @ weights * self.step
 
     def scores(self, item: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Documents in some blocks and their exact scores."""
@@ -214,8 +217,8 @@ class _Shard:
         for b in blocks.tolist():
             inside[self.members[self.ends[b - 1] if b else 0 : self.ends[b]]] = True
         docs = np.flatnonzero(inside)
-        places, weights = zip(*self.items[item], strict=True)
-        return docs, self.matrix[np.ix_(docs, places)] @ np.array(weights, np.float64)
+        places, weights, _ = self.items[item]
+        return docs, self.matrix[np.ix_(docs, places)] @ weights
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,11 +240,11 @@ class _Searcher:
             for row in batch.to_pylist():
                 shard = _Shard(row, items)
                 for k, (number, _, _) in enumerate(items):
-                    bounds = shard.bounds[:, k]
+                    blocks, bounds = shard.bounds(k)
                     if self.thresholds is None:
-                        blocks = np.array([bounds.argmax()])[bounds.max(keepdims=True) > 0]
+                        blocks = blocks[bounds.argmax() :][:1] if len(blocks) else blocks
                     else:
-                        blocks = np.flatnonzero(bounds >= self.thresholds.get(number, 1))
+                        blocks = blocks[bounds >= self.thresholds.get(number, 1)]
                     if len(blocks):
                         docs, scores = shard.scores(k, blocks)
                         ids, old = best[k]
