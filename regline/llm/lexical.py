@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from regline.llm.bitmap import Bitmap
 from regline.llm.common import text_or_empty, with_python, written
 from regline.plans.ingest import sql_conf
+from regline.session import fresh_dir
 
 TOP = 50
 #: Characters that are not part of a term.
@@ -46,6 +47,13 @@ CHUNK_BYTES = 1 << 20
 BATCH_DOCS, BATCH_SHARDS = "200", "2"
 #: Of a bitmap of the queries' terms: few other terms get into the index.
 BITS_EACH = 4096
+#: A writer looks at its buffers after 100 rows at first, which is much for rows of this size.
+LARGE_ROWS = {
+    "parquet.enable.dictionary": "false",
+    "parquet.block.size": str(16 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1",
+}
 NO_ID = (1 << 63) - 1  # stands for a null id, which comes last
 
 _CLEAN = bytearray(b" " * 128) + bytes(range(128, 256))
@@ -286,7 +294,9 @@ class Index:
         dealt = dealt.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "key0", "key1", "key2")
         dealt = dealt.sortWithinPartitions("key0", "key1", "key2").select("id", "n", "terms", "tfs")
         with sql_conf(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_DOCS}):
-            self.shards = written(dealt.mapInArrow(_Builder(self.n_docs, totals.terms or 1).rows, SHARD), "shards")
+            path = fresh_dir(spark, "shards")
+            dealt.mapInArrow(_Builder(self.n_docs, totals.terms or 1).rows, SHARD).write.options(**LARGE_ROWS).parquet(path)
+            self.shards = spark.read.schema(SHARD).parquet(path)
         self.frequencies = written(some.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "dfs")
         self.spark = spark
 
