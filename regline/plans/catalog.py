@@ -20,7 +20,7 @@ from regline.plans.fixtures import registry_release
 from regline.plans.ingest import IngestResult, ingest
 from regline.plans.sizing import buckets_for
 from regline.session import fresh_dir, shared_dir, staged
-from regline.sinks import export, tables
+from regline.sinks import batches, export, tables
 from regline.sources import archives, files, text
 from regline.streaming import incremental
 
@@ -342,6 +342,40 @@ def q_bounded_output_chunks(spark, sf):
     )
 
 
+def q_exact_chunks(spark, sf):
+    """One file for each chunk of 50 records in the order of their keys."""
+    path = fresh_dir(spark, "exact-chunks")
+    batches.write_chunks(_stored(spark, sf), path, 50, ["cnpj"])
+    rows = spark.read.schema("chunk bigint, cnpj string").parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("cnpj").alias("first_cnpj"),
+        F.max("cnpj").alias("last_cnpj"),
+        F.count_distinct("file").alias("files"),
+    )
+
+
+def _sent(spark, sf) -> str:
+    """A sink that got the release in batches of 15, rows with a value over its width included: it refuses those batches."""
+    parsed = records.classify(_lines(spark, sf), check_widths=False)
+    rows = quality.dedupe(staged(records.accepted(parsed, lineage=True), "parsed"))
+    path = fresh_dir(spark, "sink")
+    batches.send_batches(rows.select(*R), path, size=15, order_by=["cnpj"], widths=batches.varchar_widths())
+    return path
+
+
+def q_sink_batches(spark, sf):
+    return batches.batch_report(spark, _sent(spark, sf))
+
+
+def q_sink_counters(spark, sf):
+    return batches.sink_counters(spark, _sent(spark, sf))
+
+
+def q_sink_rows(spark, sf):
+    return batches.read_sink(spark, _sent(spark, sf), tables.table_schema())
+
+
 def q_record_filter(spark, sf):
     return analytics.record_filter(_accepted(spark, sf), "situacao_cadastral = '02' AND opcao_mei = 'S'").select(
         "cnpj", "razao_social", "situacao_cadastral", "opcao_mei"

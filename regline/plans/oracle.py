@@ -31,7 +31,7 @@ def _fields_select(source: str, release: str | None = None) -> str:
   SELECT k, nk, {name} AS name, bal FROM {source} {where}"""
 
 
-def base_cte(release: str | None = None) -> str:
+def base_cte(release: str | None = None, taken: str = "reason IS NULL") -> str:
     """CTEs: src, f (field values), g (one row per key with line and class),
     lines (physical non-blank lines), rec (accepted records, with copies),
     recd (one record per key)."""
@@ -115,7 +115,7 @@ lines AS (
   SELECT * FROM g WHERE k % 29 = 0
 ),
 rec AS (
-  SELECT {rec_select}, k FROM lines WHERE reason IS NULL
+  SELECT {rec_select}, k FROM lines WHERE {taken}
 ),
 recd AS (
   SELECT DISTINCT * FROM rec
@@ -246,6 +246,26 @@ FROM (SELECT 'uf' AS c, count(*) - count(uf) AS nulls FROM recd
       UNION ALL SELECT 'situacao_cadastral', count(*) - count(situacao_cadastral) FROM recd)"""
     q["bounded_output_chunks"] = B + """
 SELECT CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS oversize_files FROM recd"""
+    q["exact_chunks"] = B + """,
+placed AS (SELECT cnpj, (row_number() OVER (ORDER BY cnpj) - 1) // 50 AS chunk FROM recd)
+SELECT CAST(chunk AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS rows, min(cnpj) AS first_cnpj, max(cnpj) AS last_cnpj,
+       CAST(1 AS BIGINT) AS files
+FROM placed GROUP BY chunk"""
+    sent = base_cte(taken="reason IS NULL OR reason = 'overwide'") + """,
+placed AS (SELECT *, (row_number() OVER (ORDER BY cnpj) - 1) // 15 AS batch FROM recd),
+judged AS (SELECT *, bool_or(length(cep) > 8) OVER (PARTITION BY batch) AS refused FROM placed)
+"""
+    q["sink_batches"] = sent + """
+SELECT CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows, NOT refused AS sent,
+       CASE WHEN refused THEN 'cep' END AS error
+FROM judged GROUP BY batch, refused"""
+    q["sink_counters"] = sent + """
+SELECT CAST(count(DISTINCT batch) FILTER (WHERE NOT refused) AS BIGINT) AS batches_sent,
+       CAST(count(DISTINCT batch) FILTER (WHERE refused) AS BIGINT) AS batches_failed,
+       CAST(count(*) FILTER (WHERE NOT refused) AS BIGINT) AS records_written,
+       CAST(count(*) FILTER (WHERE refused) AS BIGINT) AS records_refused
+FROM judged"""
+    q["sink_rows"] = sent + f"\nSELECT {R_LIST} FROM judged WHERE NOT refused"
     q["import_counters"] = B + _file_bytes_cte() + f""",
 w AS (SELECT CAST(count(*) AS BIGINT) AS n FROM recd)
 SELECT CAST(count(*) AS BIGINT) AS lines_read,
