@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
 from regline.session import staged
+from regline.sinks.commits import Commits
 from regline.sources import fs
 
 #: Keys of a bucket, about, after a compaction.
@@ -81,11 +82,12 @@ class KeyIndex:
     def catch_up(self, apart_from: str | None = None) -> int:
         """Add the keys of the table's files that are not covered yet; how many files these were.
 
+        Of a table of committed loads, only their files count.
+
         Files whose path holds ``apart_from`` are left for later. Only file
         names are handled here, as Spark's own listing is.
         """
-        there = [uri for uri, name, *_ in fs.list_dir(self.table, recursive=True) if name.endswith(".parquet")]
-        there = [uri for uri in there if not (apart_from and apart_from in uri)]
+        there = [uri for uri in Commits(self.table).data_files() if not (apart_from and apart_from in uri)]
         if not there:
             return 0
         listed = self.spark.createDataFrame([(uri,) for uri in there], "file string")

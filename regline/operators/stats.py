@@ -30,29 +30,26 @@ def batches_for(records: int, batch_size: int) -> int:
     return -(-records // batch_size) if records > 0 else 0
 
 
-def stats_frame(spark: SparkSession, values: dict) -> DataFrame:
-    """One-row statistics DataFrame from already computed counters.
+def stats_values(values: dict) -> dict:
+    """The counters of ``STATS_SCHEMA`` in its order, absent ones 0.
 
     errors = rejected lines + unreadable files + failed batches (always 0
     here: a bad row is quarantined instead of failing its batch).
     """
-    rejected = sum(int(values.get(f"rejected_{r}", 0)) for r in REASONS)
-    row = {
-        "lines_read": int(values.get("lines_read", 0)),
-        "records_processed": int(values.get("records_processed", 0)),
-        **{f"rejected_{r}": int(values.get(f"rejected_{r}", 0)) for r in REASONS},
-        "duplicates_dropped": int(values.get("duplicates_dropped", 0)),
-        "records_written": int(values.get("records_written", 0)),
-        "files_read": int(values.get("files_read", 0)),
-        "files_failed": int(values.get("files_failed", 0)),
-        "bytes_read": int(values.get("bytes_read", 0)),
-        "batches_sent": int(values.get("batches_sent", 0)),
-        "records_filtered": int(values.get("records_filtered", 0)),
-        "already_stored": int(values.get("already_stored", 0)),
-        "files_left_out": int(values.get("files_left_out", 0)),
-    }
-    row["errors"] = rejected + row["files_failed"]
-    return spark.createDataFrame([tuple(row.values())], STATS_SCHEMA)
+    names = [field.split()[0] for field in STATS_SCHEMA.split(", ")]
+    row = {name: int(values.get(name, 0)) for name in names if name != "errors"}
+    return {**row, "errors": sum(row[f"rejected_{r}"] for r in REASONS) + row["files_failed"]}
+
+
+def stats_frame(spark: SparkSession, values: dict) -> DataFrame:
+    """One-row statistics DataFrame from already computed counters."""
+    return spark.createDataFrame([tuple(stats_values(values).values())], STATS_SCHEMA)
+
+
+def summed(stats: DataFrame) -> DataFrame:
+    """M1 over several loads or micro-batches: each counter's sum, 0 where there was none."""
+    names = [field.split()[0] for field in STATS_SCHEMA.split(", ")]
+    return stats.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])
 
 
 def with_rates(stats: DataFrame, elapsed_secs: float) -> DataFrame:

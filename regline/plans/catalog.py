@@ -490,7 +490,7 @@ def q_apply_diff(spark, sf):
     return spark.read.parquet(out).select(*R)
 
 
-def _stream_in_rounds(spark, sf, max_files_per_trigger=None):
+def _stream_in_rounds(spark, sf, max_files_per_trigger=None, archive=False, batch_size=100_000):
     """Render the release into a watched folder in two rounds (files 0-1,
     then 2-3), ingest after each, then once more with nothing new."""
     from regline.plans.fixtures import registry_lines, source_rows, write_files
@@ -500,28 +500,55 @@ def _stream_in_rounds(spark, sf, max_files_per_trigger=None):
     watched, target, ckpt = fresh_dir(spark, "watched"), fresh_dir(spark, "stream"), fresh_dir(spark, "ckpt")
     lines = registry_lines(source_rows(spark, sf))
     first = F.col("file_name").isin("Empresas0.csv", "Empresas1.csv")
-    batches = []
     for part in (lines.where(first), lines.where(~first), None):
         if part is not None:
-            write_files(part, watched).collect()
-        batches.append(
-            incremental.incremental_ingest(spark, watched, target, ckpt, max_files_per_trigger=max_files_per_trigger)
+            write_files(part, watched, archive=archive).collect()
+        incremental.incremental_ingest(
+            spark, watched, target, ckpt, max_files_per_trigger=max_files_per_trigger, batch_size=batch_size
         )
-    return incremental.read_ingested(spark, target), batches
+    return target
 
 
 def q_incremental_file_ingest(spark, sf):
-    table, _ = _stream_in_rounds(spark, sf)
-    return table.select(*R)
+    return incremental.read_ingested(spark, _stream_in_rounds(spark, sf)).select(*R)
+
+
+def q_incremental_archives(spark, sf):
+    """Two rounds of archives through one checkpoint."""
+    return incremental.read_ingested(spark, _stream_in_rounds(spark, sf, archive=True)).select(*R)
 
 
 def q_bounded_intake(spark, sf):
-    table, _ = _stream_in_rounds(spark, sf, max_files_per_trigger=1)
+    table = incremental.read_ingested(spark, _stream_in_rounds(spark, sf, max_files_per_trigger=1))
     return table.agg(
         F.count_distinct("batch_id").cast("bigint").alias("batches"), F.count(F.lit(1)).alias("records")
     )
 
 
+def q_stream_counters(spark, sf):
+    """The counters of the micro-batches, one file each, added up. A copy is dropped in its batch or as already stored."""
+    target = _stream_in_rounds(spark, sf, max_files_per_trigger=1, batch_size=100)
+    total = stats.summed(incremental.load_counters(spark, target).where("batch_id IS NOT NULL"))
+    return total.select(
+        "*", (F.col("duplicates_dropped") + F.col("already_stored")).alias("copies")
+    ).drop("duplicates_dropped", "already_stored")
+
+
+def q_stream_quarantine(spark, sf):
+    target = _stream_in_rounds(spark, sf, max_files_per_trigger=1)
+    return incremental.read_quarantine(spark, target).select("file_name", "line", "reason")
+
+
+def q_batch_and_stream(spark, sf):
+    """File 0 by a batch load, the folder by a stream, and the folder by a batch load again: one table."""
+    root, target, ckpt = _root(spark, sf), fresh_dir(spark, "ingest"), fresh_dir(spark, "ckpt")
+    ingest(spark, root, target, names=["Empresas0.csv"])
+    incremental.incremental_ingest(spark, root, target, ckpt, glob="*.csv", max_files_per_trigger=2)
+    last = ingest(spark, root, target)
+    again = last.stats.select(F.lit(1).alias("one"), F.col("records_written").alias("again_written"))
+    return last.table(spark).withColumn("one", F.lit(1)).join(again, "one").drop("one")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

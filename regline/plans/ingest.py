@@ -5,7 +5,8 @@
          in ONE pass over the input, counters observed (M1)
       -> publish: one line per key (V5), not stored before (V5), split into the
          record's columns, rebalanced by uf, sorted (S12), bounded files (S13),
-         appended to the table -> statistics (M1, M2)
+         written to the load's own folder of the table -> commit with the
+         statistics (M1, M2)
 
 The raw input is read exactly once, and the record's columns are encoded
 exactly once: what is staged of an accepted row is its key and its line. The
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from regline.layout import EMPRESAS, Layout, release_files
 from regline.operators.keys import KeyIndex
 from regline.operators.records import classify
-from regline.operators.stats import batches_for, counter_columns, stats_frame, with_rates
+from regline.operators.stats import batches_for, counter_columns, stats_frame, stats_values, with_rates
 from regline.plans.sizing import scan_conf, shuffle_conf
 from regline.session import staged
-from regline.sinks.tables import read_partitioned, write_partitioned
+from regline.sinks.commits import Commits
+from regline.sinks.tables import read_partitioned, table_schema, write_partitioned
 from regline.sources import fs
 from regline.sources.archives import lines_of_planned, plan_archives, read_planned_raw
 from regline.sources.files import not_yet_ingested
@@ -235,11 +237,12 @@ def ingest(
     complete: bool = False,
 ) -> IngestResult:
     """Load one release folder into ``target``: its table/, to which every load
-    appends, and a folder of rejected lines per load below loads/.
+    and every stream adds a commit, and a folder of rejected lines per load below loads/.
 
     Plain files and archives of the release are both read. ``deduplicate``
     keeps one record per key over this load and all loads before it, whose keys
-    are looked up in the index in keys/ (``operators.keys``). A load that failed while publishing may simply be run again. ``complete`` counts
+    are looked up in the index in keys/ (``operators.keys``). A load that failed
+    is not seen in the table and may simply be run again. ``complete`` counts
     parts of the release that are not there as failed files.
 
     ``ledger_path``: a Parquet table of files already taken (path, name,
@@ -250,14 +253,53 @@ def ingest(
     again.
     """
     started = time.perf_counter()
+    if ledger_path is not None and ledger is None:
+        ledger = read_ledger(spark, ledger_path)
+    inputs = resolve_inputs(spark, root, families, names, ledger, complete)
+    result, read = load_inputs(
+        spark, inputs, target, new_load_id(), layout, trim=trim, deduplicate=deduplicate, batch_size=batch_size,
+        max_records_per_file=max_records_per_file, record_filter=record_filter, max_total_bytes=max_total_bytes, started=started,
+    )
+    if ledger_path is not None and read:
+        spark.createDataFrame(
+            [(f.path, f.file_name, f.length, f.modification_time, target) for f in read], LEDGER_SCHEMA
+        ).write.mode("append").parquet(ledger_path)
+    return result
+
+
+def new_load_id() -> str:
+    return f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+
+
+def load_inputs(
+    spark: SparkSession,
+    inputs: Inputs,
+    target: str,
+    load_id: str,
+    layout: Layout = EMPRESAS,
+    trim: bool = False,
+    deduplicate: bool = True,
+    against_stored: bool = True,
+    batch_size: int = 100_000,
+    max_records_per_file: int | None = None,
+    record_filter: str | None = None,
+    max_total_bytes: int | None = None,
+    started: float | None = None,
+) -> tuple[IngestResult, list]:
+    """Load the chosen files as one commit of the table; the result, and the files read to their end.
+
+    Batch loads and the micro-batches of a stream both come through here.
+    ``against_stored``: with ``deduplicate``, keys of earlier loads count too.
+    """
+    started = time.perf_counter() if started is None else started
     steps: dict[str, float] = {}
 
     def lap(step: str) -> None:
         steps[step] = time.perf_counter() - started - sum(steps.values())
 
-    if ledger_path is not None and ledger is None:
-        ledger = read_ledger(spark, ledger_path)
-    inputs = resolve_inputs(spark, root, families, names, ledger, complete)
+    table_path = f"{target}/table"
+    commits = Commits(table_path)
+    name = commits.begin(load_id)
     release = open_release(spark, inputs, max_total_bytes=max_total_bytes)
     cores = spark.sparkContext.defaultParallelism
     lap("resolve")
@@ -269,17 +311,17 @@ def ingest(
     classified = classify(release.lines, layout, trim=trim).observe(
         staged_obs, *counter_columns(), F.count_if(wanted).alias("records_wanted")
     )
-    load = f"{target}/loads/{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    load = f"{target}/loads/{load_id}"
     stage_conf = {"spark.sql.maxConcurrentOutputFileWriters": "4", **scan_conf(release.input_bytes, cores)}
     with sql_conf(spark, **stage_conf):  # read when the write plans its scan
         rows = staged_frame(classified.where(F.col("reason").isNotNull() | wanted), layout)
-        rows.write.options(**layout.parquet_options(extra=("line",))).partitionBy("outcome").parquet(load)
+        writer = rows.write.mode("overwrite").options(**layout.parquet_options(extra=("line",)))
+        writer.partitionBy("outcome").parquet(load)  # a load tried again replaces what it staged
     counters = staged_obs.get
     accepted, kept = int(counters["records_processed"]), int(counters["records_wanted"])
     lap("stage")
 
     # Pass 2: staged lines -> one per key, not stored yet -> table layout.
-    table_path = f"{target}/table"
     publish_conf = shuffle_conf(release.input_bytes, cores)
     written, repeated = 0, 0
     if kept:
@@ -287,20 +329,18 @@ def ingest(
             lines = read_staged(spark, load, "accepted", layout)
             if deduplicate:
                 lines, repeated = unique_lines(lines, layout.key)
-                if fs.exists(table_path):
+                if against_stored and commits.names():
                     index = KeyIndex(spark, f"{target}/keys", table_path, layout)
                     index.catch_up()
                     lines = index.unseen(lines)
             lap("keys")
             written_obs = Observation("written")
             write_partitioned(
-                records_of(lines, layout, trim), table_path, layout, max_records_per_file, mode="append", observation=written_obs
+                records_of(lines, layout, trim), commits.folder(name), layout, max_records_per_file, observation=written_obs
             )
             written = int(written_obs.get["n"])
-        fs.delete_dir(f"{load}/outcome=accepted")  # the table holds these now
-    elif not fs.exists(table_path):
-        empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in layout.names))
-        write_partitioned(empty, table_path, layout, mode="append")
+    else:
+        write_partitioned(spark.createDataFrame([], table_schema(layout)), commits.folder(name), layout)
     lap("publish")
     elapsed = time.perf_counter() - started
 
@@ -318,11 +358,10 @@ def ingest(
         bytes_read=release.input_bytes,
         batches_sent=batches_for(kept, batch_size),
     )
-    if ledger_path is not None and read:
-        spark.createDataFrame(
-            [(f.path, f.file_name, f.length, f.modification_time, target) for f in read], LEDGER_SCHEMA
-        ).write.mode("append").parquet(ledger_path)
-    return IngestResult(with_rates(stats_frame(spark, values), elapsed), table_path, load, elapsed, steps)
+    stats = stats_values(values)
+    commits.commit(name, stats)
+    fs.delete_dir(f"{load}/outcome=accepted")  # the table holds these now
+    return IngestResult(with_rates(stats_frame(spark, stats), elapsed), table_path, load, elapsed, steps), read
 
 
 LEDGER_SCHEMA = "path string, file_name string, length bigint, modification_time timestamp, loaded_into string"

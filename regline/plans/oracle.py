@@ -375,7 +375,25 @@ SELECT coalesce(a.cnpj, b.cnpj) AS cnpj,
        WHEN a.razao_social = b.razao_social THEN 'unchanged' ELSE 'updated' END AS change
 FROM a FULL JOIN b ON a.cnpj = b.cnpj"""
     q["apply_diff"] = Bn + f"\nSELECT {R_LIST} FROM recd"
-    q["incremental_file_ingest"] = q["ingest_table"]
+    q["incremental_file_ingest"] = q["incremental_archives"] = q["ingest_table"]
+    q["batch_and_stream"] = B + f"\nSELECT {R_LIST}, CAST(0 AS BIGINT) AS again_written FROM recd"
+    q["stream_quarantine"] = B + "\nSELECT file_name, line, reason FROM lines WHERE reason IS NOT NULL"
+    q["stream_counters"] = B + _file_bytes_cte() + """,
+w AS (SELECT CAST(count(*) AS BIGINT) AS n FROM recd),
+sent AS (SELECT ceil(count(*) / 100.0) AS n FROM lines WHERE reason IS NULL GROUP BY file_name)
+SELECT CAST(count(*) AS BIGINT) AS lines_read,
+       CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS records_processed,
+       CAST(count(*) FILTER (WHERE reason = 'too_few_fields') AS BIGINT) AS rejected_too_few_fields,
+       CAST(count(*) FILTER (WHERE reason = 'bad_cnpj_width') AS BIGINT) AS rejected_bad_cnpj_width,
+       CAST(count(*) FILTER (WHERE reason = 'overwide') AS BIGINT) AS rejected_overwide,
+       CAST(count(*) FILTER (WHERE reason IS NULL) - (SELECT n FROM w) AS BIGINT) AS copies,
+       (SELECT n FROM w) AS records_written,
+       CAST(4 AS BIGINT) AS files_read, CAST(0 AS BIGINT) AS files_failed,
+       (SELECT CAST(sum(bytes) AS BIGINT) FROM file_bytes) AS bytes_read,
+       (SELECT CAST(sum(n) AS BIGINT) FROM sent) AS batches_sent,
+       CAST(0 AS BIGINT) AS records_filtered, CAST(0 AS BIGINT) AS files_left_out,
+       CAST(count(*) FILTER (WHERE reason IS NOT NULL) AS BIGINT) AS errors
+FROM lines"""
     q["bounded_intake"] = B + """
 SELECT CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS records FROM recd"""
     return q

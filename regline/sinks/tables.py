@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regline.layout import EMPRESAS, Layout
+from regline.sinks.commits import Commits
 
 
 def table_ddl(name: str, layout: Layout = EMPRESAS, location: str | None = None) -> str:
@@ -86,7 +87,11 @@ def table_schema(layout: Layout = EMPRESAS) -> str:
 
 def read_partitioned(spark: SparkSession, path: str, layout: Layout = EMPRESAS) -> DataFrame:
     """Read back with an explicit all-string schema, so a partition value such
-    as uf=01 stays text whatever the session's type-inference setting."""
+    as uf=01 stays text whatever the session's type-inference setting. Of a
+    table that loads were committed to, the committed ones are read."""
+    commits = Commits(path)
+    if commits.kept:
+        return commits.read(spark, table_schema(layout)).select(*layout.names)
     return spark.read.schema(table_schema(layout)).option("basePath", path).parquet(path).select(*layout.names)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,15 +220,15 @@ class ZipLinesDataSource(DataSource):
         return ZipLinesReader(self.options)
 
 
-_REGISTERED: set[str] = set()
+#: Sessions that know the data source; a stream's micro-batches run in one of their own.
+_REGISTERED: WeakSet[SparkSession] = WeakSet()
 
 
 def _register(spark: SparkSession) -> None:
     ship_package(spark)
-    key = spark.sparkContext.applicationId
-    if key not in _REGISTERED:
+    if spark not in _REGISTERED:
         spark.dataSource.register(ZipLinesDataSource)
-        _REGISTERED.add(key)
+        _REGISTERED.add(spark)
 
 
 MEMBER_SCHEMA = "archive string, is_zip boolean, member string, size bigint, stored boolean, data_offset bigint"

@@ -68,6 +68,26 @@ def write_bytes(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def write_whole(uri: str, data: bytes) -> None:
+    """Write a small file that readers see complete or not at all."""
+    filesystem, path = resolve(uri)
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/.{name}.tmp"
+    filesystem.create_dir(folder, recursive=True)
+    with filesystem.open_output_stream(hidden) as out:
+        out.write(data)
+    filesystem.move(hidden, path)
+
+
+def subfolders(uri: str) -> list[str]:
+    """The folders right below ``uri``; none where it's missing."""
+    from pyarrow import fs as pafs
+
+    filesystem, path = resolve(uri)
+    found = filesystem.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    return sorted(f"{uri.rstrip('/')}/{e.base_name}" for e in found if e.type == pafs.FileType.Directory)
+
+
 def list_dir(uri: str, recursive: bool = False) -> list[tuple[str, str, int, object]]:
     """(uri, name, size, mtime) of the files below ``uri``, empty files included.
 
