@@ -245,6 +245,24 @@ def q_ingest_mixed(spark, sf):
     return ingest(spark, _root(spark, sf, "mixed"), fresh_dir(spark, "ingest")).table(spark)
 
 
+def q_ingest_unreadable(spark, sf):
+    """A release with a plain file that fails its checksum and a ZIP cut short: the ledger's files, and what was counted."""
+    from regline.plans.fixtures import registry_lines, source_rows, write_files
+    from regline.session import ship_package
+    from regline.sources import fs
+
+    ship_package(spark)
+    root, ledger = fresh_dir(spark, "damaged"), fresh_dir(spark, "ledger")
+    write_files(registry_lines(source_rows(spark, sf)), root).collect()
+    # Hadoop's local file system compares a file with the checksums next to it, here those of nothing.
+    fs.write_bytes(f"{root}/.Empresas1.csv.crc", b"crc\x00" + (512).to_bytes(4, "big"))
+    fs.write_bytes(f"{root}/Empresas7.zip", b"PK\x03\x04 cut short")
+    loaded = ingest(spark, root, fresh_dir(spark, "ingest"), ledger_path=ledger)
+    counted = loaded.stats.select(F.lit(1).alias("one"), "records_written", "files_read", "files_failed")
+    taken = spark.read.parquet(ledger).select("file_name", F.lit(1).alias("one"))
+    return taken.join(counted, "one").drop("one")
+
+
 def q_ingest_twice(spark, sf):
     """Files 0 and 1, then the whole folder with the same ledger, into one table."""
     target, ledger = fresh_dir(spark, "ingest"), fresh_dir(spark, "ledger")

@@ -35,7 +35,7 @@ from regline.sinks.tables import read_partitioned, table_schema, write_partition
 from regline.sources import fs
 from regline.sources.archives import lines_of_planned, plan_archives, read_planned_raw
 from regline.sources.files import not_yet_ingested
-from regline.sources.text import dataset_files, lines_from_raw, read_raw
+from regline.sources.text import dataset_files, expected_bytes, line_bytes, lines_from_raw, read_raw, short_files
 
 NO_LINES = "file_path string, file_name string, line string"
 
@@ -111,10 +111,19 @@ class Release:
     not_archives: list[str] = field(default_factory=list)
     too_large: list[str] = field(default_factory=list)
     damaged: Observation | None = None  # gets ``archives``: those of which a member could not be read to its end
+    unopened: list[str] = field(default_factory=list)  # plain files
+    text_bytes: dict = field(default_factory=dict)  # plain file -> bytes of its lines, if read to its end
+    text_read: Observation | None = None  # gets ``bytes``, of the lines of all plain files
 
-    def unread(self) -> set[str]:
+    def unread(self, spark: SparkSession) -> set[str]:
+        """Files that could not be read to their end, after the pass over the lines."""
         found = self.damaged.get["archives"] if self.damaged else []
-        return {*self.not_archives, *self.too_large, *found}
+        short = []
+        if self.text_read and self.text_read.get["bytes"] != sum(self.text_bytes.values()):
+            short = short_files(spark, self.text_bytes)
+            if not short:
+                raise RuntimeError("lines of a plain file were lost to an error that has passed; run the load again")
+        return {*self.not_archives, *self.too_large, *found, *self.unopened, *short}
 
 
 def open_release(
@@ -122,13 +131,23 @@ def open_release(
 ) -> Release:
     """Plain files and archives together. Central directories are read once, by executors.
 
+    A plain file that cannot be read ends where reading fails, as a member of
+    an archive does; the bytes of all lines, summed in the same pass, tell
+    whether there was one.
+
     ``max_total_bytes``: archives that unpack to more are left out and counted
     as failed; without it none is.
     """
     parts, size = [], sum(f.length for f in inputs.text)
     out = Release(spark.createDataFrame([], NO_LINES), size)
     if inputs.text:
-        parts.append(lines_from_raw(read_raw(spark, [f.path for f in inputs.text]), encoding))
+        expected = expected_bytes(inputs.text)
+        out.unopened = [path for path, n in expected.items() if n is None]
+        out.text_bytes = {path: n for path, n in expected.items() if n is not None}
+    if out.text_bytes:
+        out.text_read = Observation("text")
+        raw = read_raw(spark, list(out.text_bytes), tolerant=True)
+        parts.append(lines_from_raw(raw.observe(out.text_read, line_bytes().alias("bytes")), encoding))
     if inputs.zips:
         plan = plan_archives(spark, [f.path for f in inputs.zips], max_total_bytes)
         out.not_archives = [a for a, v in plan.verdicts.items() if v == "not_zip"]
@@ -319,6 +338,7 @@ def load_inputs(
         writer.partitionBy("outcome").parquet(load)  # a load tried again replaces what it staged
     counters = staged_obs.get
     accepted, kept = int(counters["records_processed"]), int(counters["records_wanted"])
+    unread = release.unread(spark)
     lap("stage")
 
     # Pass 2: staged lines -> one per key, not stored yet -> table layout.
@@ -344,7 +364,6 @@ def load_inputs(
     lap("publish")
     elapsed = time.perf_counter() - started
 
-    unread = release.unread()
     read = [f for f in inputs.files if f.path not in unread]
     values = dict(counters)
     values.update(

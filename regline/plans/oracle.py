@@ -296,6 +296,11 @@ FROM (SELECT DISTINCT file_name FROM g UNION SELECT 'Empresas4.csv' UNION SELECT
     # Files 0 and 1 come first; 2, 3 and the empty one are new the second time, and nothing is the third.
     q["ingest_twice"] = B + f"""
 SELECT {R_LIST}, CAST(3 AS BIGINT) AS second_files_read, CAST(0 AS BIGINT) AS again_written FROM recd"""
+    # File 1 and the archive fail; a key's lines are all in one file.
+    q["ingest_unreadable"] = B + """
+SELECT file_name, (SELECT CAST(count(DISTINCT cnpj) AS BIGINT) FROM rec WHERE k % 4 <> 1) AS records_written,
+       CAST(3 AS BIGINT) AS files_read, CAST(2 AS BIGINT) AS files_failed
+FROM (SELECT DISTINCT file_name FROM g WHERE file_name <> 'Empresas1.csv')"""
     q["key_index"] = B + "\nSELECT cnpj, CAST(1 AS BIGINT) AS entries FROM recd"
     q["stored_key_lookup"] = B + """
 SELECT cnpj, bool_or(k % 4 IN (0, 1)) AS stored FROM rec GROUP BY cnpj"""

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regline.functions.columns import decode_text, strip_line_end
@@ -28,17 +29,66 @@ def lines_from_raw(raw: DataFrame, encoding: str = "ISO-8859-1", keep_blank: boo
     )
 
 
-def read_raw(spark: SparkSession, paths: str | Sequence[str], line_sep: str = "\n") -> DataFrame:
-    """Splittable text scan; lines end at LF only (a lone CR is data)."""
+def read_raw(spark: SparkSession, paths: str | Sequence[str], line_sep: str = "\n", tolerant: bool = False) -> DataFrame:
+    """Splittable text scan; lines end at LF only (a lone CR is data).
+
+    ``tolerant``: a file that cannot be read ends where reading fails, and the
+    others are read. Compare ``line_bytes`` with ``expected_bytes`` then: Spark
+    itself doesn't say which files these were.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.option("lineSep", line_sep).text(paths)
-    return df.select(
+    reader = spark.read.option("lineSep", line_sep)
+    if tolerant:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    return reader.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         "value",
     )
 
 
+def line_bytes() -> Column:
+    """Bytes of the lines of ``read_raw``, line ends included: an aggregate, also for ``observe``."""
+    return F.coalesce(F.sum(F.octet_length("value").cast("bigint") + 1), F.lit(0))
+
+
+def expected_bytes(files: Iterable, threads: int = 32) -> dict[str, int | None]:
+    """What ``line_bytes`` gives for each file (path, length) that is read to its end; None if it can't be opened.
+
+    That is its length, and one more where its last line has no line end. One
+    byte of each file is read.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from regline.sources import fs
+
+    def expected(file) -> int | None:
+        if not file.length:
+            return 0
+        try:
+            with fs.open_input(file.path) as stream:
+                stream.seek(file.length - 1)
+                return file.length + (stream.read(1) != b"\n")
+        except OSError:
+            return None
+
+    files = list(files)
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(zip([f.path for f in files], pool.map(expected, files)))
+
+
+def short_files(spark: SparkSession, expected: dict[str, int]) -> list[str]:
+    """Paths of the files whose lines don't add up to ``expected``: reads them once more. Files of one name are judged together."""
+    # Spark gives names as they stand in a URI.
+    per_name: dict[str, int] = {}
+    for path, n in expected.items():
+        name = path.rsplit("/", 1)[-1]
+        per_name[name] = per_name.get(name, 0) + n
+    raw = read_raw(spark, list(expected), tolerant=True)
+    found = {unquote(r.file_name): r.n for r in raw.groupBy("file_name").agg(line_bytes().alias("n")).collect()}
+    return [path for path in expected if found.get(name := path.rsplit("/", 1)[-1], 0) != per_name[name]]
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
