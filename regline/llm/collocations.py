@@ -185,22 +185,27 @@ def _subtree(leaves: pa.Table, min_count: int) -> pa.Table:
 
 def _with_prefix(leaves: DataFrame, budget: int, max_words: int) -> tuple[DataFrame, list[DataFrame]]:
     """``leaves`` with ``depth``, the number of words of the prefix that deals them out, and the counts of the
-    nodes above those prefixes."""
+    nodes above those prefixes.
+
+    Tasks look prefixes with too many leaves up in a bitmap. Another prefix that it takes for one of them is dealt
+    out by one word more as well, and its node is counted here in the same way.
+    """
     above = []
+    leaves = leaves.withColumn("depth", F.lit(1))
     for d in range(1, max_words):
-        prefix = F.substring_index("suffix", " ", d).alias("phrase")
-        counted = leaves.where(F.col("words") >= d).groupBy("lang", prefix)
-        over = counted.agg(F.count(F.lit(1)).alias("leaves"), F.sum("n").alias("f")).where(F.col("leaves") > budget)
-        over = written(over.select("lang", "phrase", F.lit(d).alias("words"), "f"), "split-prefixes")
+        prefix = F.substring_index("suffix", " ", d)
+        # Only leaves of a prefix that was split before can have too many again.
+        open_leaves = leaves.where((F.col("depth") == d) & (F.col("words") >= d))
+        over = open_leaves.groupBy("lang", prefix.alias("phrase")).agg(F.count(F.lit(1)).alias("leaves"))
+        over = written(over.where(F.col("leaves") > budget).select("lang", "phrase"), "split-prefixes")
         if over.isEmpty():  # so that no longer prefix can have more either
             break
-        above.append(over)
-    leaves = leaves.withColumn("depth", F.lit(1))
-    for d, over in enumerate(above, 1):
-        cut = over.select(F.col("lang").alias("o_lang"), F.col("phrase").alias("o_phrase"))
-        met = leaves.join(cut, (F.col("lang") == F.col("o_lang")) & (F.substring_index("suffix", " ", d) == F.col("o_phrase")), "left")
-        deeper = F.when(F.col("o_lang").isNotNull() & (F.col("words") >= d), d + 1).otherwise(F.col("depth"))
-        leaves = met.withColumn("depth", deeper).drop("o_lang", "o_phrase")
+        split = Bitmap(over, F.xxhash64("lang", "phrase")).column(F.xxhash64("lang", prefix))
+        split = (F.col("depth") == d) & (F.col("words") >= d) & split
+        leaves = leaves.withColumn("depth", F.when(split, d + 1).otherwise(F.col("depth")))
+        if d > 1:
+            counted = leaves.where(F.col("depth") > d).groupBy("lang", prefix.alias("phrase")).agg(F.sum("n").alias("f"))
+            above.append(written(counted.select("lang", "phrase", F.lit(d).alias("words"), "f"), "split-counts"))
     return leaves, above
 
 
@@ -243,7 +248,7 @@ def phrase_counts(
         )
     )
     for over in above:
-        nodes = nodes.unionByName(over.where((F.col("words") > 1) & (F.col("f") >= min_count)))
+        nodes = nodes.unionByName(over.where(F.col("f") >= min_count))
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     return written(nodes.unionByName(single), "phrases"), words.groupBy("lang").agg(F.sum("n").alias("n"))
 

@@ -57,6 +57,27 @@ def test_equal_to_counting_every_phrase(spark, seed, group):
     assert {tuple(r) for r in got.collect()} == plain(rows, 4, top=40)
 
 
+def test_prefixes_that_the_bitmap_takes_for_split_ones(spark, monkeypatch):
+    class Crowded(collocations.Bitmap):
+        """So few bits that most values are taken for members."""
+
+        def __init__(self, members, value):
+            super().__init__(members, value)
+            self.few = self.size >> 14
+
+        def has(self, values):
+            bits = self._bits.value.reshape(-1)
+            folded = [any(bits[i * len(bits) // self.few : (i + 1) * len(bits) // self.few]) for i in range(self.few)]
+            return super().has(values) | [folded[int(v) % self.few] for v in values]
+
+    rows = rows_of(5)
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(collocations, "Bitmap", Crowded)
+        got = {tuple(r) for r in collocations.collocations(docs, min_count=4, top=40, group_leaves=20).collect()}
+    assert got == plain(rows, 4, top=40)
+
+
 def test_covered_share_and_fewer_words(spark):
     rows = rows_of(7)
     docs = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
