@@ -508,6 +508,17 @@ def q_apply_diff(spark, sf):
     return spark.read.parquet(out).select(*R)
 
 
+def q_apply_in_place(spark, sf):
+    """Release A as a partitioned snapshot, changed to release B partition by partition; a second run changes nothing."""
+    path, changes_dir = fresh_dir(spark, "snapshot"), fresh_dir(spark, "changes")
+    tables.write_partitioned(_clean(spark, sf, "releaseA"), path)
+    diff = releases.release_diff(tables.read_partitioned(spark, path), _clean(spark, sf, "releaseB"))
+    releases.changes(diff).write.parquet(changes_dir)
+    for _ in range(2):
+        releases.apply_in_place(spark, path, spark.read.parquet(changes_dir))
+    return tables.read_partitioned(spark, path)
+
+
 def _stream_in_rounds(spark, sf, max_files_per_trigger=None, archive=False, batch_size=100_000):
     """Render the release into a watched folder in two rounds (files 0-1,
     then 2-3), ingest after each, then once more with nothing new."""

@@ -379,7 +379,7 @@ SELECT coalesce(a.cnpj, b.cnpj) AS cnpj,
   CASE WHEN a.cnpj IS NULL THEN 'inserted' WHEN b.cnpj IS NULL THEN 'deleted'
        WHEN a.razao_social = b.razao_social THEN 'unchanged' ELSE 'updated' END AS change
 FROM a FULL JOIN b ON a.cnpj = b.cnpj"""
-    q["apply_diff"] = Bn + f"\nSELECT {R_LIST} FROM recd"
+    q["apply_diff"] = q["apply_in_place"] = Bn + f"\nSELECT {R_LIST} FROM recd"
     q["incremental_file_ingest"] = q["incremental_archives"] = q["ingest_table"]
     q["batch_and_stream"] = B + f"\nSELECT {R_LIST}, CAST(0 AS BIGINT) AS again_written FROM recd"
     q["stream_quarantine"] = B + "\nSELECT file_name, line, reason FROM lines WHERE reason IS NOT NULL"

@@ -63,9 +63,13 @@ def write_partitioned(
     max_records_per_file: int | None = None,
     mode: str = "errorifexists",
     observation=None,
+    only_partitions: bool = False,
 ) -> None:
     """S12 + S13: partitioned Parquet at a path, at most n rows per file.
 
+    ``only_partitions``: overwriting replaces the partitions that ``records``
+    has rows of and leaves the others.
+
     ``observation`` (a pyspark Observation) receives the written row count.
     It is attached after the last shuffle, in the writing stage itself, whose
     task results Spark applies once even when a lost executor forces a retry.
@@ -78,6 +82,8 @@ def write_partitioned(
         writer = writer.partitionBy(*layout.partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
