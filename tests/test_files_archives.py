@@ -197,5 +197,5 @@ def test_hadoop_schemes_map_to_arrow():
     from regline.sources.fs import arrow_uri
 
     assert arrow_uri("s3a://bucket/rel/Empresas0.zip") == "s3://bucket/rel/Empresas0.zip"
-    assert arrow_uri("dbfs:/mnt/rel/a.csv") == "/dbfs/mnt/rel/a.csv"
+    assert arrow_uri("hdfs://name/rel/a.csv") == "hdfs://name/rel/a.csv"  # other schemes stay as they are
     assert arrow_uri("file:/tmp/a.csv") == "file:/tmp/a.csv"
