@@ -145,7 +145,7 @@ def open_release(
         out.unopened = [path for path, n in expected.items() if n is None]
         out.text_bytes = {path: n for path, n in expected.items() if n is not None}
     if out.text_bytes:
-        out.text_read = Observation("text")
+        out.text_read = Observation()  # unnamed: lines of several releases may meet in one plan
         raw = read_raw(spark, list(out.text_bytes), tolerant=True)
         parts.append(lines_from_raw(raw.observe(out.text_read, line_bytes().alias("bytes")), encoding))
     if inputs.zips:
@@ -154,7 +154,7 @@ def open_release(
         out.too_large = [a for a, v in plan.verdicts.items() if v == "oversize"]
         out.input_bytes += plan.member_bytes
         if plan.partitions:
-            out.damaged = Observation("damaged")
+            out.damaged = Observation()
             unread = F.when(F.col("value").isNull(), F.substring_index("file_path", "#", 1))
             raw = read_planned_raw(spark, plan).observe(out.damaged, F.collect_set(unread).alias("archives"))
             parts.append(lines_of_planned(raw, encoding))

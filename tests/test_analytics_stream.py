@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from conftest import GOOD, record_line
 
 from regline.layout import EMPRESAS
@@ -45,6 +46,28 @@ def test_load_code_tables_plain_and_zip(spark, write_files):
     assert r.cnae_descricao == "Desenvolvimento de programas"
 
 
+@pytest.mark.parametrize("zipped", [(), ("Naturezas", "CNAEs"), ("CNAEs", "Municipios", "Naturezas", "Qualificacoes")])
+def test_unknown_codes_of_several_files(spark, write_files, zipped):
+    import io
+    import zipfile
+
+    files = {}
+    for family, code in {"Naturezas": "2062", "CNAEs": "1091101", "Municipios": "0000007", "Qualificacoes": "05"}.items():
+        data = f"{code};Descrição\r\n".encode("latin-1")
+        if family in zipped:
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w") as zf:
+                zf.writestr(f"{family}.csv", data)
+            files[f"{family}.zip"] = buf.getvalue()
+        else:
+            files[f"{family}.csv"] = data
+    known = {"natureza_juridica": "2062", "cnae_fiscal": "1091101", "codigo_municipio": "0000007",
+             "qualificacao_representante_legal": "05"}
+    df = recs(spark, [known, {**known, "cnae_fiscal": "9"}, {**known, "cnae_fiscal": "9", "codigo_municipio": "8"}, {}])
+    unknown = analytics.unknown_codes(df, analytics.load_code_tables(spark, write_files(files)))
+    assert sorted(map(tuple, unknown.collect())) == [("cnae_fiscal", "9", 2), ("codigo_municipio", "8", 1)]
+
+
 def test_lookup_and_search(spark):
     df = recs(spark, [{"cnpj": f"{i:014d}", "razao_social": f"Acme {i}", "uf": "SP" if i % 2 else "RJ"} for i in range(10)])
     ids = spark.createDataFrame([("00000000000003",), ("00000000000003",), ("99",)], "cnpj string")
