@@ -364,7 +364,7 @@ def q_exact_chunks(spark, sf):
     """One file for each chunk of 50 records in the order of their keys."""
     path = fresh_dir(spark, "exact-chunks")
     batches.write_chunks(_stored(spark, sf), path, 50, ["cnpj"])
-    rows = spark.read.schema("chunk bigint, cnpj string").parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    rows = batches.read_chunks(spark, path, "chunk bigint, cnpj string").select("*", F.col("_metadata.file_path").alias("file"))
     return rows.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("cnpj").alias("first_cnpj"),

@@ -263,10 +263,10 @@ def _render(spark: SparkSession, sf_dir: str, variant: str, table: str, n_files:
     archive = variant == "zip"
     if variant == "mixed":
         plain = F.col("file_name").isin("Empresas0.csv", "Empresas1.csv")
-        write_files(lines.where(plain), root).collect()
-        write_files(lines.where(~plain), root, archive=True).collect()
+        write_files(lines.where(plain), root, n_tasks=n_files).collect()
+        write_files(lines.where(~plain), root, archive=True, n_tasks=n_files).collect()
     else:
-        write_files(lines, root, archive=archive).collect()
+        write_files(lines, root, archive=archive, n_tasks=n_files).collect()
     if variant != "codes":
         empty = f"Empresas{n_files}"
         if archive:

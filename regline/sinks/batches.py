@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from regline.layout import EMPRESAS, Layout
+from regline.plans.ingest import sql_conf
 from regline.session import fresh_dir, ship_package, staged
 from regline.sources import fs
 
@@ -59,10 +61,108 @@ def with_chunks(records: DataFrame, size: int, order_by: Sequence[str] = (), nam
     return rows.join(starts, "_file").select(*records.columns, F.floor(place / size).cast("bigint").alias(name))
 
 
-def write_chunks(records: DataFrame, path: str, size: int, order_by: Sequence[str] = (), **options: str) -> None:
-    """One Parquet file for each chunk, in a folder ``chunk=<number>``."""
-    chunked = with_chunks(records, size, order_by)
-    chunked.repartition("chunk").write.options(**options).partitionBy("chunk").parquet(path)
+def write_chunks(
+    records: DataFrame, path: str, size: int, order_by: Sequence[str] = (), compression: str | None = None
+) -> None:
+    """One Parquet file for each chunk, in a folder ``chunk=<number>`` of ``path``, which must not exist yet.
+
+    Tasks write the files through Arrow: Hadoop's local file system starts
+    several processes for each file, which takes most of the time of a small one.
+    """
+    spark = records.sparkSession
+    if fs.exists(path):
+        raise FileExistsError(path)
+    codec = (compression or spark.conf.get("spark.sql.parquet.compression.codec")).lower()
+    ship_package(spark)
+    spark.dataSource.register(ChunkFiles)
+    chunked = with_chunks(records, size, order_by).repartition("chunk").sortWithinPartitions("chunk", *order_by)
+    writer = chunked.write.format(ChunkFiles.name()).mode("append").option("path", path)
+    writer.option("codec", {"uncompressed": "none", "lz4_raw": "lz4"}.get(codec, codec)).save()
+
+
+def read_chunks(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``write_chunks`` wrote. A task lists many folders: by Spark's default one folder has a task of its own, up to 10,000."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with sql_conf(spark, **{"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}):
+        return spark.read.schema(schema).parquet(path)  # lists the folders here
+
+
+@dataclass
+class ChunksDone(WriterCommitMessage):
+    name: str  # of the attempt, its folder and its files
+    chunks: list[int]
+
+
+class ChunkWriter(DataSourceArrowWriter):
+    """Rows in the order of their chunk; a chunk's rows are all in one task.
+
+    An attempt of a task writes below a hidden folder of its own, and the
+    commit moves the files of the attempts that count, as Spark's own does.
+    """
+
+    ROW_GROUP = 128 * 1024 * 1024  # bytes held of a chunk
+
+    def __init__(self, options: dict[str, str]):
+        self.path, self.codec = options["path"].rstrip("/"), options["codec"]
+        self.hidden = f"{self.path}/_temporary"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> ChunksDone:
+        import pyarrow.parquet as pq
+
+        done, held, held_bytes, out, writer = ChunksDone(uuid.uuid4().hex, []), [], 0, None, None
+
+        def flush() -> None:
+            nonlocal held, held_bytes
+            if held:
+                rows = pa.Table.from_batches(held)
+                writer.write_table(rows, row_group_size=rows.num_rows)
+            held, held_bytes = [], 0
+
+        def close() -> None:
+            if writer is not None:
+                flush()
+                writer.close()
+                out.close()
+
+        for batch in iterator:
+            rows = batch.drop_columns(["chunk"])
+            for number, a, b in _runs(batch.column("chunk")) if batch.num_rows else ():
+                if not done.chunks or number != done.chunks[-1]:
+                    close()
+                    done.chunks.append(number)
+                    out = fs.open_output(f"{self.hidden}/{done.name}/chunk={number}/{self.file(done)}")
+                    writer = pq.ParquetWriter(out, rows.schema, compression=self.codec)
+                held.append(rows.slice(a, b - a))
+                held_bytes += held[-1].nbytes
+                if held_bytes >= self.ROW_GROUP:
+                    flush()
+        close()
+        return done
+
+    @staticmethod
+    def file(done: ChunksDone) -> str:
+        return f"part-{done.name}.parquet"
+
+    def commit(self, messages: list[ChunksDone | None]) -> None:
+        moves = [(m.name, f"chunk={n}/{self.file(m)}") for m in messages if m is not None for n in m.chunks]
+        with ThreadPoolExecutor(32) as pool:
+            list(pool.map(lambda m: fs.move(f"{self.hidden}/{m[0]}/{m[1]}", f"{self.path}/{m[1]}"), moves))
+        fs.delete_dir(self.hidden)
+        fs.write_bytes(f"{self.path}/_SUCCESS", b"")
+
+    def abort(self, messages: list[ChunksDone | None]) -> None:
+        fs.delete_dir(self.hidden)
+
+
+class ChunkFiles(DataSource):
+    """The Spark data source that ``write_chunks`` writes to."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "chunk_files"
+
+    def writer(self, schema, overwrite: bool) -> ChunkWriter:
+        return ChunkWriter(dict(self.options))
 
 
 class Refused(Exception):

@@ -51,6 +51,14 @@ def delete_dir(uri: str) -> None:
         filesystem.delete_dir(path)
 
 
+def move(uri: str, to: str) -> None:
+    """Move a file, into a folder that need not be there yet."""
+    filesystem, path = resolve(uri)
+    target = resolve(to)[1]
+    filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+    filesystem.move(path, target)
+
+
 def make_dirs(uri: str) -> None:
     filesystem, path = resolve(uri)
     filesystem.create_dir(path, recursive=True)

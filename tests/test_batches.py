@@ -1,5 +1,8 @@
 """Chunks of an exact size, and sinks that take whole batches or none."""
 
+from pathlib import Path
+
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
@@ -39,6 +42,51 @@ def test_one_file_for_each_chunk(spark):
     assert sorted((int(r.chunk), r["count"]) for r in files) == [(0, 8), (1, 8), (2, 8), (3, 7)]
 
 
+def test_chunk_files_are_alone_in_their_folders_and_listed_by_few_tasks(spark):
+    path = fresh_dir(spark, "chunk-files")
+    batches.write_chunks(numbers(spark, 401, 3), path, 2, ["k"])
+    names = [p.name for p in Path(path.removeprefix("file:")).rglob("*") if p.is_file() and p.name != "_SUCCESS"]
+    assert len(names) == 201 and all(n.endswith(".parquet") for n in names)  # none beside them, as checksums are
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("list-chunks", "")
+    rows = batches.read_chunks(spark, path, "chunk bigint, k bigint, name string")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("list-chunks")]
+    listed = [tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds]
+    assert listed and max(listed) <= 4 * spark.sparkContext.defaultParallelism
+    files = rows.groupBy("chunk").agg(F.min("k"), F.max("name"), F.count("k"), F.count_distinct("_metadata.file_path")).collect()
+    assert sorted(map(tuple, files)) == [(c, 2 * c, f"{min(2 * c + 1, 400):05d}", 2 - (c == 200), 1) for c in range(201)]
+
+
+def test_chunk_files_keep_types_and_large_chunks(spark):
+    from pyspark.testing import assertDataFrameEqual
+
+    path = fresh_dir(spark, "chunk-files")
+    rows = spark.range(0, 30_000, 1, 3).selectExpr(
+        "id", "if(id % 3 = 0, null, cast(id / 100 as decimal(15,2))) AS d", "timestamp_seconds(id) AS t", "date_from_unix_date(int(id)) AS day",
+        "array(struct(id AS a, string(id) AS b)) AS s", "cast(string(id) as binary) AS raw", "id / 7 AS x",
+    )
+    batches.write_chunks(rows, path, 25_000, ["id"], compression="zstd")
+    got = spark.read.parquet(path)
+    assert {(r.chunk, r["count"]) for r in got.groupBy(F.col("chunk").cast("int").alias("chunk")).count().collect()} == {(0, 25_000), (1, 5_000)}
+    assert got.drop("chunk").schema.simpleString() == rows.schema.simpleString()
+    assertDataFrameEqual(got.drop("chunk"), rows)
+    with pytest.raises(FileExistsError):
+        batches.write_chunks(rows, path, 25_000)
+
+
+def test_chunk_files_of_nothing_and_of_an_attempt_that_was_lost(spark):
+    path = fresh_dir(spark, "chunk-files")
+    batches.write_chunks(numbers(spark, 0, 1), path, 8, ["k"])
+    assert batches.read_chunks(spark, path, "chunk bigint, k bigint").count() == 0
+    writer = batches.ChunkWriter({"path": fresh_dir(spark, "chunk-files"), "codec": "snappy"})
+    batch = pa.record_batch({"k": [1, 2, 3], "chunk": [0, 0, 1]})
+    lost, kept = writer.write(iter([batch])), writer.write(iter([batch]))  # two attempts of one task
+    writer.commit([kept, None])
+    assert lost.chunks == kept.chunks == [0, 1]
+    assert sorted(map(tuple, batches.read_chunks(spark, writer.path, "k bigint, chunk bigint").collect())) == [(1, 0), (2, 0), (3, 1)]
+
+
 def test_a_refused_batch_is_set_aside_and_the_others_stay(spark):
     path = fresh_dir(spark, "sink")
     rows = numbers(spark, 50, 3).withColumn("name", F.when(F.col("k").isin(12, 33), "far too wide").otherwise(F.col("name")))
