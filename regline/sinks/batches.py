@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -61,18 +62,20 @@ def with_chunks(records: DataFrame, size: int, order_by: Sequence[str] = (), nam
     return rows.join(starts, "_file").select(*records.columns, F.floor(place / size).cast("bigint").alias(name))
 
 
-def write_chunks(
-    records: DataFrame, path: str, size: int, order_by: Sequence[str] = (), compression: str | None = None
-) -> None:
+def write_chunks(records: DataFrame, path: str, size: int, order_by: Sequence[str] = (), **options: str) -> None:
     """One Parquet file for each chunk, in a folder ``chunk=<number>`` of ``path``, which must not exist yet.
 
     Tasks write the files through Arrow: Hadoop's local file system starts
-    several processes for each file, which takes most of the time of a small one.
+    several processes for each file, which takes most of the time of a small
+    one. ``options`` are those of Spark's own writer, which then writes.
     """
     spark = records.sparkSession
+    if options:
+        with_chunks(records, size, order_by).repartition("chunk").write.options(**options).partitionBy("chunk").parquet(path)
+        return
     if fs.exists(path):
-        raise FileExistsError(path)
-    codec = (compression or spark.conf.get("spark.sql.parquet.compression.codec")).lower()
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {path} already exists.")
+    codec = spark.conf.get("spark.sql.parquet.compression.codec").lower()
     ship_package(spark)
     spark.dataSource.register(ChunkFiles)
     chunked = with_chunks(records, size, order_by).repartition("chunk").sortWithinPartitions("chunk", *order_by)

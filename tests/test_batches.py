@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
-from pyspark.errors import PythonException
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import functions as F
 
 from regline.session import fresh_dir
@@ -58,7 +58,8 @@ def test_chunk_files_are_alone_in_their_folders_and_listed_by_few_tasks(spark):
     assert sorted(map(tuple, files)) == [(c, 2 * c, f"{min(2 * c + 1, 400):05d}", 2 - (c == 200), 1) for c in range(201)]
 
 
-def test_chunk_files_keep_types_and_large_chunks(spark):
+@pytest.mark.parametrize("options", [{}, {"compression": "zstd"}])
+def test_chunk_files_keep_types_and_large_chunks(spark, options):
     from pyspark.testing import assertDataFrameEqual
 
     path = fresh_dir(spark, "chunk-files")
@@ -66,13 +67,13 @@ def test_chunk_files_keep_types_and_large_chunks(spark):
         "id", "if(id % 3 = 0, null, cast(id / 100 as decimal(15,2))) AS d", "timestamp_seconds(id) AS t", "date_from_unix_date(int(id)) AS day",
         "array(struct(id AS a, string(id) AS b)) AS s", "cast(string(id) as binary) AS raw", "id / 7 AS x",
     )
-    batches.write_chunks(rows, path, 25_000, ["id"], compression="zstd")
+    batches.write_chunks(rows, path, 25_000, ["id"], **options)
     got = spark.read.parquet(path)
     assert {(r.chunk, r["count"]) for r in got.groupBy(F.col("chunk").cast("int").alias("chunk")).count().collect()} == {(0, 25_000), (1, 5_000)}
     assert got.drop("chunk").schema.simpleString() == rows.schema.simpleString()
     assertDataFrameEqual(got.drop("chunk"), rows)
-    with pytest.raises(FileExistsError):
-        batches.write_chunks(rows, path, 25_000)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        batches.write_chunks(rows, path, 25_000, **options)
 
 
 def test_chunk_files_of_nothing_and_of_an_attempt_that_was_lost(spark):
