@@ -68,6 +68,26 @@ def test_unknown_codes_of_several_files(spark, write_files, zipped):
     assert sorted(map(tuple, unknown.collect())) == [("cnae_fiscal", "9", 2), ("codigo_municipio", "8", 1)]
 
 
+def test_code_table_unknown_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from regline.plans import catalog, oracle
+
+    con = duckdb.connect()
+    for table, rows in {
+        "customer": "SELECT k AS c_custkey, 'C' || k AS c_name, CAST(k % 40 AS INTEGER) AS c_nationkey, 1.5 * k AS c_acctbal "
+                    "FROM (SELECT unnest(range(1, 120) || [3, 58]) AS k)",
+        "nation": "SELECT CAST(range AS INTEGER) AS n_nationkey, 'N' || range AS n_name FROM range(25)",
+        "region": "SELECT CAST(range AS INTEGER) AS r_regionkey, 'R' || range AS r_name FROM range(5)",
+    }.items():
+        con.execute(f"CREATE TABLE {table} AS {rows}")
+        con.execute(f"COPY {table} TO '{tmp_path}/{table}.parquet'")
+    got = catalog.QUERIES["code_table_unknown"](spark, str(tmp_path))
+    want = con.execute(oracle.oracle_sql()["code_table_unknown"]).fetchall()
+    assert len({column for column, _, _ in want}) == 4  # every code column has codes that its table lacks
+    assert sorted(map(tuple, got.select("code_column", "code", "records").collect())) == sorted(want)
+
+
 def test_lookup_and_search(spark):
     df = recs(spark, [{"cnpj": f"{i:014d}", "razao_social": f"Acme {i}", "uf": "SP" if i % 2 else "RJ"} for i in range(10)])
     ids = spark.createDataFrame([("00000000000003",), ("00000000000003",), ("99",)], "cnpj string")
